@@ -62,6 +62,7 @@ from tierflow.sources import (
     external_table,
     load_csv,
     publish,
+    read_raw,
     read_silver,
     replace_folder,
     save_table,
@@ -73,11 +74,36 @@ from tierflow.specs import ROLLUPS, STAT_CATEGORIES, clean_spec
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Tables that several queries start from.
+# Tables that several queries start from. As in a real run, the raw tables and the cleaned
+# ones are written to the shared folder before later steps read them; once per session.
 
+_stored: dict[tuple[str, ...], str] = {}
 
-def silver(spark: SparkSession, sf_dir: str, category: str, mode: str = "full") -> DataFrame:
-    return refine(data.raw(spark, sf_dir, category), clean_spec(category, mode))
+
+def stored(spark: SparkSession, key: tuple[str, ...], build: Callable[[], DataFrame]) -> str:
+    """Folder of the table that ``build`` gives."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _stored:
+        folder = shared_folder(spark)
+        write_silver(build(), folder)
+        _stored[key] = folder
+    return _stored[key]
+
+
+def raw_table(spark: SparkSession, sf_dir: str, category: str) -> DataFrame:
+    folder = stored(spark, (sf_dir, "raw", category), lambda: data.raw(spark, sf_dir, category))
+    return read_raw(spark, category, folder)
+
+
+def cleaned(spark: SparkSession, sf_dir: str, category: str, mode: str = "full") -> DataFrame:
+    return refine(raw_table(spark, sf_dir, category), clean_spec(category, mode))
+
+
+def silver(spark: SparkSession, sf_dir: str, category: str) -> DataFrame:
+    folder = stored(
+        spark, (sf_dir, "silver", category), lambda: cleaned(spark, sf_dir, category)
+    )
+    return read_silver(spark, clean_spec(category), folder)
 
 
 def all_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -145,50 +171,49 @@ def blank_strings(spark, sf_dir):
 
 
 def extract_keys(spark, sf_dir):
-    return data.raw(spark, sf_dir, "passing").select(
-        F.col("player_id").alias("source"), text.extract_key("player_id").alias("player_id")
+    return data.raw(spark, sf_dir, "passing").selectExpr(
+        "player_id AS source", f"{text.extract_key('player_id')} AS player_id"
     )
 
 
 def split_strict(spark, sf_dir):
-    last, first = text.split_pair(F.trim("name"))
+    last, first = text.split_pair("trim(name)")
     return (
         data.raw(spark, sf_dir, "rushing")
-        .select("name", last.alias("last_name"), first.alias("first_name"))
-        .filter("first_name is not null")
+        .selectExpr("name", f"{last} AS last_name", f"{first} AS first_name")
+        .filter("first_name IS NOT NULL")
     )
 
 
 def split_lenient(spark, sf_dir):
-    city, state = text.split_pair(F.trim("birth_place"), text.LENIENT_PAIR)
-    return data.raw(spark, sf_dir, "players").select(
-        "birth_place", city.alias("birth_city"), state.alias("birth_state")
+    city, state = text.split_pair("trim(birth_place)", text.LENIENT_PAIR)
+    return data.raw(spark, sf_dir, "players").selectExpr(
+        "birth_place", f"{city} AS birth_city", f"{state} AS birth_state"
     )
 
 
 def parse_int_commas(spark, sf_dir):
-    return data.raw(spark, sf_dir, "receiving").select(
-        F.col("receiving_yards").alias("source"), text.comma_int("receiving_yards").alias("value")
+    return data.raw(spark, sf_dir, "receiving").selectExpr(
+        "receiving_yards AS source", f"{text.comma_int('receiving_yards')} AS value"
     )
 
 
 def parse_int_digits(spark, sf_dir):
-    return data.raw(spark, sf_dir, "kicking").select(
-        text.digits_int("longest_fg_made").alias("longest_fg_made"),
-        text.digits_int("extra_points_made").alias("extra_points_made"),
+    return data.raw(spark, sf_dir, "kicking").selectExpr(
+        f"{text.digits_int('longest_fg_made')} AS longest_fg_made",
+        f"{text.digits_int('extra_points_made')} AS extra_points_made",
     )
 
 
 def parse_float(spark, sf_dir):
-    return data.raw(spark, sf_dir, "defensive").select(
-        F.col("total_tackles").alias("source"), text.lenient_float("total_tackles").alias("value")
+    return data.raw(spark, sf_dir, "defensive").selectExpr(
+        "total_tackles AS source", f"{text.lenient_float('total_tackles')} AS value"
     )
 
 
 def strip_marker(spark, sf_dir):
-    return data.raw(spark, sf_dir, "rushing").select(
-        F.col("longest_rushing_run").alias("source"),
-        text.marker_int("longest_rushing_run").alias("value"),
+    return data.raw(spark, sf_dir, "rushing").selectExpr(
+        "longest_rushing_run AS source", f"{text.marker_int('longest_rushing_run')} AS value"
     )
 
 
@@ -198,8 +223,8 @@ def safe_numbers(spark, sf_dir):
 
 
 def parse_dates(spark, sf_dir):
-    return data.raw(spark, sf_dir, "players").select(
-        F.col("birthday").alias("source"), text.parse_date(F.trim("birthday")).alias("birthday")
+    return data.raw(spark, sf_dir, "players").selectExpr(
+        "birthday AS source", f"{text.parse_date('trim(birthday)')} AS birthday"
     )
 
 
@@ -207,43 +232,23 @@ def parse_dates(spark, sf_dir):
 
 
 def filter_threshold_year(spark, sf_dir):
-    rows = data.raw(spark, sf_dir, "rushing").select(
-        text.extract_key("player_id").alias("player_id"),
-        text.comma_int("rushing_yards").alias("rushing_yards"),
-        F.trim("year").alias("year"),
+    rows = data.raw(spark, sf_dir, "rushing").selectExpr(
+        f"{text.extract_key('player_id')} AS player_id",
+        f"{text.comma_int('rushing_yards')} AS rushing_yards",
+        "trim(year) AS year",
     )
-    return rows.filter((F.col("rushing_yards") >= 1000) & (text.lenient_int("year") >= 1970))
+    return rows.filter(f"rushing_yards >= 1000 AND {text.lenient_int('year')} >= 1970")
 
 
-def _parsed(spark, sf_dir, category):
-    """The columns a category's predicate tests, parsed."""
+def filtered(spark: SparkSession, sf_dir: str, category: str, keep_null: bool = False) -> DataFrame:
+    """The columns a category's row test reads, parsed, of the rows that pass it."""
     spec = clean_spec(category)
     parsers = spec.parsers()
     tested = [name for name, _, _ in spec.keep.tests]
-    return data.raw(spark, sf_dir, category).select(
-        text.extract_key("player_id").alias("player_id"),
-        *[parsers[c][0](F.col(c)).alias(c) for c in tested],
+    rows = data.raw(spark, sf_dir, category).selectExpr(
+        *[f"{parsers[c][0](c)} AS {c}" for c in ("player_id", *tested)]
     )
-
-
-def filter_and(spark, sf_dir):
-    rows = _parsed(spark, sf_dir, "returns")
-    return rows.filter(clean_spec("returns").keep.condition(rows.columns))
-
-
-def filter_or(spark, sf_dir):
-    rows = _parsed(spark, sf_dir, "defensive")
-    return rows.filter(clean_spec("defensive").keep.condition(rows.columns))
-
-
-def filter_field_goals(spark, sf_dir):
-    rows = _parsed(spark, sf_dir, "kicking")
-    return rows.filter(clean_spec("kicking").keep.condition(rows.columns))
-
-
-def filter_keep_null(spark, sf_dir):
-    rows = _parsed(spark, sf_dir, "passing")
-    return rows.filter(clean_spec("passing").keep.condition(rows.columns, keep_null=True))
+    return rows.filter(spec.keep.condition(tested, keep_null))
 
 
 def filter_position(spark, sf_dir):
@@ -251,7 +256,7 @@ def filter_position(spark, sf_dir):
 
 
 def filter_key_null(spark, sf_dir):
-    return fact(spark, sf_dir, "counted").filter("college_key is null")
+    return fact(spark, sf_dir, "counted").filter("college_key IS NULL")
 
 
 # Deduplication.
@@ -285,12 +290,12 @@ def distinct_pairs(spark, sf_dir):
 
 def refine_keep_null(spark, sf_dir):
     return refine(
-        data.raw(spark, sf_dir, "rushing"), clean_spec("rushing"), keep_null_measures=True
+        raw_table(spark, sf_dir, "rushing"), clean_spec("rushing"), keep_null_measures=True
     )
 
 
 def refine_missing_columns(spark, sf_dir):
-    rows = data.raw(spark, sf_dir, "receiving").drop("fumbles", "longest_reception", "year")
+    rows = raw_table(spark, sf_dir, "receiving").drop("fumbles", "longest_reception", "year")
     return refine(rows, clean_spec("receiving"), missing="null")
 
 
@@ -332,14 +337,14 @@ def fuse_by_union(spark, sf_dir):
 
 
 def good_years(spark, sf_dir):
-    return career_totals(stat_silver(spark, sf_dir)).select(
-        "player_id", "good_years", years_played().alias("years_played")
+    return career_totals(stat_silver(spark, sf_dir)).selectExpr(
+        "player_id", "good_years", f"{years_played()} AS years_played"
     )
 
 
 def position_class(spark, sf_dir):
     totals = fuse_union(stat_silver(spark, sf_dir))
-    return totals.select("player_id", main_position().alias("position_key"))
+    return totals.selectExpr("player_id", f"{main_position()} AS position_key")
 
 
 def modal_one(spark, sf_dir):
@@ -373,7 +378,7 @@ def fact_one_row(spark, sf_dir):
 def dim_positions(spark, sf_dir):
     """The constant table, with the number of players that have each position."""
     classes = position_class(spark, sf_dir).groupBy("position_key").agg(
-        F.count(F.lit(1)).alias("players")
+        F.expr("count(*) AS players")
     )
     return classes.join(F.broadcast(positions_dim(spark)), "position_key")
 
@@ -443,7 +448,7 @@ def raw_external_table(spark, sf_dir):
 
 def silver_files(spark, sf_dir):
     folder = shared_folder(spark)
-    write_silver(silver(spark, sf_dir, "kicking"), folder)
+    write_silver(cleaned(spark, sf_dir, "kicking"), folder)
     return read_silver(spark, clean_spec("kicking"), folder)
 
 
@@ -525,17 +530,18 @@ def queries() -> dict[str, Query]:
         "safe_numbers": safe_numbers,
         "parse_date_validated": parse_dates,
         "filter_threshold_year": filter_threshold_year,
-        "filter_and": filter_and,
-        "filter_or": filter_or,
-        "filter_field_goals": filter_field_goals,
-        "filter_keep_null": filter_keep_null,
+        "filter_and": partial(filtered, category="returns"),
+        "filter_or": partial(filtered, category="defensive"),
+        "filter_field_goals": partial(filtered, category="kicking"),
+        "filter_receiving": partial(filtered, category="receiving"),
+        "filter_keep_null": partial(filtered, category="passing", keep_null=True),
         "filter_lookup": filter_position,
         "filter_key_null": filter_key_null,
         "dedup_rows": dedup_rows,
         "dedup_keys": dedup_keys,
         "distinct_pairs": distinct_pairs,
-        **{f"refine_{c}": partial(silver, category=c) for c in RAW_COLUMNS},
-        "refine_defensive_incremental": partial(silver, category="defensive", mode="incremental"),
+        **{f"refine_{c}": partial(cleaned, category=c) for c in RAW_COLUMNS},
+        "refine_defensive_incremental": partial(cleaned, category="defensive", mode="incremental"),
         "refine_keep_null": refine_keep_null,
         "refine_missing_columns": refine_missing_columns,
         **{f"rollup_{c}": rollup_of(c) for c in STAT_CATEGORIES},
@@ -687,6 +693,11 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * FROM (SELECT {o.key('trim(player_id)')} AS player_id, "
             f"{o.digits('fgs_made')} AS fgs_made FROM {raw('kicking')}) t WHERE fgs_made >= 20"
         ),
+        "filter_receiving": (
+            f"SELECT * FROM (SELECT {o.key('trim(player_id)')} AS player_id, "
+            f"{o.no_commas('trim(receiving_yards)')} AS receiving_yards "
+            f"FROM {raw('receiving')}) t WHERE receiving_yards >= 1000"
+        ),
         "filter_keep_null": (
             f"SELECT * FROM (SELECT {o.key('trim(player_id)')} AS player_id, "
             f"{o.no_commas('trim(passing_yards)')} AS passing_yards FROM {raw('passing')}) t "

@@ -75,33 +75,34 @@ def team(value: str, salt: str) -> str:
     )
 
 
+def _who(player: str, key_salt: str, salt: str) -> dict[str, str]:
+    return {
+        "player_id": key(player, key_salt),
+        "name": name(player, salt),
+        "team": team(player, salt),
+    }
+
+
 _LINE = "l_orderkey + l_linenumber"
 _QUANTITY = "CAST(l_quantity AS BIGINT)"
 _COMMON = {
     "lineitem": {
-        "player_id": key("l_partkey", _LINE),
-        "name": name("l_partkey", "l_orderkey"),
+        **_who("l_partkey", _LINE, "l_orderkey"),
         "position": "l_returnflag",
         "postion": "l_returnflag",
         "year": year("l_shipdate", _LINE),
-        "team": team("l_partkey", "l_orderkey"),
         "games_played": text("l_linenumber"),
     },
     "orders": {
-        "player_id": key("o_custkey", "o_orderkey"),
-        "name": name("o_custkey", "o_orderkey"),
+        **_who("o_custkey", "o_orderkey", "o_orderkey"),
         "position": "o_orderstatus",
         "postion": "o_orderstatus",
         "year": year("o_orderdate", "o_orderkey"),
-        "team": team("o_custkey", "o_orderkey"),
         "games_played": "o_orderpriority",
     },
     "events": {
-        "player_id": key("user_id", "user_id"),
-        "name": name("user_id", "user_id"),
         "position": "event_type",
         "year": year("ts", "user_id"),
-        "team": team("user_id", "event_id % 3"),
         "games_played": text("user_id % 16"),
     },
 }
@@ -110,6 +111,7 @@ _SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "passing": (
         "lineitem",
         {
+            **_who("l_suppkey", _LINE, "l_orderkey"),
             "passes_attempted": number(f"{_QUANTITY} * 13", "l_orderkey"),
             "passes_completed": number(f"{_QUANTITY} * 9", "l_partkey"),
             "completion_percentage": fraction(_QUANTITY, _LINE),
@@ -164,6 +166,7 @@ _SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "kicking": (
         "lineitem",
         {
+            **_who("l_partkey * 2", _LINE, "l_orderkey"),
             "kicks_blocked": number("l_linenumber", "l_partkey"),
             "longest_fg_made": f"{text('20 + l_suppkey % 44')} || '*'",
             "fgs_made": number(_QUANTITY, _LINE),
@@ -187,6 +190,7 @@ _SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "returns": (
         "events",
         {
+            **_who("user_id * 17", "user_id", "event_id % 3"),
             "kick_returns": number("user_id % 40", "event_id % 50"),
             "yards_kick_returned": number("user_id * 10", "event_id % 50"),
             "kick_returns_for_tds": number("event_id % 4", "user_id"),

@@ -1,4 +1,4 @@
-"""Column-level parsing functions."""
+"""Text parsing as SQL expressions."""
 
 from tierflow.functions.text import (
     blank_to_null,
@@ -6,11 +6,14 @@ from tierflow.functions.text import (
     comma_int,
     digits_int,
     extract_key,
+    has_pair,
     lenient_float,
     lenient_int,
     marker_int,
+    normalise,
     parse_date,
     placeholder_to_zero,
+    quoted,
     split_pair,
 )
 
@@ -20,10 +23,13 @@ __all__ = [
     "comma_int",
     "digits_int",
     "extract_key",
+    "has_pair",
     "lenient_float",
     "lenient_int",
     "marker_int",
+    "normalise",
     "parse_date",
     "placeholder_to_zero",
+    "quoted",
     "split_pair",
 ]

@@ -1,17 +1,16 @@
-"""Parsing of messy text columns.
+"""Parsing of messy text, as Spark SQL expressions.
 
-All functions are JVM-side expressions and give the same result whether
-``spark.sql.ansi.enabled`` is on or off: text that cannot be parsed becomes
-NULL instead of failing the job.
+Each function takes a SQL expression (often just a column name) and returns one, for
+``selectExpr``, ``filter`` or ``F.expr``: a whole table's cleaning is then one call to
+the JVM instead of dozens per column. The expressions give the same result whether
+``spark.sql.ansi.enabled`` is on or off: text that cannot be parsed becomes NULL
+instead of failing the job.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Placeholder text, patterns and formats of the data model.
 PLACEHOLDER = "--"
 KEY_PREFIX = ".*?/"
@@ -24,8 +23,9 @@ DATE_FORMAT = "M/d/yyyy"
 _FRACTION = r"^([\x00-\x20]*[+-]?)(\d*)\.\d*[\x00-\x20]*$"
 
 
-def _column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def quoted(column: str) -> str:
+    """Column name as a SQL expression, whatever characters it holds."""
+    return "`" + column.replace("`", "``") + "`"
 
 
 def clean_column_name(name: str) -> str:
@@ -34,60 +34,72 @@ def clean_column_name(name: str) -> str:
     return "".join(re.findall("[a-z0-9_]", underscored.lower()))
 
 
-def placeholder_to_zero(value: Column | str) -> Column:
+def normalise(value: str, zero: bool = False) -> str:
+    """Trimmed text, blank as NULL and, if asked for, ``--`` as ``0``."""
+    zeroed = f"WHEN trim({value}) = '{PLACEHOLDER}' THEN '0' " if zero else ""
+    return f"CASE WHEN trim({value}) = '' THEN NULL {zeroed}ELSE trim({value}) END"
+
+
+def placeholder_to_zero(value: str) -> str:
     """``--`` becomes ``0``; any other text stays."""
-    value = _column(value)
-    return F.when(value == PLACEHOLDER, F.lit("0")).otherwise(value)
+    return f"CASE WHEN {value} = '{PLACEHOLDER}' THEN '0' ELSE {value} END"
 
 
-def blank_to_null(value: Column | str) -> Column:
-    return F.nullif(_column(value), F.lit(""))
+def blank_to_null(value: str) -> str:
+    return f"nullif({value}, '')"
 
 
-def lenient_int(value: Column | str) -> Column:
+def lenient_int(value: str) -> str:
     """Text as int; a fraction is cut off (``12.7`` gives 12), other text gives NULL.
 
     The regular expression runs only on text that is not a plain integer.
     """
-    value = _column(value)
-    whole = F.regexp_replace(value, _FRACTION, "$10$2")
-    return F.coalesce(value.try_cast("int"), whole.try_cast("int"))
+    whole = f"regexp_replace({value}, r'{_FRACTION}', '$10$2')"
+    return f"coalesce(try_cast({value} AS int), try_cast({whole} AS int))"
 
 
-def comma_int(value: Column | str) -> Column:
+def comma_int(value: str) -> str:
     """``1,234`` gives 1234."""
-    return lenient_int(F.replace(_column(value), F.lit(","), F.lit("")))
+    return lenient_int(f"replace({value}, ',', '')")
 
 
-def marker_int(value: Column | str, marker: str = "T") -> Column:
+def marker_int(value: str, marker: str = "T") -> str:
     """Integer with a marker letter anywhere in it: ``85T`` gives 85."""
-    return lenient_int(F.replace(_column(value), F.lit(marker), F.lit("")))
+    return lenient_int(f"replace({value}, '{marker}', '')")
 
 
-def digits_int(value: Column | str) -> Column:
+def digits_int(value: str) -> str:
     """Integer from the digits and dashes alone: ``45*`` gives 45, ``12.5`` gives 125."""
-    value = _column(value)
-    digits = F.regexp_replace(value, "[^0-9-]", "")
-    return F.coalesce(value.try_cast("int"), digits.try_cast("int"))
+    digits = f"regexp_replace({value}, '[^0-9-]', '')"
+    return f"coalesce(try_cast({value} AS int), try_cast({digits} AS int))"
 
 
-def lenient_float(value: Column | str) -> Column:
+def lenient_float(value: str) -> str:
     """Text as float; commas are not accepted (``1,234.5`` gives NULL)."""
-    return _column(value).try_cast("float")
+    return f"try_cast({value} AS float)"
 
 
-def extract_key(value: Column | str) -> Column:
+def extract_key(value: str) -> str:
     """Integer key behind any number of ``prefix/`` parts."""
-    return lenient_int(F.regexp_replace(_column(value), KEY_PREFIX, ""))
+    return lenient_int(f"regexp_replace({value}, r'{KEY_PREFIX}', '')")
 
 
-def split_pair(value: Column | str, separator: str = STRICT_PAIR) -> tuple[Column, Column]:
+def split_pair(value: str, separator: str = STRICT_PAIR) -> tuple[str, str]:
     """First and second part of separated text; a missing part is NULL."""
-    parts = F.split(_column(value), separator)
-    return F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    parts = f"split({value}, r'{separator}')"
+    return f"get({parts}, 0)", f"get({parts}, 1)"
+
+
+def has_pair(value: str, separator: str = STRICT_PAIR) -> str:
+    """Whether the second part is there; for the strict separator without splitting."""
+    if separator == STRICT_PAIR:
+        return f"contains({value}, '{separator}')"
+    return f"{split_pair(value, separator)[1]} IS NOT NULL"
 
 
-def parse_date(value: Column | str) -> Column:
+def parse_date(value: str) -> str:
     """``M/d/yyyy`` text as a date; anything else, also a 2-digit year, gives NULL."""
-    value = _column(value)
-    return F.when(value.rlike(DATE_SHAPE), F.try_to_date(value, DATE_FORMAT))
+    return (
+        f"CASE WHEN {value} RLIKE r'{DATE_SHAPE}' "
+        f"THEN try_to_date({value}, '{DATE_FORMAT}') END"
+    )

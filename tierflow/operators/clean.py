@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tierflow.functions import text
 
@@ -15,13 +14,12 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def map_columns(
-    df: DataFrame, columns: Iterable[str], change: Callable[[Column], Column]
+    df: DataFrame, columns: Iterable[str], change: Callable[[str], str]
 ) -> DataFrame:
-    """Apply ``change`` to the named columns in place, in a single projection."""
+    """Put ``change`` of the named columns in their place, in a single projection."""
     chosen = set(columns)
-    return df.select(
-        *[change(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns]
-    )
+    names = [(c, text.quoted(c)) for c in df.columns]
+    return df.selectExpr(*[f"{change(q)} AS {q}" if c in chosen else q for c, q in names])
 
 
 def normalise_header(df: DataFrame) -> DataFrame:
@@ -42,7 +40,7 @@ def check_header(names: list[str]) -> None:
 
 def trim_all(df: DataFrame) -> DataFrame:
     """Strip space characters from every string column."""
-    return map_columns(df, string_columns(df), F.trim)
+    return map_columns(df, string_columns(df), lambda value: f"trim({value})")
 
 
 def replace_dashes(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:

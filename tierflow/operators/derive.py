@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.operators.rollup import pair_counts
@@ -17,14 +17,11 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
 
     Copies are made in blocks, so that no array grows with the count.
     """
-    blocks = F.ceil(F.col(copies) / F.lit(_BLOCK))
-    in_block = F.least(F.lit(_BLOCK), F.col(copies) - (F.col("_block") - 1) * _BLOCK)
+    blocks = f"explode(sequence(1L, ceil({copies} / {_BLOCK}))) AS _block"
+    inner = f"explode(sequence(1L, least({_BLOCK}, {copies} - (_block - 1) * {_BLOCK}))) AS _copy"
     kept = [c for c in df.columns if c != copies]
     return (
-        df.filter(F.col(copies) > 0)
-        .withColumn("_block", F.explode(F.sequence(F.lit(1).cast("bigint"), blocks)))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_block)))
-        .select(*kept)
+        df.filter(f"{copies} > 0").selectExpr("*", blocks).selectExpr(*kept, inner).select(*kept)
     )
 
 
@@ -40,12 +37,12 @@ def modal_value(df: DataFrame, key: str, value: str) -> DataFrame:
     Ties go to the smaller value, NULL first. Two aggregations, both combined before
     their shuffle; no window gathers the values of a key.
     """
-    counts = pair_counts(df, key, value)
-    best = F.min(F.struct((-F.col("cnt")).alias("rank"), F.col(value).alias("value")))
+    best = f"min(named_struct('rank', -cnt, 'value', {value})) AS best"
     return (
-        counts.groupBy(key)
-        .agg(best.alias("best"), F.count(F.lit(1)).alias("n_values"))
-        .select(key, F.col("best.value").alias(value), "n_values")
+        pair_counts(df, key, value)
+        .groupBy(key)
+        .agg(F.expr(best), F.expr("count(*) AS n_values"))
+        .selectExpr(key, f"best.value AS {value}", "n_values")
     )
 
 
@@ -54,23 +51,23 @@ def modal_value_rows(df: DataFrame, key: str, value: str) -> DataFrame:
     return repeat_rows(modal_value(df, key, value), "n_values")
 
 
-def argmax_class(classes: Mapping[int, Column], measures: list[str]) -> Column:
-    """The first class whose value reaches the greatest of the measures, else the first class."""
-    top = F.greatest(*measures)
-    (first, value), *rest = classes.items()
-    result = F.when(value >= top, F.lit(first))
-    for label, value in rest:
-        result = result.when(value >= top, F.lit(label))
-    return result.otherwise(F.lit(first))
+def argmax_class(classes: Mapping[int, str], measures: list[str]) -> str:
+    """SQL text: the first class whose value reaches the greatest measure, else the first class."""
+    top = f"greatest({', '.join(measures)})"
+    tests = " ".join(f"WHEN {value} >= {top} THEN {label}" for label, value in classes.items())
+    return f"CASE {tests} ELSE {next(iter(classes))} END"
 
 
 def with_fallback(
     df: DataFrame, other: DataFrame, key: str, column: str, fallback: str, result: str
 ) -> DataFrame:
-    """``column``, or where it is NULL the ``fallback`` that ``other`` holds for the key."""
-    side = other.select(F.col(key).alias("_key"), F.col(fallback).alias("_fallback"))
-    return df.join(side, F.col(key) == F.col("_key"), "left").select(
-        *df.columns, F.coalesce(column, "_fallback").alias(result)
+    """``column``, or where it is NULL the ``fallback`` that ``other`` holds for the key.
+
+    ``other`` has at most one row per key.
+    """
+    side = other.selectExpr(f"{key} AS _key", f"{fallback} AS _fallback")
+    return df.join(side, F.expr(f"{key} = _key"), "left").selectExpr(
+        *df.columns, f"coalesce({column}, _fallback) AS {result}"
     )
 
 
@@ -81,23 +78,23 @@ def dense_rank_by(df: DataFrame, score: str, result: str) -> DataFrame:
     scores are ranked within buckets (bit length and up to ten leading bits), and only
     the per-bucket counts, at most 64 * 1024 rows, are summed in one place.
     """
-    leading = F.expr("shiftright(_score, greatest(length(bin(_score)) - 10, 0))")
+    leading = "shiftright(_score, greatest(length(bin(_score)) - 10, 0))"
     scores = (
-        df.select(F.col(score).cast("bigint").alias("_score"))
-        .filter("_score is not null")
+        df.selectExpr(f"CAST({score} AS bigint) AS _score")
+        .filter("_score IS NOT NULL")
         .distinct()
-        .withColumn("_bucket", F.length(F.bin("_score")) * 1024 + leading)
+        .selectExpr("_score", f"length(bin(_score)) * 1024 + {leading} AS _bucket")
     )
-    above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    above = "ORDER BY _bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     offsets = (
         scores.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_bucket", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_offset"))
+        .agg(F.expr("count(*) AS _size"))
+        .selectExpr("_bucket", f"coalesce(sum(_size) OVER ({above}), 0) AS _offset")
     )
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.desc("_score")))
+    within = "row_number() OVER (PARTITION BY _bucket ORDER BY _score DESC) AS _within"
     ranks = (
-        scores.withColumn("_within", within)
+        scores.selectExpr("*", within)
         .join(offsets, "_bucket")
-        .select("_score", (F.col("_within") + F.col("_offset")).alias(result))
+        .selectExpr("_score", f"_within + _offset AS {result}")
     )
-    return df.join(ranks, F.col(score) == F.col("_score"), "left").drop("_score")
+    return df.join(ranks, F.expr(f"{score} = _score"), "left").drop("_score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.specs import ROLLUPS, RollupSpec
@@ -27,15 +27,15 @@ def fuse_outer(
     measures: list[str] = []
     for name, rolled in rollups.items():
         own = list(specs[name].sums)
-        side = rolled.select(F.col(key).alias("_other"), *own)
+        side = rolled.selectExpr(f"{key} AS _other", *own)
         if fused is None:
             fused = side.withColumnRenamed("_other", key)
         else:
-            fused = fused.join(side, F.col(key) == F.col("_other"), "full").select(
-                F.coalesce(key, "_other").alias(key), *measures, *own
+            fused = fused.join(side, F.expr(f"{key} = _other"), "full").selectExpr(
+                f"coalesce({key}, _other) AS {key}", *measures, *own
             )
         measures += own
-    return fused.select(key, *[F.coalesce(m, F.lit(0)).alias(m) for m in measures])
+    return fused.selectExpr(key, *[f"coalesce({m}, 0) AS {m}" for m in measures])
 
 
 def _slots(silver: Mapping[str, DataFrame], specs: Mapping[str, RollupSpec]):
@@ -55,17 +55,13 @@ def _slots(silver: Mapping[str, DataFrame], specs: Mapping[str, RollupSpec]):
 def _season_rows(
     df: DataFrame, tag: int, spec: RollupSpec, layout, slots, key: str, year: str
 ) -> DataFrame:
-    filled = {slot: F.coalesce(spec.sums[out], F.lit(0)) for out, slot in layout.items()}
-
-    def slot_value(slot: str) -> Column:
-        kind = "double" if slot.startswith("x") else "bigint"
-        return filled.get(slot, F.lit(None)).cast(kind).alias(slot)
-
-    return df.select(
-        F.col(key).cast("int").alias(key),
-        F.lit(tag).cast("tinyint").alias("category"),
-        F.col(year).alias("year"),
-        *[slot_value(s) for s in slots],
+    filled = {slot: f"coalesce({spec.sums[out]}, 0)" for out, slot in layout.items()}
+    kinds = {"n": "bigint", "x": "double"}
+    return df.selectExpr(
+        f"CAST({key} AS int) AS {key}",
+        f"CAST({tag} AS tinyint) AS category",
+        f"{year} AS year",
+        *[f"CAST({filled.get(s, 'NULL')} AS {kinds[s[0]]}) AS {s}" for s in slots],
     )
 
 
@@ -93,23 +89,19 @@ def career_totals(
         ],
     )
     if drop_null_key:
-        rows = rows.filter(F.col(key).isNotNull())
-    seasons = rows.groupBy(key, "category", "year").agg(*[F.sum(s).alias(s) for s in slots])
-
-    def of(name: str, value: str) -> Column:
-        return F.when(F.col("category") == tags[name], F.col(value))
-
+        rows = rows.filter(f"{key} IS NOT NULL")
+    seasons = rows.groupBy(key, "category", "year").agg(
+        *[F.expr(f"sum({s}) AS {s}") for s in slots]
+    )
     totals = [
-        F.coalesce(F.sum(of(name, slot)), F.lit(0)).alias(out)
+        f"coalesce(sum(CASE WHEN category = {tags[name]} THEN {slot} END), 0) AS {out}"
         for name, columns in layout.items()
         for out, slot in columns.items()
     ]
-    years = [F.count(of(name, "year")) for name in specs]
+    years = ", ".join(f"count(CASE WHEN category = {tag} THEN year END)" for tag in tags.values())
+    best = f"greatest({years}) AS good_years"
     return seasons.groupBy(key).agg(
-        *totals,
-        F.greatest(*years).alias("good_years"),
-        F.min("year").alias("y_min"),
-        F.max("year").alias("y_max"),
+        *map(F.expr, [*totals, best, "min(year) AS y_min", "max(year) AS y_max"])
     )
 
 

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tierflow.functions import text
-from tierflow.operators.clean import map_columns, string_columns
 from tierflow.specs import ALL, ROW, CleanSpec
 
 
@@ -23,50 +20,53 @@ def first_per_key(
     """
     keys = list(keys)
     order = [c for c in df.columns if c not in keys] if order is None else list(order)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*(order or keys)))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    by = ", ".join(map(text.quoted, keys))
+    sort = ", ".join(map(text.quoted, order or keys))
+    window = f"PARTITION BY {by} ORDER BY {sort}"
+    ranked = df.selectExpr("*", f"row_number() OVER ({window}) AS _rank")
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def _normalise(df: DataFrame, spec: CleanSpec) -> DataFrame:
-    strings = set(string_columns(df))
     early = () if spec.zero_marks_after_dedup else spec.zero_marks
+    return df.selectExpr(
+        *[
+            f"{text.normalise(name, early == ALL or name in early)} AS {name}"
+            if kind == "string"
+            else name
+            for name, kind in df.dtypes
+        ]
+    )
 
-    def clean(name: str) -> Column:
-        value = F.trim(name)
-        if early == ALL or name in early:
-            value = text.placeholder_to_zero(value)
-        return text.blank_to_null(value).alias(name)
 
-    return df.select(*[clean(c) if c in strings else F.col(c) for c in df.columns])
-
-
-def _parse(df: DataFrame, spec: CleanSpec) -> DataFrame:
+def _parse(df: DataFrame, columns: list[str], spec: CleanSpec) -> DataFrame:
     parsers = spec.parsers()
     late = spec.zero_marks if spec.zero_marks_after_dedup else ()
 
-    def parse(name: str) -> Column:
-        value = F.col(name)
-        if late == ALL or name in late:
-            value = text.placeholder_to_zero(value)
-        return parsers[name][0](value).alias(name) if name in parsers else value.alias(name)
+    def parse(name: str) -> str:
+        value = text.placeholder_to_zero(name) if late == ALL or name in late else name
+        return f"{parsers[name][0](value) if name in parsers else value} AS {name}"
 
     parts = []
     for pair in spec.pairs:
-        if pair.source in df.columns:
+        if pair.source in columns:
             first, second = text.split_pair(pair.source, pair.separator)
-            parts += [first.alias(pair.first), second.alias(pair.second)]
-    return df.select(*[parse(c) for c in df.columns], *parts)
+            parts += [f"{first} AS {pair.first}", f"{second} AS {pair.second}"]
+    return df.selectExpr(*[parse(c) for c in columns], *parts)
 
 
-def _kept(df: DataFrame, spec: CleanSpec, keep_null: bool) -> DataFrame:
-    present = set(df.columns)
-    tests = [F.col(c).isNotNull() for c in spec.required if c in present]
-    if spec.keep is not None:
-        tests.append(spec.keep.condition(present, keep_null))
-    if spec.year_floor is not None and "year" in present:
-        tests.append(text.lenient_int("year") >= spec.year_floor)
-    tests = [t for t in tests if t is not None]
-    return df.filter(reduce(lambda a, b: a & b, tests)) if tests else df
+def _condition(columns: list[str], spec: CleanSpec, keep_null: bool) -> str | None:
+    """SQL text of all the spec's tests, the cheap and selective ones first."""
+    tests = [spec.keep.condition(columns, keep_null) if spec.keep is not None else None]
+    if spec.year_floor is not None and "year" in columns:
+        tests.append(f"{text.lenient_int('year')} >= {spec.year_floor}")
+    seconds = {pair.second: pair for pair in spec.pairs if pair.source in columns}
+    for name in spec.required:
+        if name in seconds:
+            tests.append(text.has_pair(seconds[name].source, seconds[name].separator))
+        elif name in columns:
+            tests.append(f"{name} IS NOT NULL")
+    return " AND ".join(t for t in tests if t) or None
 
 
 def refine(
@@ -84,25 +84,28 @@ def refine(
     """
     if missing not in ("error", "skip", "null"):
         raise ValueError(f"missing={missing!r}")
-    absent = [c for c in spec.raw_columns if c not in df.columns]
+    columns = df.columns
+    absent = [c for c in spec.raw_columns if c not in columns]
     if absent and missing == "error":
         raise ValueError(f"{spec.name}: columns are missing: {', '.join(absent)}")
 
     rows = _normalise(df, spec)
     if spec.dedup == ROW:
         rows = rows.dropDuplicates()
-    elif spec.dedup and all(c in df.columns for c in spec.dedup):
+    elif spec.dedup and all(c in columns for c in spec.dedup):
         rows = first_per_key(rows, spec.dedup)
-    rows = _kept(_parse(rows, spec), spec, keep_null_measures).drop(*spec.dropped)
+    rows = _parse(rows, columns, spec)
+    condition = _condition(columns, spec, keep_null_measures)
+    if condition is not None:
+        rows = rows.filter(condition)
+    rows = rows.drop(*spec.dropped)
 
     if absent and missing == "null":
-        rows = rows.select(
+        present = set(rows.columns)
+        rows = rows.selectExpr(
             *[
-                F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                f.name if f.name in present else f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
                 for f in spec.silver_schema()
             ]
         )
     return rows
-
-
-__all__ = ["first_per_key", "map_columns", "refine"]

@@ -15,9 +15,9 @@ def rollup(
     df: DataFrame, spec: RollupSpec, key: str = "player_id", year: str = "year"
 ) -> DataFrame:
     """Sums of the spec's columns (NULL counts as 0) and the number of distinct years."""
-    sums = [F.sum(F.coalesce(c, F.lit(0))).alias(out) for out, c in spec.sums.items()]
-    return df.groupBy(F.col(key).cast("int").alias(key)).agg(
-        *sums, F.countDistinct(year).alias("years")
+    sums = [f"sum(coalesce({column}, 0)) AS {out}" for out, column in spec.sums.items()]
+    return df.groupBy(F.expr(f"CAST({key} AS int) AS {key}")).agg(
+        *map(F.expr, [*sums, f"count(DISTINCT {year}) AS years"])
     )
 
 
@@ -33,13 +33,14 @@ def year_span(
     """First and last year per key, in text order."""
     years = union_columns(tables, [key, year])
     return years.groupBy(key).agg(
-        F.min(year).cast("string").alias("y_min"), F.max(year).cast("string").alias("y_max")
+        F.expr(f"CAST(min({year}) AS string) AS y_min"),
+        F.expr(f"CAST(max({year}) AS string) AS y_max"),
     )
 
 
 def pair_counts(df: DataFrame, key: str, value: str) -> DataFrame:
     """Rows per (key, value); NULL is a value of its own."""
-    return df.groupBy(key, value).agg(F.count(F.lit(1)).alias("cnt"))
+    return df.groupBy(key, value).agg(F.expr("count(*) AS cnt"))
 
 
 def max_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -52,8 +53,5 @@ def distinct_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: its name ``vw`` and row count ``c``."""
-    counts = [
-        t.agg(F.count(F.lit(1)).alias("c")).select(F.lit(name).alias("vw"), "c")
-        for name, t in tables.items()
-    ]
+    counts = [t.selectExpr(f"'{name}' AS vw", "count(*) AS c") for name, t in tables.items()]
     return reduce(DataFrame.unionByName, counts)

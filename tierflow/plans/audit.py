@@ -24,9 +24,7 @@ def match_summary(players: DataFrame, colleges: DataFrame) -> DataFrame:
     """Players rows per (matched or not), over the whole table."""
     keys = colleges.select("school").distinct()
     pairs = players.select("college").join(keys, F.col("college") == F.col("school"), "left")
-    return pairs.groupBy(F.col("school").isNotNull().alias("matched")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
+    return pairs.groupBy(F.expr("school IS NOT NULL AS matched")).agg(F.expr("count(*) AS c"))
 
 
 def preview(tables: Mapping[str, DataFrame], n: int = 20) -> None:

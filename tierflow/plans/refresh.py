@@ -24,24 +24,21 @@ def gate_report(pairs: Mapping[str, tuple[DataFrame, DataFrame | None]]) -> Data
 
     A missing snapshot (None) counts as 0 rows. All tables are counted in one job.
     """
-    counts = []
-    for name, (raw, snapshot) in pairs.items():
-        for side, df in (("raw", raw), ("snapshot", snapshot)):
-            if df is not None:
-                counts.append(
-                    df.agg(F.count(F.lit(1)).alias("n")).select(
-                        F.lit(name).alias("name"), F.lit(side).alias("side"), "n"
-                    )
-                )
+    counts = [
+        df.selectExpr(f"'{name}' AS name", f"'{side}' AS side", "count(*) AS n")
+        for name, tables in pairs.items()
+        for side, df in zip(("raw", "snapshot"), tables)
+        if df is not None
+    ]
 
     def rows(side: str):
-        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n"))), F.lit(0))
+        return F.expr(f"coalesce(sum(CASE WHEN side = '{side}' THEN n END), 0) AS {side}_rows")
 
     return (
         reduce(DataFrame.unionByName, counts)
         .groupBy("name")
-        .agg(rows("raw").alias("raw_rows"), rows("snapshot").alias("snapshot_rows"))
-        .withColumn("refresh", F.col("snapshot_rows") > F.col("raw_rows"))
+        .agg(rows("raw"), rows("snapshot"))
+        .selectExpr("*", "snapshot_rows > raw_rows AS refresh")
     )
 
 

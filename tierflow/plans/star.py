@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.operators.derive import (
     argmax_class,
@@ -13,13 +14,13 @@ from tierflow.operators.derive import (
     merge_copies,
     modal_value,
     repeat_rows,
+    with_fallback,
 )
 from tierflow.operators.fuse import career_totals
 from tierflow.operators.refine import first_per_key
 from tierflow.operators.rollup import max_per_key, union_columns
 from tierflow.schemas import (
     COLLEGE_DIM,
-    FACT_MEASURES,
     PLAYERS_DIM,
     POSITIONS,
     POSITIONS_DIM,
@@ -38,10 +39,9 @@ def teams_dim(teams: DataFrame) -> DataFrame:
 
 
 def college_dim(colleges: DataFrame) -> DataFrame:
-    return colleges.select(
+    return colleges.selectExpr(
         *[
-            F.col(f.name).try_cast(f.dataType).alias(f.name) if f.dataType.typeName() == "integer"
-            else F.col(f.name)
+            f"try_cast({f.name} AS int) AS {f.name}" if f.dataType == T.IntegerType() else f.name
             for f in COLLEGE_DIM
         ]
     )
@@ -50,25 +50,28 @@ def college_dim(colleges: DataFrame) -> DataFrame:
 def players_dim(players: DataFrame) -> DataFrame:
     """Players of the silver table under the dimension's column names."""
     source = {"player_key": "player_id", "city": "birth_city", "state": "birth_state"}
-    return players.select(
-        *[F.col(source.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in PLAYERS_DIM]
+    return players.selectExpr(
+        *[
+            f"CAST({source.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in PLAYERS_DIM
+        ]
     )
 
 
-def main_position() -> Column:
-    """Position key whose measure is the greatest; the earlier one wins a tie.
+def main_position() -> str:
+    """SQL text: position key whose measure is the greatest; the earlier one wins a tie.
 
     Tackles are no candidate, so a player who only tackles gets position 1.
     """
     # Position key -> its measure.
     classes = {
-        1: F.col("passing_yards"),
-        2: F.col("rushing_yards"),
-        3: F.col("receiving_yards"),
-        4: F.col("sacks"),
-        5: F.col("ints"),
-        6: F.col("fgs_made"),
-        7: F.col("kick_return_tds") + F.col("punt_return_tds"),
+        1: "passing_yards",
+        2: "rushing_yards",
+        3: "receiving_yards",
+        4: "sacks",
+        5: "ints",
+        6: "fgs_made",
+        7: "kick_return_tds + punt_return_tds",
     }
     measures = (
         "passing_yards rushing_yards receiving_yards sacks ints fgs_made kick_return_tds "
@@ -77,19 +80,16 @@ def main_position() -> Column:
     return argmax_class(classes, measures)
 
 
-def years_played() -> Column:
-    return F.concat(
-        F.coalesce("y_min", F.lit("")), F.lit("-"), F.coalesce("y_max", F.lit(""))
-    )
+def years_played() -> str:
+    """SQL text: first and last year."""
+    return "concat(coalesce(y_min, ''), '-', coalesce(y_max, ''))"
 
 
 def player_teams(players: DataFrame, usual_team: DataFrame) -> DataFrame:
     """Current team of each players row, else the usual one (NULL for players without rows)."""
-    side = usual_team.select(F.col("player_id").alias("_id"), F.col("team").alias("_team"))
-    return players.join(side, F.col("player_id") == F.col("_id"), "left").select(
-        F.col("player_id").cast("int").alias("player_id"),
-        F.coalesce("current_team", "_team").alias("final_team"),
-    )
+    rows = players.selectExpr("CAST(player_id AS int) AS player_id", "current_team")
+    found = with_fallback(rows, usual_team, "player_id", "current_team", "team", "final_team")
+    return found.drop("current_team")
 
 
 def _lookup(df: DataFrame, dim: DataFrame, column: str, dim_key: str, result: str) -> DataFrame:
@@ -99,11 +99,11 @@ def _lookup(df: DataFrame, dim: DataFrame, column: str, dim_key: str, result: st
     broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by
     sorting, where adaptive execution splits hot keys.
     """
-    keys = dim.groupBy(F.col(dim_key).alias(result)).agg(F.count(F.lit(1)).alias("_matches"))
-    joined = df.join(keys, F.col(column) == F.col(result), "left")
+    keys = dim.groupBy(F.col(dim_key).alias(result)).agg(F.expr("count(*) AS _matches"))
     rest = [c for c in df.columns if c not in (column, "copies")]
-    copies = F.col("copies") * F.coalesce("_matches", F.lit(1))
-    return joined.select(*rest, result, copies.alias("copies"))
+    return df.join(keys, F.expr(f"{column} = {result}"), "left").selectExpr(
+        *rest, result, "copies * coalesce(_matches, 1) AS copies"
+    )
 
 
 def build_fact(
@@ -129,38 +129,38 @@ def build_fact(
         raise ValueError(f"rows={rows!r}")
     stats = {name: silver[name] for name in STAT_CATEGORIES}
     career = career_totals(stats)
-    with_key = union_columns(stats.values(), ["player_id", "team"]).filter("player_id is not null")
+    with_key = union_columns(stats.values(), ["player_id", "team"]).filter("player_id IS NOT NULL")
     usual_team = modal_value(with_key, "player_id", "team")
-    people = silver["players"].select("player_id", "college", "current_team")
-    people = people.filter("player_id is not null")
+    people = silver["players"].filter("player_id IS NOT NULL")
+    people = people.selectExpr("CAST(player_id AS int) AS player_id", "college", "current_team")
 
     joined = career.join(usual_team, "player_id")
     if rows == "single":
         joined = joined.join(first_per_key(people, ["player_id"]), "player_id")
-        joined = joined.withColumn("copies", F.lit(1).cast("bigint"))
+        joined = joined.selectExpr("*", "1L AS copies")
         colleges, teams = colleges.select("school").distinct(), teams.select("team_name").distinct()
     else:
-        one = F.count(F.lit(1))
-        by_college = people.groupBy("player_id", "college").agg(one.alias("_n_college"))
-        by_team = people.groupBy("player_id", "current_team").agg(one.alias("_n_team"))
+        by_college = people.groupBy("player_id", "college").agg(F.expr("count(*) AS _n_college"))
+        by_team = people.groupBy("player_id", "current_team").agg(F.expr("count(*) AS _n_team"))
         joined = (
             joined.join(by_college, "player_id")
             .join(by_team, "player_id")
-            .withColumn("copies", F.col("_n_college") * F.col("_n_team") * F.col("n_values"))
-            .drop("_n_college", "_n_team")
+            .selectExpr("*", "_n_college * _n_team * n_values AS copies")
         )
-    joined = joined.withColumn("final_team", F.coalesce("current_team", "team"))
+    joined = joined.selectExpr("*", "coalesce(current_team, team) AS final_team")
     joined = _lookup(joined, colleges, "college", "school", "college_key")
     joined = _lookup(joined, teams, "final_team", "team_name", "team_key")
 
-    schema = fact_schema(measure_type)
     computed = {
-        "player_key": F.col("player_id"),
+        "player_key": "player_id",
         "position_key": main_position(),
         "years_played": years_played(),
     }
-    fact = joined.select(
-        *[computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema],
+    fact = joined.selectExpr(
+        *[
+            f"CAST({computed.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in fact_schema(measure_type)
+        ],
         "copies",
     )
     if rows == "single":
@@ -174,8 +174,8 @@ def _with_college(fact: DataFrame, fix: DataFrame) -> DataFrame:
     """COALESCE(fix, fact) on the college key; ``fix`` has columns _key and _college."""
     others = [c for c in fact.columns if c not in ("player_key", "college_key")]
     extra = [c for c in fix.columns if c not in ("_key", "_college")]
-    return fact.join(fix, F.col("player_key") == F.col("_key"), "left").select(
-        "player_key", F.coalesce("_college", "college_key").alias("college_key"), *others, *extra
+    return fact.join(fix, F.expr("player_key = _key"), "left").selectExpr(
+        "player_key", "coalesce(_college, college_key) AS college_key", *others, *extra
     )
 
 
@@ -187,29 +187,32 @@ def backfill_null_only(fact: DataFrame, players: DataFrame) -> DataFrame:
     counted rows stays counted.
     """
     counted = "copies" in fact.columns
-    gap = F.sum("copies") if counted else F.count(F.lit(1))
-    gaps = fact.filter("college_key is null").groupBy("player_key").agg(gap.alias("_gaps"))
+    gap = "sum(copies)" if counted else "count(*)"
+    gaps = (
+        fact.filter("college_key IS NULL")
+        .groupBy(F.col("player_key").alias("_id"))
+        .agg(F.expr(f"{gap} AS _gaps"))
+    )
     colleges = (
-        players.filter("player_id is not null")
-        .groupBy(F.col("player_id").cast("int").alias("_key"), F.col("college").alias("_college"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        players.filter("player_id IS NOT NULL")
+        .groupBy(F.expr("CAST(player_id AS int) AS _key"), F.col("college").alias("_college"))
+        .agg(F.expr("count(*) AS _rows"))
     )
-    fix = colleges.join(gaps, F.col("_key") == F.col("player_key")).select(
-        "_key", "_college", (F.col("_rows") * F.col("_gaps")).alias("_times")
+    fix = colleges.join(gaps, F.expr("_key = _id")).selectExpr(
+        "_key", "_college", "_rows * _gaps AS _times"
     )
-    times = F.coalesce("_times", F.lit(1).cast("bigint"))
     filled = _with_college(fact, fix)
+    kept = [c for c in fact.columns if c != "copies"]
     if counted:
-        filled = filled.withColumn("copies", F.col("copies") * times)
-        return merge_copies(filled.drop("_times"))
-    return repeat_rows(filled.withColumn("_times", times), "_times")
+        return merge_copies(filled.selectExpr(*kept, "copies * coalesce(_times, 1) AS copies"))
+    return repeat_rows(filled.selectExpr(*kept, "coalesce(_times, 1L) AS _times"), "_times")
 
 
 def backfill_max(fact: DataFrame, players: DataFrame) -> DataFrame:
     """Recurring repair: each player's greatest college text, also over a key already set."""
-    named = players.select(
-        F.col("player_id").cast("int").alias("_key"), F.col("college").alias("_college")
-    ).filter("_key is not null and _college is not null")
+    named = players.selectExpr("CAST(player_id AS int) AS _key", "college AS _college").filter(
+        "_key IS NOT NULL AND _college IS NOT NULL"
+    )
     filled = _with_college(fact, max_per_key(named, "_key", "_college"))
     return merge_copies(filled) if "copies" in fact.columns else filled
 
@@ -221,33 +224,18 @@ def college_ranking(fact: DataFrame, positions: DataFrame) -> DataFrame:
     positions table is the seven-row constant, so it is broadcast.
     """
     players = (
-        fact.filter("college_key is not null")
+        fact.filter("college_key IS NOT NULL")
         .select("college_key", "player_key", "position_key", "good_years")
         .dropDuplicates(["college_key", "player_key"])
     )
     weighted = players.join(
         F.broadcast(positions.select("position_key", "difficulty")), "position_key", "left"
     )
-    score = F.col("good_years") * F.coalesce("difficulty", F.lit(0))
-    colleges = weighted.groupBy("college_key").agg(
-        F.count(F.lit(1)).alias("players"),
-        F.sum("good_years").alias("good_years"),
-        F.sum(score).alias("weighted_years"),
-    )
+    totals = [
+        "count(*) AS players",
+        "sum(good_years) AS good_years",
+        "sum(good_years * coalesce(difficulty, 0)) AS weighted_years",
+    ]
+    colleges = weighted.groupBy("college_key").agg(*map(F.expr, totals))
     return dense_rank_by(colleges, "weighted_years", "college_rank")
 
-
-__all__ = [
-    "FACT_MEASURES",
-    "backfill_max",
-    "backfill_null_only",
-    "build_fact",
-    "college_dim",
-    "college_ranking",
-    "main_position",
-    "player_teams",
-    "players_dim",
-    "positions_dim",
-    "teams_dim",
-    "years_played",
-]

@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_base: str | None = None
+
+
+def _own_base() -> str:
+    """Temporary folder of a local session, removed when Python ends."""
+    global _local_base
+    if _local_base is None:
+        _local_base = tempfile.mkdtemp(prefix="tierflow-")
+        atexit.register(shutil.rmtree, _local_base, ignore_errors=True)
+    return _local_base
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of its machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tierflow-")
+        base = _own_base()
     return f"{base.rstrip('/')}/tierflow-{uuid.uuid4().hex}"
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.functions import text
@@ -28,28 +26,19 @@ class Pair:
 
 @dataclass(frozen=True)
 class Keep:
-    """Row predicate over parsed columns; ``any_of`` joins the tests by OR instead of AND."""
+    """Row test over parsed columns; ``any_of`` joins its parts by OR instead of AND."""
 
     tests: tuple[tuple[str, str, int], ...]
     any_of: bool = False
 
-    def condition(self, present, keep_null: bool = False) -> Column | None:
-        compare: dict[str, Callable[[Column, int], Column]] = {
-            ">=": lambda c, bound: c >= bound,
-            ">": lambda c, bound: c > bound,
-        }
-        result = None
+    def condition(self, present, keep_null: bool = False) -> str | None:
+        """SQL text of the tests whose column is present, or None if there is none."""
+        parts = []
         for name, sign, bound in self.tests:
-            if name not in present:
-                continue
-            test = compare[sign](F.col(name), bound)
-            if keep_null:
-                test = test | F.col(name).isNull()
-            if result is None:
-                result = test
-            else:
-                result = result | test if self.any_of else result & test
-        return result
+            if name in present:
+                null = f" OR {name} IS NULL" if keep_null else ""
+                parts.append(f"({name} {sign} {bound}{null})")
+        return f"({(' OR ' if self.any_of else ' AND ').join(parts)})" if parts else None
 
 
 @dataclass(frozen=True)
@@ -74,7 +63,7 @@ class CleanSpec:
     def raw_columns(self) -> tuple[str, ...]:
         return RAW_COLUMNS[self.name]
 
-    def parsers(self) -> dict[str, tuple[Callable[[Column], Column], T.DataType]]:
+    def parsers(self) -> dict[str, tuple[Callable[[str], str], T.DataType]]:
         """Parser and result type of every column that does not stay text."""
         found = {self.key: (text.extract_key, T.IntegerType())}
         for names, parser, kind in (
