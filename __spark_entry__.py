@@ -395,6 +395,10 @@ def repair_recurring(spark, sf_dir):
     return backfill_max(fact(spark, sf_dir, "counted"), silver(spark, sf_dir, "players"))
 
 
+def repair_rows(spark, sf_dir):
+    return backfill_max(fact(spark, sf_dir, "repeated"), silver(spark, sf_dir, "players"))
+
+
 def audit_match(spark, sf_dir):
     return match_audit(silver(spark, sf_dir, "players"), colleges(spark, sf_dir))
 
@@ -441,7 +445,7 @@ def csv_load(spark, sf_dir):
 
 def raw_external_table(spark, sf_dir):
     folder = shared_folder(spark)
-    data.raw(spark, sf_dir, "receiving").write.parquet(folder)
+    raw_table(spark, sf_dir, "receiving").write.parquet(folder)
     name = f"raw_{uuid.uuid4().hex}"
     return external_table(spark, name, raw_schema("receiving"), folder)
 
@@ -476,10 +480,10 @@ def refresh_snapshot(spark, sf_dir):
     folder = shared_folder(spark)
     first = data.raw_selects("defensive")[0]
     data.derived(spark, sf_dir, first).write.parquet(f"{folder}/raw")
-    data.raw(spark, sf_dir, "defensive").write.parquet(f"{folder}/snapshot")
-    refresh_category(
-        spark, "defensive", f"{folder}/raw", f"{folder}/snapshot", f"{folder}/silver"
+    snapshot = stored(
+        spark, (sf_dir, "raw", "defensive"), lambda: data.raw(spark, sf_dir, "defensive")
     )
+    refresh_category(spark, "defensive", f"{folder}/raw", snapshot, f"{folder}/silver")
     return read_silver(spark, clean_spec("defensive"), f"{folder}/silver")
 
 
@@ -488,7 +492,8 @@ def self_overwrite(spark, sf_dir):
     folder = shared_folder(spark)
     fact(spark, sf_dir, "single").write.parquet(folder)
     stored = spark.read.schema(fact_schema("bigint")).parquet(folder)
-    replace_folder(backfill_max(stored, silver(spark, sf_dir, "players")), folder)
+    players = silver(spark, sf_dir, "players")
+    replace_folder(backfill_max(stored, players, unique=True), folder)
     return spark.read.schema(fact_schema("bigint")).parquet(folder)
 
 
@@ -501,7 +506,7 @@ def full_batch(spark, sf_dir):
         measure_type="bigint",
     )
     for category in RAW_COLUMNS:
-        data.raw(spark, sf_dir, category).write.parquet(config.of("raw", category))
+        raw_table(spark, sf_dir, category).write.parquet(config.of("raw", category))
     for first in (True, False):
         run_batch(spark, config, colleges(spark, sf_dir), teams(spark, sf_dir), first)
     return spark.read.orc(config.of("gold", "fact_player_stats"))
@@ -566,6 +571,7 @@ def queries() -> dict[str, Query]:
         "dim_players": dim_players,
         "backfill_null_only": repair_first,
         "backfill_max": repair_recurring,
+        "backfill_max_rows": repair_rows,
         "match_audit": audit_match,
         "match_summary": audit_match_summary,
         "college_ranking": ranking,
@@ -771,6 +777,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "backfill_null_only": o.with_first_backfill(counted.format("repaired")),
         "backfill_max": o.with_backfill(counted.format("repaired")),
+        "backfill_max_rows": o.with_backfill("SELECT * FROM repaired"),
         "match_audit": (
             f"SELECT player_id, college, school FROM ({o.refine('players')}) p "
             f"LEFT JOIN ({o.college_dim()}) d ON college = school "

@@ -10,6 +10,7 @@ from tierflow.operators.clean import (
 )
 from tierflow.operators.derive import (
     argmax_class,
+    count_copies,
     dense_rank_by,
     merge_copies,
     modal_value,
@@ -18,6 +19,7 @@ from tierflow.operators.derive import (
     with_fallback,
 )
 from tierflow.operators.fuse import career_totals, fuse_outer, fuse_union
+from tierflow.operators.join import salted_left_join
 from tierflow.operators.refine import first_per_key, refine
 from tierflow.operators.rollup import (
     distinct_rows,
@@ -33,6 +35,7 @@ __all__ = [
     "argmax_class",
     "blanks_to_null",
     "career_totals",
+    "count_copies",
     "dense_rank_by",
     "distinct_rows",
     "first_per_key",
@@ -51,6 +54,7 @@ __all__ = [
     "row_counts",
     "safe_float",
     "safe_int",
+    "salted_left_join",
     "trim_all",
     "union_columns",
     "with_fallback",

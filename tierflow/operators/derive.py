@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.operators.join import salted_left_join
 from tierflow.operators.rollup import pair_counts
 
 _BLOCK = 4096
@@ -25,6 +26,11 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     )
 
 
+def count_copies(df: DataFrame) -> DataFrame:
+    """Distinct rows with their number in ``copies``; the inverse of ``repeat_rows``."""
+    return df.groupBy(*df.columns).agg(F.expr("count(*) AS copies"))
+
+
 def merge_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
     """Distinct rows, their ``copies`` summed."""
     others = [c for c in df.columns if c != copies]
@@ -66,7 +72,7 @@ def with_fallback(
     ``other`` has at most one row per key.
     """
     side = other.selectExpr(f"{key} AS _key", f"{fallback} AS _fallback")
-    return df.join(side, F.expr(f"{key} = _key"), "left").selectExpr(
+    return salted_left_join(df, side, key, "_key", df.columns).selectExpr(
         *df.columns, f"coalesce({column}, _fallback) AS {result}"
     )
 

@@ -13,18 +13,21 @@ view_counts = row_counts
 
 
 def match_audit(players: DataFrame, colleges: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` players with their college text and the matching school, if any."""
-    pairs = players.select("player_id", "college").join(
-        colleges.select("school"), F.col("college") == F.col("school"), "left"
-    )
+    """The first ``n`` players with their college text and the matching school, if any.
+
+    Every player gives at least one row, so the first ``n`` of them are enough to join.
+    """
+    first = players.select("player_id", "college").orderBy("player_id", "college").limit(n)
+    pairs = first.join(colleges.select("school"), F.expr("college = school"), "left")
     return pairs.orderBy("player_id", "college", "school").limit(n)
 
 
 def match_summary(players: DataFrame, colleges: DataFrame) -> DataFrame:
-    """Players rows per (matched or not), over the whole table."""
+    """Players rows per (matched or not), over the whole table; counted before the join."""
+    counts = players.groupBy("college").agg(F.expr("count(*) AS _rows"))
     keys = colleges.select("school").distinct()
-    pairs = players.select("college").join(keys, F.col("college") == F.col("school"), "left")
-    return pairs.groupBy(F.expr("school IS NOT NULL AS matched")).agg(F.expr("count(*) AS c"))
+    pairs = counts.join(keys, F.expr("college = school"), "left")
+    return pairs.groupBy(F.expr("school IS NOT NULL AS matched")).agg(F.expr("sum(_rows) AS c"))
 
 
 def preview(tables: Mapping[str, DataFrame], n: int = 20) -> None:

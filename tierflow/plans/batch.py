@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierflow.operators.derive import repeat_rows
 from tierflow.operators.refine import refine
 from tierflow.plans.refresh import refresh_category
 from tierflow.plans.star import (
@@ -66,21 +67,28 @@ def gold_tables(
 ) -> Mapping[str, DataFrame]:
     """Dimensions and repaired fact, from the silver folders.
 
-    The first load repairs only missing college keys, later runs all of them.
+    The first load repairs only missing college keys, later runs all of them. The repair
+    works on counted rows; they are repeated only when they are written.
     """
-    repair = backfill_null_only if first else backfill_max
     silver = {
         c: read_silver(spark, clean_spec(c), config.of("silver", c)) for c in RUN_ORDER
     }
-    fact = build_fact(
-        silver, colleges, teams, rows=config.fact_rows, measure_type=config.measure_type
-    )
+    single = config.fact_rows == "single"
+    rows = "single" if single else "counted"
+    fact = build_fact(silver, colleges, teams, rows, config.measure_type)
+    if single and not first:
+        fact = backfill_max(fact, silver["players"], unique=True)
+    else:
+        repair = backfill_null_only if first else backfill_max
+        fact = repair(fact, silver["players"])
+    if config.fact_rows == "repeated":
+        fact = repeat_rows(fact, "copies")
     return {
         "positions_dim": positions_dim(spark),
         "college_dim": college_dim(colleges),
         "teams_dim": teams_dim(teams),
         "players_dim": players_dim(silver["players"]),
-        "fact_player_stats": repair(fact, silver["players"]),
+        "fact_player_stats": fact,
     }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tierflow.operators.derive import (
     argmax_class,
+    count_copies,
     dense_rank_by,
     merge_copies,
     modal_value,
@@ -17,6 +18,7 @@ from tierflow.operators.derive import (
     with_fallback,
 )
 from tierflow.operators.fuse import career_totals
+from tierflow.operators.join import salted_left_join
 from tierflow.operators.refine import first_per_key
 from tierflow.operators.rollup import max_per_key, union_columns
 from tierflow.schemas import (
@@ -86,24 +88,26 @@ def years_played() -> str:
 
 
 def player_teams(players: DataFrame, usual_team: DataFrame) -> DataFrame:
-    """Current team of each players row, else the usual one (NULL for players without rows)."""
-    rows = players.selectExpr("CAST(player_id AS int) AS player_id", "current_team")
+    """Current team of each players row, else the usual one (NULL for players without rows).
+
+    Equal rows are counted before the join and repeated after it.
+    """
+    rows = count_copies(players.selectExpr("CAST(player_id AS int) AS player_id", "current_team"))
     found = with_fallback(rows, usual_team, "player_id", "current_team", "team", "final_team")
-    return found.drop("current_team")
+    return repeat_rows(found.drop("current_team"), "copies")
 
 
 def _lookup(df: DataFrame, dim: DataFrame, column: str, dim_key: str, result: str) -> DataFrame:
     """Left join to a dimension's key; ``copies`` grows where the key occurs several times.
 
     The dimension is reduced to its distinct keys. No broadcast is forced: Spark
-    broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by
-    sorting, where adaptive execution splits hot keys.
+    broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``; otherwise the salted join
+    keeps a college or team that many players share, and missing ones, from one task.
     """
     keys = dim.groupBy(F.col(dim_key).alias(result)).agg(F.expr("count(*) AS _matches"))
     rest = [c for c in df.columns if c not in (column, "copies")]
-    return df.join(keys, F.expr(f"{column} = {result}"), "left").selectExpr(
-        *rest, result, "copies * coalesce(_matches, 1) AS copies"
-    )
+    joined = salted_left_join(df, keys, column, result, ["player_id"])
+    return joined.selectExpr(*rest, result, "copies * coalesce(_matches, 1) AS copies")
 
 
 def build_fact(
@@ -187,11 +191,11 @@ def backfill_null_only(fact: DataFrame, players: DataFrame) -> DataFrame:
     counted rows stays counted.
     """
     counted = "copies" in fact.columns
-    gap = "sum(copies)" if counted else "count(*)"
+    rows = fact if counted else count_copies(fact)
     gaps = (
-        fact.filter("college_key IS NULL")
+        rows.filter("college_key IS NULL")
         .groupBy(F.col("player_key").alias("_id"))
-        .agg(F.expr(f"{gap} AS _gaps"))
+        .agg(F.expr("sum(copies) AS _gaps"))
     )
     colleges = (
         players.filter("player_id IS NOT NULL")
@@ -201,20 +205,28 @@ def backfill_null_only(fact: DataFrame, players: DataFrame) -> DataFrame:
     fix = colleges.join(gaps, F.expr("_key = _id")).selectExpr(
         "_key", "_college", "_rows * _gaps AS _times"
     )
-    filled = _with_college(fact, fix)
     kept = [c for c in fact.columns if c != "copies"]
-    if counted:
-        return merge_copies(filled.selectExpr(*kept, "copies * coalesce(_times, 1) AS copies"))
-    return repeat_rows(filled.selectExpr(*kept, "coalesce(_times, 1L) AS _times"), "_times")
+    filled = _with_college(rows, fix).selectExpr(
+        *kept, "copies * coalesce(_times, 1) AS copies"
+    )
+    return merge_copies(filled) if counted else repeat_rows(filled, "copies")
+
 
+def backfill_max(fact: DataFrame, players: DataFrame, unique: bool = False) -> DataFrame:
+    """Recurring repair: each player's greatest college text, also over a key already set.
 
-def backfill_max(fact: DataFrame, players: DataFrame) -> DataFrame:
-    """Recurring repair: each player's greatest college text, also over a key already set."""
+    Equal fact rows are counted before the join and repeated after it, unless ``unique``
+    says that the fact has one row per player. A fact of counted rows stays counted.
+    """
     named = players.selectExpr("CAST(player_id AS int) AS _key", "college AS _college").filter(
         "_key IS NOT NULL AND _college IS NOT NULL"
     )
-    filled = _with_college(fact, max_per_key(named, "_key", "_college"))
-    return merge_copies(filled) if "copies" in fact.columns else filled
+    fix = max_per_key(named, "_key", "_college")
+    if unique:
+        return _with_college(fact, fix)
+    if "copies" in fact.columns:
+        return merge_copies(_with_college(fact, fix))
+    return repeat_rows(_with_college(count_copies(fact), fix), "copies")
 
 
 def college_ranking(fact: DataFrame, positions: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Reading and writing of tables."""
 
 from tierflow.sources.csvfile import load_csv, read_csv
-from tierflow.sources.jdbc import import_tables, read_jdbc
+from tierflow.sources.jdbc import import_tables, read_jdbc, remainder_predicates
 from tierflow.sources.paths import exists, recover, replace_folder, shared_folder
 from tierflow.sources.tables import (
     drop_table,
@@ -29,6 +29,7 @@ __all__ = [
     "read_silver",
     "read_table",
     "recover",
+    "remainder_predicates",
     "rename_table",
     "replace_folder",
     "save_table",

@@ -20,8 +20,8 @@ def read_jdbc(
 ) -> DataFrame:
     """Read a table, split by the ranges of a numeric column or by ``predicates``.
 
-    All-text tables have no numeric column: give predicates that split the rows, such as
-    one per remainder of a hash of the key. Without either, one task reads the table.
+    All-text tables have no numeric column: give ``remainder_predicates``. Without either,
+    one task reads the table.
     """
     options = dict(properties)
     if predicates:
@@ -47,6 +47,18 @@ def read_jdbc(
     )
 
 
+def remainder_predicates(hashed: str, parts: int) -> list[str]:
+    """Predicates that split a table by the remainder of a non-negative hash.
+
+    ``hashed`` is an expression of the database; one over several columns also splits the
+    rows of a key that occurs often. Rows for which it is NULL join the first part.
+    """
+    return [
+        f"mod({hashed}, {parts}) = {i}" + (f" OR ({hashed}) IS NULL" if i == 0 else "")
+        for i in range(parts)
+    ]
+
+
 def import_tables(
     spark: SparkSession,
     url: str,
