@@ -132,6 +132,14 @@ def fact(spark: SparkSession, sf_dir: str, rows: str) -> DataFrame:
     )
 
 
+def stored_fact(spark: SparkSession, sf_dir: str, rows: str) -> DataFrame:
+    folder = stored(spark, (sf_dir, "fact", rows), lambda: fact(spark, sf_dir, rows))
+    schema = fact_schema("bigint")
+    return spark.read.schema(schema.add("copies", "bigint") if rows == "counted" else schema).parquet(
+        folder
+    )
+
+
 def all_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stat_silver(spark, sf_dir).values()
     return union_columns(tables, ["player_id", "team"])
@@ -252,11 +260,11 @@ def filtered(spark: SparkSession, sf_dir: str, category: str, keep_null: bool =
 
 
 def filter_position(spark, sf_dir):
-    return fact(spark, sf_dir, "counted").filter("position_key = 2")
+    return stored_fact(spark, sf_dir, "counted").filter("position_key = 2")
 
 
 def filter_key_null(spark, sf_dir):
-    return fact(spark, sf_dir, "counted").filter("college_key IS NULL")
+    return stored_fact(spark, sf_dir, "counted").filter("college_key IS NULL")
 
 
 # Deduplication.
@@ -388,15 +396,15 @@ def dim_players(spark, sf_dir):
 
 
 def repair_first(spark, sf_dir):
-    return backfill_null_only(fact(spark, sf_dir, "counted"), silver(spark, sf_dir, "players"))
+    return backfill_null_only(stored_fact(spark, sf_dir, "counted"), silver(spark, sf_dir, "players"))
 
 
 def repair_recurring(spark, sf_dir):
-    return backfill_max(fact(spark, sf_dir, "counted"), silver(spark, sf_dir, "players"))
+    return backfill_max(stored_fact(spark, sf_dir, "counted"), silver(spark, sf_dir, "players"))
 
 
 def repair_rows(spark, sf_dir):
-    return backfill_max(fact(spark, sf_dir, "repeated"), silver(spark, sf_dir, "players"))
+    return backfill_max(stored_fact(spark, sf_dir, "repeated"), silver(spark, sf_dir, "players"))
 
 
 def audit_match(spark, sf_dir):
@@ -408,7 +416,7 @@ def audit_match_summary(spark, sf_dir):
 
 
 def ranking(spark, sf_dir):
-    return college_ranking(fact(spark, sf_dir, "counted"), positions_dim(spark))
+    return college_ranking(stored_fact(spark, sf_dir, "counted"), positions_dim(spark))
 
 
 # Refresh, files and whole runs.
@@ -433,7 +441,7 @@ def csv_load(spark, sf_dir):
         F.col("conv_id").cast("string").alias("Conv Id"),
         F.col("turn").cast("string").alias(" Turn #"),
         F.col("role").alias("Role!"),
-        F.when(F.col("turn") % 5 != 4, F.col("text")).alias("TEXT"),
+        F.expr("CASE turn % 5 WHEN 4 THEN NULL WHEN 3 THEN '' ELSE text END AS TEXT"),
     )
     turns.write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
@@ -806,7 +814,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_load": " UNION ALL ".join(
             [
                 "SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn_, role, "
-                "CASE WHEN turn % 5 <> 4 THEN text END AS text FROM conversations"
+                "CASE turn % 5 WHEN 4 THEN NULL WHEN 3 THEN '' ELSE text END AS text FROM conversations"
             ]
             * 2
         ),

@@ -291,9 +291,13 @@ def table(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{source}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, select: tuple[str, list[str]]) -> DataFrame:
+def derived(
+    spark: SparkSession, sf_dir: str, select: tuple[str, list[str]], split: int | None = None
+) -> DataFrame:
+    """``split`` spreads a source of few files over that many tasks."""
     source, expressions = select
-    return table(spark, sf_dir, source).selectExpr(*expressions)
+    rows = table(spark, sf_dir, source)
+    return (rows.repartition(split) if split else rows).selectExpr(*expressions)
 
 
 def derived_sql(select: tuple[str, list[str]]) -> str:
@@ -301,8 +305,8 @@ def derived_sql(select: tuple[str, list[str]]) -> str:
     return f"SELECT {', '.join(expressions)} FROM {source}"
 
 
-def raw(spark: SparkSession, sf_dir: str, category: str) -> DataFrame:
-    parts = [derived(spark, sf_dir, s) for s in raw_selects(category)]
+def raw(spark: SparkSession, sf_dir: str, category: str, split: int | None = None) -> DataFrame:
+    parts = [derived(spark, sf_dir, s, split) for s in raw_selects(category)]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -19,8 +19,15 @@ LENIENT_PAIR = r",\s*"
 DATE_SHAPE = r"^\d{1,2}/\d{1,2}/\d{2,4}$"
 DATE_FORMAT = "M/d/yyyy"
 
-# A decimal number without exponent, as (sign)(whole part).fraction
-_FRACTION = r"^([\x00-\x20]*[+-]?)(\d*)\.\d*[\x00-\x20]*$"
+# Shapes that are tested before a cast: a failing try_cast raises and drops an exception
+# inside the JVM for each value, which costs far more than a pattern test.
+_BLANKS = r"[\x00-\x20]*"
+_INTEGER = rf"^{_BLANKS}[+-]?\d+{_BLANKS}$"
+_FRACTION = rf"^({_BLANKS}[+-]?)(\d*)\.\d*{_BLANKS}$"
+_FLOAT = (
+    rf"^{_BLANKS}[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[fFdD]?|(?i:inf|infinity|nan)|0[xX].*)"
+    rf"{_BLANKS}$"
+)
 
 
 def quoted(column: str) -> str:
@@ -50,12 +57,12 @@ def blank_to_null(value: str) -> str:
 
 
 def lenient_int(value: str) -> str:
-    """Text as int; a fraction is cut off (``12.7`` gives 12), other text gives NULL.
-
-    The regular expression runs only on text that is not a plain integer.
-    """
+    """Text as int; a fraction is cut off (``12.7`` gives 12), other text gives NULL."""
     whole = f"regexp_replace({value}, r'{_FRACTION}', '$10$2')"
-    return f"coalesce(try_cast({value} AS int), try_cast({whole} AS int))"
+    return (
+        f"CASE WHEN {value} RLIKE r'{_INTEGER}' THEN try_cast({value} AS int) "
+        f"WHEN {value} RLIKE r'{_FRACTION}' THEN try_cast({whole} AS int) END"
+    )
 
 
 def comma_int(value: str) -> str:
@@ -71,12 +78,15 @@ def marker_int(value: str, marker: str = "T") -> str:
 def digits_int(value: str) -> str:
     """Integer from the digits and dashes alone: ``45*`` gives 45, ``12.5`` gives 125."""
     digits = f"regexp_replace({value}, '[^0-9-]', '')"
-    return f"coalesce(try_cast({value} AS int), try_cast({digits} AS int))"
+    return (
+        f"CASE WHEN {value} RLIKE r'{_INTEGER}' THEN try_cast({value} AS int) "
+        f"WHEN {digits} RLIKE r'{_INTEGER}' THEN try_cast({digits} AS int) END"
+    )
 
 
 def lenient_float(value: str) -> str:
     """Text as float; commas are not accepted (``1,234.5`` gives NULL)."""
-    return f"try_cast({value} AS float)"
+    return f"CASE WHEN {value} RLIKE r'{_FLOAT}' THEN try_cast({value} AS float) END"
 
 
 def extract_key(value: str) -> str:

@@ -19,6 +19,7 @@ from tierflow.plans.star import (
     positions_dim,
     teams_dim,
 )
+from tierflow.sources.paths import settled
 from tierflow.sources.tables import publish, read_raw, read_silver, write_silver
 from tierflow.specs import clean_spec
 
@@ -78,9 +79,10 @@ def gold_tables(
     fact = build_fact(silver, colleges, teams, rows, config.measure_type)
     if single and not first:
         fact = backfill_max(fact, silver["players"], unique=True)
+    elif first:
+        fact = backfill_null_only(settled(fact), silver["players"])
     else:
-        repair = backfill_null_only if first else backfill_max
-        fact = repair(fact, silver["players"])
+        fact = backfill_max(fact, silver["players"])
     if config.fact_rows == "repeated":
         fact = repeat_rows(fact, "copies")
     return {

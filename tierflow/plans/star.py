@@ -29,6 +29,7 @@ from tierflow.schemas import (
     TEAMS_DIM,
     fact_schema,
 )
+from tierflow.sources.paths import settled
 from tierflow.specs import STAT_CATEGORIES
 
 
@@ -188,7 +189,7 @@ def backfill_null_only(fact: DataFrame, players: DataFrame) -> DataFrame:
 
     A player's fact rows are repeated once per pair of its NULL-key rows and players
     rows, as the plain joins do; the pairs are counted per college, not joined. A fact of
-    counted rows stays counted.
+    counted rows stays counted. The fact is read twice: pass a stored one.
     """
     counted = "copies" in fact.columns
     rows = fact if counted else count_copies(fact)
@@ -233,7 +234,8 @@ def college_ranking(fact: DataFrame, positions: DataFrame) -> DataFrame:
     """Colleges by the good years of their players, weighted by position difficulty.
 
     Each player counts once per college, whatever the number of its fact rows. The
-    positions table is the seven-row constant, so it is broadcast.
+    positions table is the seven-row constant, so it is broadcast. The ranking reads the
+    table of colleges several times, so that is written to a shared folder first.
     """
     players = (
         fact.filter("college_key IS NOT NULL")
@@ -249,5 +251,5 @@ def college_ranking(fact: DataFrame, positions: DataFrame) -> DataFrame:
         "sum(good_years * coalesce(difficulty, 0)) AS weighted_years",
     ]
     colleges = weighted.groupBy("college_key").agg(*map(F.expr, totals))
-    return dense_rank_by(colleges, "weighted_years", "college_rank")
+    return dense_rank_by(settled(colleges), "weighted_years", "college_rank")
 

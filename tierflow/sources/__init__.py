@@ -2,7 +2,7 @@
 
 from tierflow.sources.csvfile import load_csv, read_csv
 from tierflow.sources.jdbc import import_tables, read_jdbc, remainder_predicates
-from tierflow.sources.paths import exists, recover, replace_folder, shared_folder
+from tierflow.sources.paths import exists, recover, replace_folder, settled, shared_folder
 from tierflow.sources.tables import (
     drop_table,
     external_table,
@@ -33,6 +33,7 @@ __all__ = [
     "rename_table",
     "replace_folder",
     "save_table",
+    "settled",
     "shared_folder",
     "use_database",
     "write_silver",

@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.functions.text import clean_column_name
+from tierflow.functions.text import clean_column_name, quoted
 from tierflow.operators.clean import check_header
 from tierflow.schemas import text_schema
 from tierflow.sources.tables import save_table
 
 
+# Stands for a quoted empty value while reading, as Spark would take it for NULL too.
+_EMPTY = "\ue000" * 3
+
+
 def _reader(spark: SparkSession, multiline: bool):
-    return spark.read.options(quote='"', escape='"', multiLine=multiline, mode="FAILFAST")
+    return spark.read.options(
+        quote='"', escape='"', multiLine=multiline, mode="FAILFAST", emptyValue=_EMPTY
+    )
 
 
 def spans_lines(spark: SparkSession, path: str) -> bool:
@@ -35,7 +41,10 @@ def read_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> D
         raise ValueError(f"{path} has no header line")
     names = [clean_column_name(value or "") for value in first]
     check_header(names)
-    return _reader(spark, multiline).schema(text_schema(names)).csv(path, header=True)
+    rows = _reader(spark, multiline).schema(text_schema(names)).csv(path, header=True)
+    return rows.selectExpr(
+        *[f"CASE WHEN {quoted(c)} = '{_EMPTY}' THEN '' ELSE {quoted(c)} END AS {quoted(c)}" for c in names]
+    )
 
 
 def load_csv(

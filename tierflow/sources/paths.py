@@ -35,6 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tierflow-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to a shared folder and read back: computed once, its lineage cut."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)
