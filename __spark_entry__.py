@@ -135,9 +135,9 @@ def fact(spark: SparkSession, sf_dir: str, rows: str) -> DataFrame:
 def stored_fact(spark: SparkSession, sf_dir: str, rows: str) -> DataFrame:
     folder = stored(spark, (sf_dir, "fact", rows), lambda: fact(spark, sf_dir, rows))
     schema = fact_schema("bigint")
-    return spark.read.schema(schema.add("copies", "bigint") if rows == "counted" else schema).parquet(
-        folder
-    )
+    if rows == "counted":
+        schema = schema.add("copies", "long")
+    return spark.read.schema(schema).parquet(folder)
 
 
 def all_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
