@@ -111,8 +111,23 @@ def fuse_union(
     specs: Mapping[str, RollupSpec] = ROLLUPS,
     drop_null_key: bool = True,
 ) -> DataFrame:
-    """The measures of ``career_totals`` alone."""
-    measures = [out for spec in specs.values() for out in spec.sums]
-    return career_totals(silver, key, specs=specs, drop_null_key=drop_null_key).select(
-        key, *measures
-    )
+    """The measures of ``fuse_outer`` from the silver tables, in one aggregation.
+
+    Without years there is no need to group by season: the union of all tables is summed
+    on the map side and shuffled once by key.
+    """
+    kinds = {}
+    for name, spec in specs.items():
+        types = dict(silver[name].dtypes)
+        for out, source in spec.sums.items():
+            kinds[out] = "double" if types[source] in _FRACTIONAL else "bigint"
+
+    def part(name: str) -> DataFrame:
+        own = specs[name].sums
+        values = [f"CAST({own.get(out, 'NULL')} AS {kind}) AS {out}" for out, kind in kinds.items()]
+        return silver[name].selectExpr(f"CAST({key} AS int) AS {key}", *values)
+
+    rows = reduce(DataFrame.unionByName, map(part, specs))
+    if drop_null_key:
+        rows = rows.filter(f"{key} IS NOT NULL")
+    return rows.groupBy(key).agg(*[F.expr(f"coalesce(sum({m}), 0) AS {m}") for m in kinds])
