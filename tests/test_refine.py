@@ -179,6 +179,8 @@ def test_table_helpers(rows):
     assert by_z(blanks_to_null(df)) == [(" a ", "--"), (None, "1,234")]
     assert by_z(safe_int(df, ["y"])) == [(" a ", None), ("", 1234)]
     assert by_z(safe_float(df, ["y"])) == [(" a ", None), ("", None)]
+    with pytest.raises(ValueError, match="w"):
+        safe_int(df, ["w"])
 
 
 def test_normalise_header(rows):

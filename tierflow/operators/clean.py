@@ -19,6 +19,8 @@ def map_columns(
     """Put ``change`` of the named columns in their place, in a single projection."""
     chosen = set(columns)
     names = [(c, text.quoted(c)) for c in df.columns]
+    if unknown := chosen.difference(df.columns):
+        raise ValueError(f"no such columns: {', '.join(sorted(unknown))}")
     return df.selectExpr(*[f"{change(q)} AS {q}" if c in chosen else q for c, q in names])
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.functions.text import clean_column_name, quoted
-from tierflow.operators.clean import check_header
+from tierflow.functions.text import clean_column_name
+from tierflow.operators.clean import check_header, map_columns
 from tierflow.schemas import text_schema
 from tierflow.sources.tables import save_table
 
@@ -42,9 +42,7 @@ def read_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> D
     names = [clean_column_name(value or "") for value in first]
     check_header(names)
     rows = _reader(spark, multiline).schema(text_schema(names)).csv(path, header=True)
-    return rows.selectExpr(
-        *[f"CASE WHEN {quoted(c)} = '{_EMPTY}' THEN '' ELSE {quoted(c)} END AS {quoted(c)}" for c in names]
-    )
+    return map_columns(rows, names, lambda v: f"CASE WHEN {v} = '{_EMPTY}' THEN '' ELSE {v} END")
 
 
 def load_csv(
