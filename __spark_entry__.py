@@ -58,6 +58,7 @@ from tierflow.plans import (
 )
 from tierflow.plans.star import main_position, years_played
 from tierflow.schemas import RAW_COLUMNS, fact_schema, raw_schema
+from tierflow.settings import tune
 from tierflow.sources import (
     external_table,
     load_csv,
@@ -522,9 +523,18 @@ def full_batch(spark, sf_dir):
 
 def entry(spark: SparkSession) -> DataFrame:
     """The fact table, distinct rows with their number, at the smallest scale."""
+    tune(spark)
     return fact_counted(spark, "/root/testdata/sf0.001")
 
 
+def tuned(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "clean_header": clean_header,
@@ -594,7 +604,7 @@ def queries() -> dict[str, Query]:
         "gold_overwrite": gold_overwrite,
         "full_batch": full_batch,
     }
-    return found
+    return {name: tuned(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

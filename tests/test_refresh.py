@@ -4,6 +4,7 @@ from conftest import bag
 from tierflow.operators import refine
 from tierflow.plans import BatchConfig, refresh_category, run_batch
 from tierflow.schemas import FACT_MEASURES, RAW_COLUMNS, TEAMS_DIM, fact_schema, raw_schema
+from tierflow.settings import tune
 from tierflow.sources import read_silver
 from tierflow.specs import clean_spec
 
@@ -107,3 +108,14 @@ def test_run_batch(spark, tmp_path, fact_rows):
     assert [r.rushing_yards for r in fact.collect()] == [3000, 3000]
     assert bag(gold("positions_dim")) == bag(gold("positions_dim").distinct())
     assert set(FACT_MEASURES) < set(fact.columns)
+
+
+def test_tune_respects_the_users_value(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, "65535")
+    tune(spark)
+    assert spark.conf.get(name) == "8000"
+    spark.conf.set(name, "9000")
+    tune(spark)
+    assert spark.conf.get(name) == "9000"
+    spark.conf.unset(name)

@@ -19,6 +19,7 @@ from tierflow.plans.star import (
     positions_dim,
     teams_dim,
 )
+from tierflow.settings import tune
 from tierflow.sources.paths import settled
 from tierflow.sources.tables import publish, read_raw, read_silver, write_silver
 from tierflow.specs import clean_spec
@@ -106,6 +107,7 @@ def run_batch(
     The first load appends to gold, later runs replace it. The fact is computed with its
     repair before its only write, so no table is overwritten while it is read.
     """
+    tune(spark)
     if first:
         first_load(spark, config)
         changed = dict.fromkeys(RUN_ORDER, True)
