@@ -535,7 +535,7 @@ def tuned(query: Query) -> Query:
     return run
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "clean_header": clean_header,
         "trim_strings": trim_strings,
@@ -607,7 +607,7 @@ def queries() -> dict[str, Query]:
     return {name: tuned(query) for name, query in found.items()}
 
 
-def oracle_sql() -> dict[str, str]:
+def library_oracle() -> dict[str, str]:
     o = oracle
 
     def raw(category: str) -> str:
@@ -837,3 +837,24 @@ def oracle_sql() -> dict[str, str]:
     }
     found["gold_append"] = f"{found['dim_players']} UNION ALL {found['dim_players']}"
     return found
+
+
+def _corpus():
+    """Queries of the corpus operators, or None where that subpackage is not there."""
+    try:
+        from tierflow.llm import queries as corpus
+    except ModuleNotFoundError as error:
+        if error.name not in ("tierflow.llm", "corpus_pipeline"):
+            raise
+        return None
+    return corpus
+
+
+def queries() -> dict[str, Query]:
+    corpus = _corpus()
+    return {**library_queries(), **(corpus.QUERIES if corpus else {})}
+
+
+def oracle_sql() -> dict[str, str]:
+    corpus = _corpus()
+    return {**library_oracle(), **(corpus.ORACLE if corpus else {})}

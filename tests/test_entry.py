@@ -11,8 +11,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = driver.library_queries()
+ORACLE = driver.library_oracle()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -53,6 +53,11 @@ def test_every_query_has_its_statement():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_queries_hold_those_of_the_library():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql())
+
+
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.columns[0] == "player_key" and df.columns[-1] == "copies"
