@@ -122,45 +122,64 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+# A number and its inverse modulo 2**64.
 _BASE = np.uint64(0x5851F42D4C957F2D)
+_BASE_INVERSE = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
+_tables: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _BASE, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
+    if name not in _tables or len(_tables[name]) < n:
+        out = np.full(1 << max(16, (n - 1).bit_length()), base, np.uint64)
+        out[0] = 1
+        _tables[name] = np.multiply.accumulate(out)
+    return _tables[name][:n]
 
 
-def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and for each text its first place among them (one more at the end).
-
-    Equal words have equal hashes wherever they stand: each is a sum of byte codes times powers
-    of a base by place in the word, modulo 2**64, and then mixed. Nulls are empty texts.
-    """
-    texts = texts.cast(pa.large_string()).fill_null("")
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts and the bounds of each (one more at the end); nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    texts = texts.cast(pa.large_string())
+    if texts.null_count:
+        texts = texts.fill_null("")
     _, offsets, data = texts.buffers()
     bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    if not len(texts) or bounds[-1] == bounds[0]:
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
-    bounds = bounds - bounds[0]
-    inside = ~_IS_SPACE[raw]
-    first = inside.copy()
+    if data is None or not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true places; a bound ends a run."""
+    if not len(inside):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
-    cuts = bounds[:-1][bounds[:-1] < len(raw)]
+    last[:-1] &= ~inside[1:]
+    cuts = bounds[(bounds > 0) & (bounds < len(inside))]
     first[cuts] = inside[cuts]
-    starts = np.flatnonzero(first)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    number = np.cumsum(first)[inside] - 1  # of the word, for each of its bytes
-    place = np.flatnonzero(inside) - starts[number]
-    longest = int(place.max()) + 1
-    codes = _BYTE_CODES[_LOWER[raw[inside]] if lower else raw[inside]] * _powers(longest)[place]
-    heads = np.flatnonzero(first[inside])
-    hashes = mixed(np.add.reduceat(codes, heads))
-    return hashes, np.searchsorted(starts, bounds).astype(np.int64)
+    last[cuts - 1] = inside[cuts - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def run_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pieces of ``raw``: equal pieces have equal hashes wherever they stand.
+
+    Each is the sum of byte codes times powers of a base by place in the piece, modulo 2**64, got
+    from running sums over all bytes, and then mixed.
+    """
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE_CODES[raw] * _powers("base", _BASE, len(raw)), out=sums[1:])
+    shift = _powers("inverse", _BASE_INVERSE, len(raw) + 1)[starts]
+    return mixed((sums[ends] - sums[starts]) * shift)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, A-Z as a-z, and for each text its first place among them (one more)."""
+    raw, bounds = text_bytes(texts)
+    starts, ends = runs(~_IS_SPACE[raw], bounds)
+    return run_hashes(_LOWER[raw], starts, ends), np.searchsorted(starts, bounds).astype(np.int64)
 
 
 def shingle_hashes(

@@ -5,8 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from .common import table
+from .packing import pack
 from .rules import quality_rules
+from .secrets import scan_secrets
+
+
+def tokenizer_files() -> dict[str, str]:
+    return {
+        "vocabulary": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(docs, **tokenizer_files())
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +32,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
+    "op2_packing": op2_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLE: dict[str, str] = {}
