@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from .common import table
+from .decontaminate import find_contamination
 from .packing import pack
 from .rules import quality_rules
 from .secrets import scan_secrets
@@ -32,6 +33,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return find_contamination(docs, items)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -39,6 +46,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_decontamination": op8_decontamination,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE: dict[str, str] = {}
