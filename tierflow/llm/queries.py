@@ -10,6 +10,7 @@ import public_tokenizers
 from .common import table
 from .decontaminate import find_contamination
 from .packing import pack
+from .pii import find_personal_data
 from .rules import quality_rules
 from .secrets import scan_secrets
 
@@ -33,6 +34,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
@@ -45,6 +50,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op10_secret_scan": op10_secret_scan,
