@@ -152,6 +152,9 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         self._parts.append(data)
 
+    def updatepos(self, i, j):
+        return j  # line numbers aren't asked for
+
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     radius = int(np.ceil(3 * sigma))

@@ -9,6 +9,7 @@ import public_tokenizers
 
 from .common import table
 from .decontaminate import find_contamination
+from .html import extract_text
 from .packing import pack
 from .pii import find_personal_data
 from .rules import quality_rules
@@ -44,6 +45,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(docs, items)
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
+    "op9_html_text": op9_html_text,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE: dict[str, str] = {}
