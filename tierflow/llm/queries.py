@@ -10,6 +10,7 @@ import public_tokenizers
 from .common import table
 from .decontaminate import find_contamination
 from .html import extract_text
+from .neardup import near_duplicates
 from .packing import pack
 from .pii import find_personal_data
 from .rules import quality_rules
@@ -24,6 +25,10 @@ def tokenizer_files() -> dict[str, str]:
     }
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pack(docs, **tokenizer_files())
@@ -54,6 +59,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_packing": op2_packing,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
