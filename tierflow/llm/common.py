@@ -45,7 +45,7 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(frame: DataFrame, codec: str = "snappy", by: list[str] | None = None) -> DataFrame:
+def stored(frame: DataFrame, codec: str = "snappy") -> DataFrame:
     """The rows of ``frame``, written once to the shared folder and read from there.
 
     This cuts the lineage: what follows survives lost executors without recomputing the frame.
@@ -56,8 +56,7 @@ def stored(frame: DataFrame, codec: str = "snappy", by: list[str] | None = None)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        writer = frame.write.option("compression", codec)
-        (writer.partitionBy(*by) if by else writer).parquet(folder)
+        frame.write.option("compression", codec).parquet(folder)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)
@@ -66,10 +65,26 @@ def stored(frame: DataFrame, codec: str = "snappy", by: list[str] | None = None)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def small(frame: DataFrame) -> DataFrame:
+    """A stored table in one file: what is joined with it sees how small it is."""
+    return stored(frame.repartition(1))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_files() -> dict[str, str]:
+    """The public tokenizer that sequences are made with."""
+    import public_tokenizers
+
+    return {
+        "vocabulary": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
 def packed(docs: DataFrame, *columns: str) -> DataFrame:
     """``columns`` and a struct ``row`` with the whole input row.
 

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-import public_tokenizers
+import corpus_pipeline
 
-from .common import table
+from .common import table, tokenizer_files
 from .decontaminate import find_contamination
 from .html import extract_text
 from .neardup import near_duplicates
@@ -17,14 +16,6 @@ from .rules import quality_rules
 from .secrets import scan_secrets
 
 
-def tokenizer_files() -> dict[str, str]:
-    return {
-        "vocabulary": public_tokenizers.path("byte_bpe_50k.json"),
-        "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
-        "pattern": public_tokenizers.PATTERN,
-    }
-
-
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -66,5 +57,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_html_text": op9_html_text,
     "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
