@@ -12,6 +12,7 @@ from .html import extract_text
 from .neardup import near_duplicates
 from .packing import pack
 from .pii import find_personal_data
+from .quality import classify
 from .rules import quality_rules
 from .secrets import scan_secrets
 
@@ -31,6 +32,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
+    return classify(docs, labels)
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -52,6 +59,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_packing": op2_packing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
