@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
+from .chat import link_quotations
 from .common import table, tokenizer_files
 from .decontaminate import find_contamination
 from .html import extract_text
@@ -32,6 +33,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotations(table(spark, sf_dir, "conversations"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
@@ -59,6 +64,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_packing": op2_packing,
+    "op4_quotation_links": op4_quotation_links,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
