@@ -133,10 +133,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_CODES = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 # A number and its inverse modulo 2**64.
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _BASE_INVERSE = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
@@ -193,8 +193,8 @@ def run_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, A-Z as a-z, and for each text its first place among them (one more)."""
     raw, bounds = text_bytes(texts)
-    starts, ends = runs(~_IS_SPACE[raw], bounds)
-    return run_hashes(_LOWER[raw], starts, ends), np.searchsorted(starts, bounds).astype(np.int64)
+    starts, ends = runs(~IS_SPACE[raw], bounds)
+    return run_hashes(LOWER[raw], starts, ends), np.searchsorted(starts, bounds).astype(np.int64)
 
 
 def shingle_hashes(

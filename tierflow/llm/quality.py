@@ -24,14 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, mixed, run_hashes, runs, stored, text_bytes
+from .common import IS_SPACE, batches, mixed, run_hashes, runs, stored, text_bytes
 
 #: Hash buckets of the features, rows of the fit, smoothing of the counts, cost of an error, and
 #: passes over the sample.
 WIDTH, SAMPLE, ALPHA, COST, PASSES = 1 << 18, 6000, 1.0, 1.0, 12
 THRESHOLD = 0.3
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +48,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         tri = raw[:-2].astype(np.uint64) << 16 | raw[1:-1].astype(np.uint64) << 8 | raw[2:]
         within = owner[:-2] == owner[2:] if len(raw) > 2 else np.zeros(0, bool)
         add(tri[within], owner[:-2][within], 1)
-        starts, ends = runs(~_SPACE[raw], bounds)
+        starts, ends = runs(~IS_SPACE[raw], bounds)
         words = run_hashes(raw, starts, ends)
         of = owner[starts]
         add(words, of, 2)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
+from .brown import class_scores
 from .chat import link_quotations
 from .common import table, tokenizer_files
 from .decontaminate import find_contamination
@@ -33,6 +34,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op3_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_quotations(table(spark, sf_dir, "conversations"))
 
@@ -64,6 +69,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_packing": op2_packing,
+    "op3_class_scores": op3_class_scores,
     "op4_quotation_links": op4_quotation_links,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_personal_data": op6_personal_data,
