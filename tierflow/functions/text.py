@@ -37,8 +37,7 @@ def quoted(column: str) -> str:
 
 def clean_column_name(name: str) -> str:
     """Header text as a column name: lower case, blanks to ``_``, ``[a-z0-9_]`` only."""
-    underscored = re.sub(" ", "_", name.strip())
-    return "".join(re.findall("[a-z0-9_]", underscored.lower()))
+    return re.sub("[^a-z0-9_]", "", name.strip().lower().replace(" ", "_"))
 
 
 def normalise(value: str, zero: bool = False) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators.join import salted_left_join
+from tierflow.operators.join import SALTS, salted_left_join
 from tierflow.operators.rollup import pair_counts
 
 _BLOCK = 4096
@@ -65,31 +65,40 @@ def argmax_class(classes: Mapping[int, str], measures: list[str]) -> str:
 
 
 def with_fallback(
-    df: DataFrame, other: DataFrame, key: str, column: str, fallback: str, result: str
+    df: DataFrame,
+    other: DataFrame,
+    key: str,
+    column: str,
+    fallback: str,
+    result: str,
+    salts: int = SALTS,
 ) -> DataFrame:
     """``column``, or where it is NULL the ``fallback`` that ``other`` holds for the key.
 
     ``other`` has at most one row per key.
     """
     side = other.selectExpr(f"{key} AS _key", f"{fallback} AS _fallback")
-    return salted_left_join(df, side, key, "_key", df.columns).selectExpr(
+    return salted_left_join(df, side, key, "_key", df.columns, salts).selectExpr(
         *df.columns, f"coalesce({column}, _fallback) AS {result}"
     )
 
 
-def dense_rank_by(df: DataFrame, score: str, result: str) -> DataFrame:
-    """Dense rank of a non-negative whole number, the largest first, over the whole table.
+def dense_rank_by(df: DataFrame, score: str, result: str, salts: int = SALTS) -> DataFrame:
+    """Dense rank of a whole number, the largest first, over the whole table.
 
     A window without partitions would move every row to one task. Here the distinct
-    scores are ranked within buckets (bit length and up to ten leading bits), and only
-    the per-bucket counts, at most 64 * 1024 rows, are summed in one place.
+    scores, less the smallest one, are ranked within buckets (bit length and up to ten leading
+    bits), and only the per-bucket counts, at most 64 * 1024 rows, are summed in one place.
+    Scores may be negative; a range beyond that of bigint fails the subtraction. ``df`` is read
+    three times: pass a stored table. The rank joins back salted, as many rows may share a score.
     """
-    leading = "shiftright(_score, greatest(length(bin(_score)) - 10, 0))"
+    whole = df.selectExpr(f"CAST({score} AS bigint) AS _score").filter("_score IS NOT NULL")
+    least = whole.agg(F.min("_score")).scalar()
+    leading = "shiftright(_above, greatest(length(bin(_above)) - 10, 0))"
     scores = (
-        df.selectExpr(f"CAST({score} AS bigint) AS _score")
-        .filter("_score IS NOT NULL")
-        .distinct()
-        .selectExpr("_score", f"length(bin(_score)) * 1024 + {leading} AS _bucket")
+        whole.distinct()
+        .withColumn("_above", F.col("_score") - least)
+        .selectExpr("_score", f"length(bin(_above)) * 1024 + {leading} AS _bucket")
     )
     above = "ORDER BY _bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     offsets = (
@@ -103,4 +112,4 @@ def dense_rank_by(df: DataFrame, score: str, result: str) -> DataFrame:
         .join(offsets, "_bucket")
         .selectExpr("_score", f"_within + _offset AS {result}")
     )
-    return df.join(ranks, F.expr(f"{score} = _score"), "left").drop("_score")
+    return salted_left_join(df, ranks, score, "_score", df.columns, salts).drop("_score")

@@ -25,8 +25,11 @@ def salted_left_join(
     A row's salt is a hash of its ``spread`` columns, so a rerun task gives it the same
     one; ``side`` is repeated for every salt. The repeat also puts a shuffle of its own
     below the join, which lets adaptive execution split what is still too large, and a
-    small ``side`` is broadcast as in a plain join.
+    small ``side`` is broadcast as in a plain join. ``salts=1`` is the plain join: for a side
+    that is broadcast anyway, the copies would serve nothing.
     """
+    if salts == 1:
+        return df.join(side, F.expr(f"{key} = {side_key}"), "left")
     columns = ", ".join(map(quoted, spread))
     left = df.selectExpr("*", f"pmod(hash({columns}), {salts}) AS _salt")
     right = side.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _copy")

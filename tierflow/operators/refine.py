@@ -11,7 +11,10 @@ from tierflow.specs import ALL, ROW, CleanSpec
 
 
 def first_per_key(
-    df: DataFrame, keys: Iterable[str], order: Iterable[str] | None = None
+    df: DataFrame,
+    keys: Iterable[str],
+    order: Iterable[str] | None = None,
+    nulls_last: bool = False,
 ) -> DataFrame:
     """One row per key: the first in the order of ``order`` (default: all other columns).
 
@@ -21,7 +24,8 @@ def first_per_key(
     keys = list(keys)
     order = [c for c in df.columns if c not in keys] if order is None else list(order)
     by = ", ".join(map(text.quoted, keys))
-    sort = ", ".join(map(text.quoted, order or keys))
+    nulls = " NULLS LAST" if nulls_last else ""
+    sort = ", ".join(text.quoted(c) + nulls for c in order or keys)
     window = f"PARTITION BY {by} ORDER BY {sort}"
     ranked = df.selectExpr("*", f"row_number() OVER ({window}) AS _rank")
     return ranked.filter("_rank = 1").drop("_rank")

@@ -47,12 +47,14 @@ def refresh_category(
 ) -> bool:
     """Recompute silver from the snapshot alone and make the snapshot the raw table.
 
-    A missing snapshot is no error, a missing raw table is. If the job stops between the
-    two writes, the next run finds the gate still open and repeats both.
+    A missing snapshot is no error, a missing raw table is. A snapshot without the
+    ``_SUCCESS`` marker is still being written, or its import failed: it counts as missing. If
+    the job stops between the two writes, the next run finds the gate still open and repeats
+    both.
     """
     recover(spark, raw_path)
     raw_rows = read_raw(spark, category, raw_path).count()
-    if not exists(spark, snapshot_path):
+    if not exists(spark, f"{snapshot_path.rstrip('/')}/_SUCCESS"):
         return False
     snapshot = read_raw(spark, category, snapshot_path)
     if not should_refresh(raw_rows, snapshot.count()):

@@ -8,11 +8,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Column names of the raw tables, in table order.
-_KICK_RANGES = ("2029", "3039", "4049", "50")
-_KICK_BY_RANGE = " ".join(
-    f"fgs_made_{r}_yards fgs_attempted_{r}_yards fgs_percentage_{r}_yards" for r in _KICK_RANGES
-)
-
 RAW_COLUMNS: dict[str, tuple[str, ...]] = {
     name: tuple(columns.split())
     for name, columns in {
@@ -36,9 +31,13 @@ RAW_COLUMNS: dict[str, tuple[str, ...]] = {
             player_id name postion year team games_played total_tackles solo_tackles
             assisted_tackles sacks safties passes_defended ints ints_for_tds int_yards
             yards_per_int longest_int_return""",
-        "kicking": f"""
+        "kicking": """
             player_id name position year team games_played kicks_blocked longest_fg_made
-            fgs_made fgs_attempted fg_percentage {_KICK_BY_RANGE}
+            fgs_made fgs_attempted fg_percentage
+            fgs_made_2029_yards fgs_attempted_2029_yards fgs_percentage_2029_yards
+            fgs_made_3039_yards fgs_attempted_3039_yards fgs_percentage_3039_yards
+            fgs_made_4049_yards fgs_attempted_4049_yards fgs_percentage_4049_yards
+            fgs_made_50_yards fgs_attempted_50_yards fgs_percentage_50_yards
             extra_points_attempted extra_points_made percentage_of_extra_points
             extra_points_blocked""",
         "returns": """
@@ -69,10 +68,8 @@ def raw_schema(category: str) -> T.StructType:
     return text_schema(RAW_COLUMNS[category])
 
 
-# Names and types of the dimension and fact tables.
-COLLEGE_DIM = typed_schema(
-    "school string, state string, city string, football_attendence int, stadium_size int"
-)
+# Names and types of the dimension and fact tables. The columns of the college
+# dimension are its caller's, but for the key, ``school``.
 TEAMS_DIM = text_schema(
     "team_name home_stadium location lat long mascot live_mascots conference division "
     "superbowl_wins year_est".split()

@@ -2,7 +2,15 @@
 
 from tierflow.sources.csvfile import load_csv, read_csv
 from tierflow.sources.jdbc import import_tables, read_jdbc, remainder_predicates
-from tierflow.sources.paths import exists, recover, replace_folder, settled, shared_folder
+from tierflow.sources.paths import (
+    delete,
+    exists,
+    recover,
+    replace_folder,
+    scratch,
+    settled,
+    shared_folder,
+)
 from tierflow.sources.tables import (
     drop_table,
     external_table,
@@ -18,6 +26,7 @@ from tierflow.sources.tables import (
 
 __all__ = [
     "drop_table",
+    "delete",
     "exists",
     "external_table",
     "import_tables",
@@ -33,6 +42,7 @@ __all__ = [
     "rename_table",
     "replace_folder",
     "save_table",
+    "scratch",
     "settled",
     "shared_folder",
     "use_database",

@@ -48,13 +48,16 @@ def read_jdbc(
 
 
 def remainder_predicates(hashed: str, parts: int) -> list[str]:
-    """Predicates that split a table by the remainder of a non-negative hash.
+    """Predicates that split a table by the remainder of a whole-number hash.
 
     ``hashed`` is an expression of the database; one over several columns also splits the
-    rows of a key that occurs often. Rows for which it is NULL join the first part.
+    rows of a key that occurs often. Databases give a negative number a negative remainder,
+    so that is shifted: every row is in exactly one part. Rows for which the hash is NULL join
+    the first one.
     """
+    remainder = f"mod(mod({hashed}, {parts}) + {parts}, {parts})"
     return [
-        f"mod({hashed}, {parts}) = {i}" + (f" OR ({hashed}) IS NULL" if i == 0 else "")
+        f"({remainder} = {i}" + (f" OR ({hashed}) IS NULL)" if i == 0 else ")")
         for i in range(parts)
     ]
 

@@ -2,45 +2,41 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_local_base: str | None = None
-
-
-def _own_base() -> str:
-    """Temporary folder of a local session, removed when Python ends."""
-    global _local_base
-    if _local_base is None:
-        _local_base = tempfile.mkdtemp(prefix="tierflow-")
-        atexit.register(shutil.rmtree, _local_base, ignore_errors=True)
-    return _local_base
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``.
+    """A new folder below the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint folder).
 
-    Only a local session without that setting gets a temporary folder of its machine.
+    There is no other place that all executors see, so without one this is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _own_base()
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/tierflow-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to a shared folder and read back: computed once, its lineage cut."""
-    spark = df.sparkSession
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A shared folder for intermediate tables, deleted at the end, also after a failure.
+
+    What is read from it must be written elsewhere before.
+    """
     folder = shared_folder(spark)
+    try:
+        yield folder
+    finally:
+        delete(spark, folder)
+
+
+def settled(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written to ``folder`` and read back: computed once, its lineage cut."""
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -49,6 +45,11 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop.Path, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    make, fs = _file_system(spark, path)
+    fs.delete(make(path), True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     make, fs = _file_system(spark, path)
     return fs.exists(make(path))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import types as T
 
 from tierflow.functions import text
-from tierflow.schemas import _KICK_RANGES, RAW_COLUMNS
+from tierflow.schemas import RAW_COLUMNS
 
 ALL = "all"
 ROW = "row"
@@ -148,12 +148,15 @@ KICKING = CleanSpec(
     zero_marks=ALL,
     digit_ints=(
         "kicks_blocked", "longest_fg_made", "fgs_made", "fgs_attempted",
-        *(f"fgs_{what}_{r}_yards" for r in _KICK_RANGES for what in ("made", "attempted")),
+        "fgs_made_2029_yards", "fgs_attempted_2029_yards",
+        "fgs_made_3039_yards", "fgs_attempted_3039_yards",
+        "fgs_made_4049_yards", "fgs_attempted_4049_yards",
+        "fgs_made_50_yards", "fgs_attempted_50_yards",
         "extra_points_attempted", "extra_points_made",
     ),
     floats=(
-        "fg_percentage", *(f"fgs_percentage_{r}_yards" for r in _KICK_RANGES),
-        "percentage_of_extra_points",
+        "fg_percentage", "fgs_percentage_2029_yards", "fgs_percentage_3039_yards",
+        "fgs_percentage_4049_yards", "fgs_percentage_50_yards", "percentage_of_extra_points",
     ),
     keep=Keep((("fgs_made", ">=", 20),)),
     dropped=("position", "kicks_blocked", "extra_points_blocked", "name"),
