@@ -18,7 +18,7 @@ from tierflow.operators.derive import (
     repeat_rows,
     with_fallback,
 )
-from tierflow.operators.fuse import career_totals, fuse_outer, fuse_union
+from tierflow.operators.fuse import career_totals, careers_with_team, fuse_outer, fuse_union
 from tierflow.operators.join import salted_left_join
 from tierflow.operators.refine import first_per_key, refine
 from tierflow.operators.rollup import (
@@ -35,6 +35,7 @@ __all__ = [
     "argmax_class",
     "blanks_to_null",
     "career_totals",
+    "careers_with_team",
     "count_copies",
     "dense_rank_by",
     "distinct_rows",

@@ -1,6 +1,6 @@
 """Star schema, refresh and whole runs."""
 
-from tierflow.plans.audit import match_audit, match_summary, preview, view_counts
+from tierflow.plans.audit import describe, match_audit, match_summary, preview, view_counts
 from tierflow.plans.batch import BatchConfig, first_load, gold_tables, refresh_all, run_batch
 from tierflow.plans.refresh import gate_report, refresh_category, should_refresh
 from tierflow.plans.star import (
@@ -9,6 +9,7 @@ from tierflow.plans.star import (
     build_fact,
     college_dim,
     college_ranking,
+    college_scores,
     player_teams,
     players_dim,
     positions_dim,
@@ -22,6 +23,8 @@ __all__ = [
     "build_fact",
     "college_dim",
     "college_ranking",
+    "college_scores",
+    "describe",
     "first_load",
     "gate_report",
     "gold_tables",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.rollup import row_counts
@@ -36,3 +36,8 @@ def preview(tables: Mapping[str, DataFrame], n: int = 20) -> None:
         print(name)
         df.printSchema()
         df.show(n, truncate=False)
+
+
+def describe(spark: SparkSession, table: str) -> DataFrame:
+    """Columns, format, location and properties of a catalog table."""
+    return spark.sql(f"DESCRIBE FORMATTED {table}")

@@ -20,7 +20,7 @@ from tierflow.plans.star import (
     teams_dim,
 )
 from tierflow.settings import tune
-from tierflow.sources.paths import settled
+from tierflow.sources.paths import scratch, settled
 from tierflow.sources.tables import publish, read_raw, read_silver, write_silver
 from tierflow.specs import clean_spec
 
@@ -36,8 +36,9 @@ class BatchConfig:
     snapshot: str
     silver: str
     gold: str
-    fact_rows: str = "repeated"
+    fact_rows: str = "counted"
     measure_type: str = "int"
+    college_ints: tuple[str, ...] = ()
 
     def of(self, layer: str, name: str) -> str:
         return f"{getattr(self, layer).rstrip('/')}/{name}"
@@ -65,12 +66,14 @@ def gold_tables(
     config: BatchConfig,
     colleges: DataFrame,
     teams: DataFrame,
+    folder: str,
     first: bool = False,
 ) -> Mapping[str, DataFrame]:
     """Dimensions and repaired fact, from the silver folders.
 
     The first load repairs only missing college keys, later runs all of them. The repair
-    works on counted rows; they are repeated only when they are written.
+    works on counted rows; they are repeated only when they are written. ``folder`` takes the
+    fact before its repair; it must stay until the tables are written.
     """
     silver = {
         c: read_silver(spark, clean_spec(c), config.of("silver", c)) for c in RUN_ORDER
@@ -78,17 +81,18 @@ def gold_tables(
     single = config.fact_rows == "single"
     rows = "single" if single else "counted"
     fact = build_fact(silver, colleges, teams, rows, config.measure_type)
-    if single and not first:
-        fact = backfill_max(fact, silver["players"], unique=True)
+    if single:
+        repair = backfill_null_only if first else backfill_max
+        fact = repair(fact, silver["players"], unique=True)
     elif first:
-        fact = backfill_null_only(settled(fact), silver["players"])
+        fact = backfill_null_only(settled(fact, f"{folder}/fact"), silver["players"])
     else:
         fact = backfill_max(fact, silver["players"])
     if config.fact_rows == "repeated":
         fact = repeat_rows(fact, "copies")
     return {
         "positions_dim": positions_dim(spark),
-        "college_dim": college_dim(colleges),
+        "college_dim": college_dim(colleges, int_columns=config.college_ints),
         "teams_dim": teams_dim(teams),
         "players_dim": players_dim(silver["players"]),
         "fact_player_stats": fact,
@@ -113,6 +117,7 @@ def run_batch(
         changed = dict.fromkeys(RUN_ORDER, True)
     else:
         changed = refresh_all(spark, config)
-    tables = gold_tables(spark, config, colleges, teams, first)
-    publish(tables, config.gold, "append" if first else "overwrite")
+    with scratch(spark) as folder:
+        tables = gold_tables(spark, config, colleges, teams, folder, first)
+        publish(tables, config.gold, "append" if first else "overwrite")
     return changed

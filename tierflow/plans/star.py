@@ -2,34 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tierflow.functions.text import quoted
 from tierflow.operators.derive import (
     argmax_class,
     count_copies,
     dense_rank_by,
     merge_copies,
-    modal_value,
     repeat_rows,
     with_fallback,
 )
-from tierflow.operators.fuse import career_totals
-from tierflow.operators.join import salted_left_join
+from tierflow.operators.fuse import careers_with_team
+from tierflow.operators.join import SALTS, salted_left_join
 from tierflow.operators.refine import first_per_key
-from tierflow.operators.rollup import max_per_key, union_columns
+from tierflow.operators.rollup import max_per_key
 from tierflow.schemas import (
-    COLLEGE_DIM,
     PLAYERS_DIM,
     POSITIONS,
     POSITIONS_DIM,
     TEAMS_DIM,
     fact_schema,
 )
-from tierflow.sources.paths import settled
 from tierflow.specs import STAT_CATEGORIES
 
 
@@ -41,12 +38,14 @@ def teams_dim(teams: DataFrame) -> DataFrame:
     return teams.select(*TEAMS_DIM.names)
 
 
-def college_dim(colleges: DataFrame) -> DataFrame:
+def college_dim(
+    colleges: DataFrame, key: str = "school", int_columns: Iterable[str] = ()
+) -> DataFrame:
+    """The colleges under their own column names, the key first; ``int_columns`` become integers."""
+    numbers = set(int_columns)
+    columns = [key, *[c for c in colleges.columns if c != key]]
     return colleges.selectExpr(
-        *[
-            f"try_cast({f.name} AS int) AS {f.name}" if f.dataType == T.IntegerType() else f.name
-            for f in COLLEGE_DIM
-        ]
+        *[f"try_cast({c} AS int) AS {c}" if c in numbers else quoted(c) for c in columns]
     )
 
 
@@ -98,7 +97,9 @@ def player_teams(players: DataFrame, usual_team: DataFrame) -> DataFrame:
     return repeat_rows(found.drop("current_team"), "copies")
 
 
-def _lookup(df: DataFrame, dim: DataFrame, column: str, dim_key: str, result: str) -> DataFrame:
+def _lookup(
+    df: DataFrame, dim: DataFrame, column: str, dim_key: str, result: str, salts: int
+) -> DataFrame:
     """Left join to a dimension's key; ``copies`` grows where the key occurs several times.
 
     The dimension is reduced to its distinct keys. No broadcast is forced: Spark
@@ -107,7 +108,7 @@ def _lookup(df: DataFrame, dim: DataFrame, column: str, dim_key: str, result: st
     """
     keys = dim.groupBy(F.col(dim_key).alias(result)).agg(F.expr("count(*) AS _matches"))
     rest = [c for c in df.columns if c not in (column, "copies")]
-    joined = salted_left_join(df, keys, column, result, ["player_id"])
+    joined = salted_left_join(df, keys, column, result, ["player_id"], salts)
     return joined.selectExpr(*rest, result, "copies * coalesce(_matches, 1) AS copies")
 
 
@@ -115,17 +116,18 @@ def build_fact(
     silver: Mapping[str, DataFrame],
     colleges: DataFrame,
     teams: DataFrame,
-    rows: str = "repeated",
+    rows: str = "counted",
     measure_type: str = "int",
+    salts: int = SALTS,
 ) -> DataFrame:
     """Fact table: one career per player with college, team and position keys.
 
     The plain join definition returns every player n * n * max(t, 1) times, for n players
     rows and t distinct teams. ``rows`` says how:
 
-    - ``"repeated"``: those rows, as the joins give them;
     - ``"counted"``: the distinct rows with their number in ``copies``;
-    - ``"single"``: one row per player, from its first players row.
+    - ``"repeated"``: those rows, as the joins give them;
+    - ``"single"``: one row per player, from its first players row, known values first.
 
     The joins run on counted rows in every form, never on the pairs. Sums that pass the
     int range fail the cast; give ``measure_type="bigint"`` for those.
@@ -133,28 +135,27 @@ def build_fact(
     if rows not in ("repeated", "counted", "single"):
         raise ValueError(f"rows={rows!r}")
     stats = {name: silver[name] for name in STAT_CATEGORIES}
-    career = career_totals(stats)
-    with_key = union_columns(stats.values(), ["player_id", "team"]).filter("player_id IS NOT NULL")
-    usual_team = modal_value(with_key, "player_id", "team")
     people = silver["players"].filter("player_id IS NOT NULL")
     people = people.selectExpr("CAST(player_id AS int) AS player_id", "college", "current_team")
 
-    joined = career.join(usual_team, "player_id")
+    joined = careers_with_team(stats)
     if rows == "single":
-        joined = joined.join(first_per_key(people, ["player_id"]), "player_id")
+        joined = joined.join(first_per_key(people, ["player_id"], nulls_last=True), "player_id")
         joined = joined.selectExpr("*", "1L AS copies")
         colleges, teams = colleges.select("school").distinct(), teams.select("team_name").distinct()
     else:
-        by_college = people.groupBy("player_id", "college").agg(F.expr("count(*) AS _n_college"))
-        by_team = people.groupBy("player_id", "current_team").agg(F.expr("count(*) AS _n_team"))
+        # one shuffle of the players for both counts
+        alike = people.groupBy("player_id", "college", "current_team").agg(F.expr("count(*) AS _n"))
+        by_college = alike.groupBy("player_id", "college").agg(F.expr("sum(_n) AS _n_college"))
+        by_team = alike.groupBy("player_id", "current_team").agg(F.expr("sum(_n) AS _n_team"))
         joined = (
             joined.join(by_college, "player_id")
             .join(by_team, "player_id")
             .selectExpr("*", "_n_college * _n_team * n_values AS copies")
         )
     joined = joined.selectExpr("*", "coalesce(current_team, team) AS final_team")
-    joined = _lookup(joined, colleges, "college", "school", "college_key")
-    joined = _lookup(joined, teams, "final_team", "team_name", "team_key")
+    joined = _lookup(joined, colleges, "college", "school", "college_key", salts)
+    joined = _lookup(joined, teams, "final_team", "team_name", "team_key", salts)
 
     computed = {
         "player_key": "player_id",
@@ -184,13 +185,24 @@ def _with_college(fact: DataFrame, fix: DataFrame) -> DataFrame:
     )
 
 
-def backfill_null_only(fact: DataFrame, players: DataFrame) -> DataFrame:
+def backfill_null_only(
+    fact: DataFrame, players: DataFrame, unique: bool = False
+) -> DataFrame:
     """First-load repair: players with a NULL college key take their college text.
 
     A player's fact rows are repeated once per pair of its NULL-key rows and players
     rows, as the plain joins do; the pairs are counted per college, not joined. A fact of
     counted rows stays counted. The fact is read twice: pass a stored one.
+
+    ``unique`` says that the fact has one row per player: that stays one row, and a NULL key
+    becomes the player's greatest college text.
     """
+    if unique:
+        fix = _greatest_college(players)
+        others = [c for c in fact.columns if c not in ("player_key", "college_key")]
+        return fact.join(fix, F.expr("player_key = _key"), "left").selectExpr(
+            "player_key", "coalesce(college_key, _college) AS college_key", *others
+        )
     counted = "copies" in fact.columns
     rows = fact if counted else count_copies(fact)
     gaps = (
@@ -213,16 +225,21 @@ def backfill_null_only(fact: DataFrame, players: DataFrame) -> DataFrame:
     return merge_copies(filled) if counted else repeat_rows(filled, "copies")
 
 
+def _greatest_college(players: DataFrame) -> DataFrame:
+    """``_key`` and ``_college``: each player's greatest college text."""
+    named = players.selectExpr("CAST(player_id AS int) AS _key", "college AS _college").filter(
+        "_key IS NOT NULL AND _college IS NOT NULL"
+    )
+    return max_per_key(named, "_key", "_college")
+
+
 def backfill_max(fact: DataFrame, players: DataFrame, unique: bool = False) -> DataFrame:
     """Recurring repair: each player's greatest college text, also over a key already set.
 
     Equal fact rows are counted before the join and repeated after it, unless ``unique``
     says that the fact has one row per player. A fact of counted rows stays counted.
     """
-    named = players.selectExpr("CAST(player_id AS int) AS _key", "college AS _college").filter(
-        "_key IS NOT NULL AND _college IS NOT NULL"
-    )
-    fix = max_per_key(named, "_key", "_college")
+    fix = _greatest_college(players)
     if unique:
         return _with_college(fact, fix)
     if "copies" in fact.columns:
@@ -230,12 +247,11 @@ def backfill_max(fact: DataFrame, players: DataFrame, unique: bool = False) -> D
     return repeat_rows(_with_college(count_copies(fact), fix), "copies")
 
 
-def college_ranking(fact: DataFrame, positions: DataFrame) -> DataFrame:
-    """Colleges by the good years of their players, weighted by position difficulty.
+def college_scores(fact: DataFrame, positions: DataFrame) -> DataFrame:
+    """Colleges with the good years of their players, weighted by position difficulty.
 
     Each player counts once per college, whatever the number of its fact rows. The
-    positions table is the seven-row constant, so it is broadcast. The ranking reads the
-    table of colleges several times, so that is written to a shared folder first.
+    positions table is the seven-row constant, so it is broadcast.
     """
     players = (
         fact.filter("college_key IS NOT NULL")
@@ -250,6 +266,9 @@ def college_ranking(fact: DataFrame, positions: DataFrame) -> DataFrame:
         "sum(good_years) AS good_years",
         "sum(good_years * coalesce(difficulty, 0)) AS weighted_years",
     ]
-    colleges = weighted.groupBy("college_key").agg(*map(F.expr, totals))
-    return dense_rank_by(settled(colleges), "weighted_years", "college_rank")
+    return weighted.groupBy("college_key").agg(*map(F.expr, totals))
+
 
+def college_ranking(scores: DataFrame, salts: int = SALTS) -> DataFrame:
+    """``college_scores`` with their dense rank. The scores are read several times: store them."""
+    return dense_rank_by(scores, "weighted_years", "college_rank", salts)
