@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
+import tempfile
 import uuid
 from collections.abc import Callable
 from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +50,7 @@ from tierflow.plans import (
     build_fact,
     college_dim,
     college_ranking,
+    college_scores,
     gate_report,
     match_audit,
     match_summary,
@@ -60,11 +65,16 @@ from tierflow.plans.star import main_position, years_played
 from tierflow.schemas import RAW_COLUMNS, fact_schema, raw_schema
 from tierflow.settings import tune
 from tierflow.sources import (
+    delete,
+    drop_table,
     external_table,
     load_csv,
     publish,
+    read_csv,
     read_raw,
     read_silver,
+    read_table,
+    rename_table,
     replace_folder,
     save_table,
     shared_folder,
@@ -81,11 +91,34 @@ Query = Callable[[SparkSession, str], DataFrame]
 _stored: dict[tuple[str, ...], str] = {}
 
 
+def needs_folder(spark: SparkSession) -> None:
+    """A local session without a checkpoint folder gets a temporary one, as in tests."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    if spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="tierflow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+def _gone(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is not None and not context._jsc.sc().isStopped():
+        delete(spark, folder)
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A shared folder that is deleted when Python ends."""
+    folder = shared_folder(spark)
+    atexit.register(_gone, spark, folder)
+    return folder
+
+
 def stored(spark: SparkSession, key: tuple[str, ...], build: Callable[[], DataFrame]) -> str:
     """Folder of the table that ``build`` gives."""
     key = (spark.sparkContext.applicationId, *key)
     if key not in _stored:
-        folder = shared_folder(spark)
+        folder = new_folder(spark)
         write_silver(build(), folder)
         _stored[key] = folder
     return _stored[key]
@@ -116,7 +149,7 @@ def stat_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def colleges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return college_dim(data.derived(spark, sf_dir, data.COLLEGES))
+    return college_dim(data.derived(spark, sf_dir, data.COLLEGES), int_columns=data.COLLEGE_INTS)
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,7 +422,11 @@ def dim_positions(spark, sf_dir):
     classes = position_class(spark, sf_dir).groupBy("position_key").agg(
         F.expr("count(*) AS players")
     )
-    return classes.join(F.broadcast(positions_dim(spark)), "position_key")
+    return (
+        positions_dim(spark)
+        .join(classes, "position_key", "left")
+        .withColumn("players", F.coalesce("players", F.lit(0)).cast("long"))
+    )
 
 
 def dim_players(spark, sf_dir):
@@ -417,7 +454,12 @@ def audit_match_summary(spark, sf_dir):
 
 
 def ranking(spark, sf_dir):
-    return college_ranking(stored_fact(spark, sf_dir, "counted"), positions_dim(spark))
+    folder = stored(
+        spark,
+        (sf_dir, "college_scores"),
+        lambda: college_scores(stored_fact(spark, sf_dir, "counted"), positions_dim(spark)),
+    )
+    return college_ranking(spark.read.parquet(folder))
 
 
 # Refresh, files and whole runs.
@@ -437,7 +479,7 @@ def refresh_gate(spark, sf_dir):
 
 def csv_load(spark, sf_dir):
     """Conversations as CSV, loaded twice into one table; texts hold line breaks."""
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     turns = data.table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("string").alias("Conv Id"),
         F.col("turn").cast("string").alias(" Turn #"),
@@ -453,32 +495,32 @@ def csv_load(spark, sf_dir):
 
 
 def raw_external_table(spark, sf_dir):
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     raw_table(spark, sf_dir, "receiving").write.parquet(folder)
     name = f"raw_{uuid.uuid4().hex}"
     return external_table(spark, name, raw_schema("receiving"), folder)
 
 
 def silver_files(spark, sf_dir):
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     write_silver(cleaned(spark, sf_dir, "kicking"), folder)
     return read_silver(spark, clean_spec("kicking"), folder)
 
 
 def fact_orc_table(spark, sf_dir):
     name = f"fact_{uuid.uuid4().hex}"
-    return save_table(fact(spark, sf_dir, "single"), name, location=shared_folder(spark))
+    return save_table(fact(spark, sf_dir, "single"), name, location=new_folder(spark))
 
 
 def gold_append(spark, sf_dir):
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     for _ in range(2):
         publish({"players_dim": dim_players(spark, sf_dir)}, folder, "append")
     return spark.read.orc(f"{folder}/players_dim")
 
 
 def gold_overwrite(spark, sf_dir):
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     for mode in ("append", "overwrite"):
         publish({"teams_dim": teams(spark, sf_dir)}, folder, mode)
     return spark.read.orc(f"{folder}/teams_dim")
@@ -486,7 +528,7 @@ def gold_overwrite(spark, sf_dir):
 
 def refresh_snapshot(spark, sf_dir):
     """Raw table with half of the snapshot's rows; silver must come from the snapshot."""
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     first = data.raw_selects("defensive")[0]
     data.derived(spark, sf_dir, first).write.parquet(f"{folder}/raw")
     snapshot = stored(
@@ -498,7 +540,7 @@ def refresh_snapshot(spark, sf_dir):
 
 def self_overwrite(spark, sf_dir):
     """Repair of the stored fact, written over the folder it is read from."""
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     fact(spark, sf_dir, "single").write.parquet(folder)
     stored = spark.read.schema(fact_schema("bigint")).parquet(folder)
     players = silver(spark, sf_dir, "players")
@@ -506,30 +548,141 @@ def self_overwrite(spark, sf_dir):
     return spark.read.schema(fact_schema("bigint")).parquet(folder)
 
 
-def full_batch(spark, sf_dir):
-    """First load, then a run without newer snapshots; the published fact."""
-    folder = shared_folder(spark)
-    config = BatchConfig(
+def batch_folders(spark, fact_rows: str) -> BatchConfig:
+    folder = new_folder(spark)
+    return BatchConfig(
         *[f"{folder}/{layer}" for layer in ("raw", "snapshot", "silver", "gold")],
-        fact_rows="counted",
+        fact_rows=fact_rows,
         measure_type="bigint",
+        college_ints=data.COLLEGE_INTS,
     )
+
+
+def run_batches(spark, sf_dir, config: BatchConfig, runs: tuple[bool, ...]) -> DataFrame:
+    """The published fact after the runs; ``True`` is a first load."""
+    for first in runs:
+        run_batch(spark, config, colleges(spark, sf_dir), teams(spark, sf_dir), first)
+    return spark.read.orc(config.of("gold", "fact_player_stats"))
+
+
+def full_batch(spark, sf_dir):
+    """First load, then a run without newer snapshots; the published fact."""
+    config = batch_folders(spark, "counted")
     for category in RAW_COLUMNS:
         raw_table(spark, sf_dir, category).write.parquet(config.of("raw", category))
-    for first in (True, False):
-        run_batch(spark, config, colleges(spark, sf_dir), teams(spark, sf_dir), first)
+    return run_batches(spark, sf_dir, config, (True, False))
+
+
+def first_load_gold(spark, sf_dir):
+    """The published fact between the first load and any later run."""
+    config = batch_folders(spark, "counted")
+    for category in RAW_COLUMNS:
+        raw_table(spark, sf_dir, category).write.parquet(config.of("raw", category))
+    return run_batches(spark, sf_dir, config, (True,))
+
+
+def batch_single_first(spark, sf_dir):
+    """First load with one fact row per player, also for players of several colleges."""
+    config = batch_folders(spark, "single")
+    for category in RAW_COLUMNS:
+        raw_table(spark, sf_dir, category).write.parquet(config.of("raw", category))
+    return run_batches(spark, sf_dir, config, (True,))
+
+
+def refreshed_batch(spark, sf_dir) -> BatchConfig:
+    """A batch after a run with two grown snapshots, a smaller one and one that isn't complete.
+
+    Passing and defensive start with the first of their two sources; receiving's snapshot
+    lacks rows, rushing's has them all twice but no marker of success.
+    """
+    config = batch_folders(spark, "counted")
+    grown = ("passing", "defensive")
+    for category in RAW_COLUMNS:
+        rows = raw_table(spark, sf_dir, category)
+        if category in grown:
+            rows.write.parquet(config.of("snapshot", category))
+            rows = data.derived(spark, sf_dir, data.raw_selects(category)[0])
+        rows.write.parquet(config.of("raw", category))
+    fewer = raw_table(spark, sf_dir, "receiving").filter("receiving_yards <> '--'")
+    fewer.write.parquet(config.of("snapshot", "receiving"))
+    rushing = raw_table(spark, sf_dir, "rushing")
+    unfinished = config.of("snapshot", "rushing")
+    rushing.union(rushing).write.parquet(unfinished)
+    delete(spark, f"{unfinished}/_SUCCESS")
+    run_batches(spark, sf_dir, config, (True, False))
+    return config
+
+
+def full_batch_refresh(spark, sf_dir):
+    config = refreshed_batch(spark, sf_dir)
     return spark.read.orc(config.of("gold", "fact_player_stats"))
 
 
+def full_batch_refresh_rows(spark, sf_dir):
+    """Rows of each raw and silver folder after the refresh."""
+    config = refreshed_batch(spark, sf_dir)
+    tables = {}
+    for category in RAW_COLUMNS:
+        tables[f"raw_{category}"] = read_raw(spark, category, config.of("raw", category))
+        spec = clean_spec(category)
+        tables[f"silver_{category}"] = read_silver(spark, spec, config.of("silver", category))
+    return row_counts(tables)
+
+
+def catalog_rename(spark, sf_dir):
+    """A managed table, renamed with a comment, read under its new name."""
+    old, new = f"old_{uuid.uuid4().hex}", f"new_{uuid.uuid4().hex}"
+    save_table(dim_players(spark, sf_dir), old, location=new_folder(spark))
+    comment = "one row per player's years"
+    found = rename_table(spark, old, new, comment)
+    assert not spark.catalog.tableExists(old)
+    return found.withColumn("comment", F.lit(spark.catalog.getTable(new).description))
+
+
+def catalog_drop(spark, sf_dir):
+    """Two tables of a database of their own, one dropped twice: what is left."""
+    name = f"tier_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(spark)}'")
+    for category in ("kicking", "returns"):
+        save_table(cleaned(spark, sf_dir, category), f"{name}.{category}")
+    for _ in range(2):
+        drop_table(spark, f"{name}.kicking")
+    left = [t.name for t in spark.catalog.listTables(name)]
+    return row_counts({t: read_table(spark, f"{name}.{t}") for t in left})
+
+
+def csv_guard(spark, sf_dir):
+    """Rows read from the turns as CSV, from files without any line, and from no files."""
+    folder = new_folder(spark)
+    turns = data.table(spark, sf_dir, "conversations").selectExpr(
+        "cast(conv_id as string) conv_id", "cast(turn as string) turn", "role", "text"
+    )
+    turns.write.options(header=True, escape='"').csv(f"{folder}/turns")
+    turns.select("text").filter("false").write.text(f"{folder}/empty")
+    found = []
+    for source in ("turns", "empty", "missing"):
+        try:
+            rows = read_csv(spark, f"{folder}/{source}")
+        except (ValueError, AnalysisException) as error:
+            why = "no header" if isinstance(error, ValueError) else "no files"
+            rows = spark.createDataFrame([], "role string")
+            found.append(rows.agg(F.count("*").alias("c")).selectExpr(f"'{source}' AS source", "c", f"'{why}' AS error"))
+        else:
+            found.append(rows.selectExpr(f"'{source}' AS source", "count(*) AS c", "CAST(NULL AS STRING) AS error"))
+    return found[0].union(found[1]).union(found[2])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The fact table, distinct rows with their number, at the smallest scale."""
     tune(spark)
+    needs_folder(spark)
     return fact_counted(spark, "/root/testdata/sf0.001")
 
 
 def tuned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
+        needs_folder(spark)
         return query(spark, sf_dir)
 
     return run
@@ -603,6 +756,13 @@ def library_queries() -> dict[str, Query]:
         "gold_append": gold_append,
         "gold_overwrite": gold_overwrite,
         "full_batch": full_batch,
+        "first_load_gold": first_load_gold,
+        "batch_single_first": batch_single_first,
+        "full_batch_refresh": full_batch_refresh,
+        "full_batch_refresh_rows": full_batch_refresh_rows,
+        "catalog_rename": catalog_rename,
+        "catalog_drop": catalog_drop,
+        "csv_guard": csv_guard,
     }
     return {name: tuned(query) for name, query in found.items()}
 
@@ -631,9 +791,8 @@ def library_oracle() -> dict[str, str]:
     every_year = " UNION ALL ".join(
         f"SELECT player_id, year FROM {c}_silver" for c in o.CATEGORIES
     )
-    counted = "SELECT *, COUNT(*) AS copies FROM {} GROUP BY ALL"
     views = " UNION ALL ".join(
-        f"SELECT 'v_{c}' AS vw, COUNT(*) AS c FROM v_{c}" for c in o.CATEGORIES
+        f"SELECT 'v_{c}' AS vw, COUNT(*) AS c FROM ({o._view(c)}) v" for c in o.CATEGORIES
     )
     orders_days = (
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
@@ -727,8 +886,8 @@ def library_oracle() -> dict[str, str]:
             f"{o.no_commas('trim(passing_yards)')} AS passing_yards FROM {raw('passing')}) t "
             "WHERE passing_yards >= 1000 OR passing_yards IS NULL"
         ),
-        "filter_lookup": o.with_fact(counted.format("fact WHERE position_key = 2")),
-        "filter_key_null": o.with_fact(counted.format("fact WHERE college_key IS NULL")),
+        "filter_lookup": o.with_fact("SELECT * FROM fact WHERE position_key = 2"),
+        "filter_key_null": o.with_fact("SELECT * FROM fact WHERE college_key IS NULL"),
         "dedup_rows": f"SELECT DISTINCT * FROM ({coarse}) c",
         "dedup_keys": (
             "SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, "
@@ -758,34 +917,35 @@ def library_oracle() -> dict[str, str]:
             "GROUP BY player_id"
         ),
         "union_columns": f"{six} {every_team}",
-        "audit_counts": o.with_stats(views),
-        "fuse_outer": o.with_stats("SELECT * FROM stats0"),
-        "fuse_union": o.with_stats("SELECT * FROM stats0 WHERE player_id IS NOT NULL"),
-        "good_years": o.with_stats(
-            "SELECT gy.player_id, gy.good_years, "
-            "COALESCE(y_min, '') || '-' || COALESCE(y_max, '') AS years_played "
-            "FROM good_years gy JOIN years_span ys ON gy.player_id = ys.player_id"
-        ),
-        "position_class": o.with_stats(
-            f"SELECT player_id, CAST({o._POSITION} AS INTEGER) AS position_key FROM stats0 "
+        "audit_counts": f"{six} {views}",
+        "fuse_outer": o.fused(),
+        "fuse_union": o.with_careers(
+            "SELECT * EXCLUDE (good_years, first_year, last_year) FROM careers "
             "WHERE player_id IS NOT NULL"
         ),
-        "modal_value_one": o.with_stats(
-            "SELECT player_id, team, COUNT(*) AS n_values FROM best_team GROUP BY player_id, team"
+        "good_years": o.with_careers(
+            f"SELECT player_id, good_years, {o.YEARS} AS years_played FROM careers "
+            "WHERE player_id IS NOT NULL"
+        ),
+        "position_class": o.with_careers(
+            f"SELECT player_id, CAST({o._POSITION} AS INTEGER) AS position_key FROM careers "
+            "WHERE player_id IS NOT NULL"
+        ),
+        "modal_value_one": o.with_careers("SELECT player_id, team, n_teams AS n_values FROM usual"),
+        "modal_value_rows": o.with_careers(
+            "SELECT player_id, team FROM (SELECT *, UNNEST(RANGE(n_teams)) FROM usual) u"
         ),
-        "modal_value_rows": o.with_stats("SELECT * FROM best_team"),
-        "attribute_fallback": o.with_stats(
-            "SELECT p.player_id, COALESCE(p.current_team, t.team) AS final_team "
-            "FROM players_silver p LEFT JOIN (SELECT DISTINCT * FROM best_team) t "
-            "ON p.player_id = t.player_id"
+        "attribute_fallback": o.with_careers(
+            "SELECT p.player_id, COALESCE(current_team, team) AS final_team "
+            "FROM players_silver p LEFT JOIN usual u ON p.player_id = u.player_id"
         ),
-        "fact_default": o.with_fact("SELECT * FROM fact"),
-        "fact_counted": o.with_fact(counted.format("fact")),
-        "fact_one_row": o.with_single_fact("SELECT * FROM fact"),
-        "dim_positions": o.with_stats(
-            "SELECT position_key, COUNT(*) AS players, name, difficulty "
-            f"FROM (SELECT CAST({o._POSITION} AS INTEGER) AS position_key FROM stats0 "
-            f"WHERE player_id IS NOT NULL) c JOIN {o.POSITIONS} USING (position_key) GROUP BY ALL"
+        "fact_default": o.with_fact(o.repeated("fact")),
+        "fact_counted": o.with_fact("SELECT * FROM fact"),
+        "fact_one_row": o.with_single_fact("SELECT * FROM single"),
+        "dim_positions": o.with_careers(
+            "SELECT position_key, name, difficulty, COUNT(player_id) AS players "
+            f"FROM {o.POSITIONS} LEFT JOIN (SELECT player_id, {o._POSITION} AS position FROM careers "
+            "WHERE player_id IS NOT NULL) c ON position_key = position GROUP BY ALL"
         ),
         "dim_teams": data.derived_sql(data.TEAMS),
         "dim_college": o.college_dim(),
@@ -793,9 +953,9 @@ def library_oracle() -> dict[str, str]:
             "SELECT player_id AS player_key, first_name, last_name, birth_city AS city, "
             f"birth_state AS state, current_status FROM ({o.refine('players')}) p"
         ),
-        "backfill_null_only": o.with_first_backfill(counted.format("repaired")),
-        "backfill_max": o.with_backfill(counted.format("repaired")),
-        "backfill_max_rows": o.with_backfill("SELECT * FROM repaired"),
+        "backfill_null_only": o.with_first_backfill("SELECT * FROM repaired"),
+        "backfill_max": o.with_backfill("SELECT * FROM repaired"),
+        "backfill_max_rows": o.with_backfill(o.repeated("repaired")),
         "match_audit": (
             f"SELECT player_id, college, school FROM ({o.refine('players')}) p "
             f"LEFT JOIN ({o.college_dim()}) d ON college = school "
@@ -830,11 +990,27 @@ def library_oracle() -> dict[str, str]:
         ),
         "raw_external_table": data.raw_sql("receiving"),
         "silver_files": o.refine("kicking"),
-        "fact_orc_table": o.with_single_fact("SELECT * FROM fact"),
+        "fact_orc_table": o.with_single_fact("SELECT * FROM single"),
         "gold_overwrite": data.derived_sql(data.TEAMS),
-        "full_batch": o.with_backfill(counted.format("repaired")),
+        "full_batch": o.with_backfill("SELECT * FROM repaired"),
         "self_overwrite": o.with_single_backfill(),
     }
+    found["first_load_gold"] = found["backfill_null_only"]
+    found["batch_single_first"] = o.with_single_backfill(first=True)
+    found["full_batch_refresh"] = o.with_backfill("SELECT * FROM repaired", ["defensive"])
+    found["full_batch_refresh_rows"] = " UNION ALL ".join(
+        f"SELECT '{layer}_{c}' AS vw, COUNT(*) AS c FROM ({rows}) t"
+        for c in RAW_COLUMNS
+        for layer, rows in (("raw", data.raw_sql(c)), ("silver", o.refine(c, c == "defensive")))
+    )
+    found["catalog_rename"] = (
+        f"SELECT *, 'one row per player''s years' AS comment FROM ({found['dim_players']}) p"
+    )
+    found["catalog_drop"] = f"SELECT 'returns' AS vw, COUNT(*) AS c FROM ({o.refine('returns')}) t"
+    found["csv_guard"] = (
+        "SELECT 'turns' AS source, COUNT(*) AS c, NULL::VARCHAR AS error FROM conversations "
+        "UNION ALL VALUES ('empty', 0, 'no header'), ('missing', 0, 'no files')"
+    )
     found["gold_append"] = f"{found['dim_players']} UNION ALL {found['dim_players']}"
     return found
 

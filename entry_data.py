@@ -259,13 +259,14 @@ def raw_selects(category: str) -> list[tuple[str, list[str]]]:
     ]
 
 
+COLLEGE_INTS = ("mean_attendance", "stadium_size")
 COLLEGES = (
     "supplier",
     [
         "'College ' || CAST(s_suppkey AS STRING) AS school",
         "'State ' || CAST(s_nationkey AS STRING) AS state",
         "s_name AS city",
-        f"{text(whole('s_acctbal'))} AS football_attendence",
+        f"{text(whole('s_acctbal'))} AS mean_attendance",
         "CASE WHEN s_suppkey % 9 = 0 THEN 'big' ELSE CAST(s_suppkey * 10 AS STRING) END AS stadium_size",
     ],
 )

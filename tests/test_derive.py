@@ -124,7 +124,7 @@ def test_count_copies_is_the_inverse(rows):
 
 
 @quick
-@given(st.lists(st.integers(0, 5000), min_size=1, max_size=60))
+@given(st.lists(st.integers(-50, 5000), min_size=1, max_size=60))
 def test_dense_rank_by(spark, scores):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "i int, s long")
     order = sorted(set(scores), reverse=True)
@@ -139,6 +139,12 @@ def test_dense_rank_of_large_scores(rows):
     assert found == {2**62: 1, 2**62 - 1: 2, 2**40 + 1: 3, 2**40: 4, 7: 5, 0: 6, None: None}
 
 
+def test_dense_rank_of_negative_and_close_scores(rows):
+    scores = [5, 0, -3, -3, 10**9, 10**9 + 1, 10**9 + 2] + [7] * 50
+    found = {r.s: r.place for r in dense_rank_by(rows([(s,) for s in scores], "s long"), "s", "place").collect()}
+    assert found == {10**9 + 2: 1, 10**9 + 1: 2, 10**9: 3, 7: 4, 5: 5, 0: 6, -3: 7}
+
+
 def test_salted_join_is_a_left_join(rows, spark):
     left = rows([(i, "hot" if i % 3 else None if i % 2 else f"k{i}") for i in range(200)],
                 "i int, k string")

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from conftest import bag
@@ -5,7 +7,7 @@ from tierflow.operators import refine
 from tierflow.plans import BatchConfig, refresh_category, run_batch
 from tierflow.schemas import FACT_MEASURES, RAW_COLUMNS, TEAMS_DIM, fact_schema, raw_schema
 from tierflow.settings import tune
-from tierflow.sources import read_silver
+from tierflow.sources import delete, read_silver
 from tierflow.specs import clean_spec
 
 
@@ -64,6 +66,36 @@ def test_refresh_uses_the_incremental_rules(spark, tmp_path):
     assert [r.total_tackles for r in found] == [100.0]
 
 
+def test_unfinished_snapshot_counts_as_missing(spark, tmp_path):
+    raw, inc, silver = folders(tmp_path)
+    rushing(spark, [1000]).write.parquet(raw)
+    rushing(spark, [2000, 3000]).write.parquet(inc)
+    delete(spark, f"{inc}/_SUCCESS")
+    assert refresh_category(spark, "rushing", raw, inc, silver) is False
+
+
+def test_first_load_of_single_rows_keeps_one_row(spark, tmp_path):
+    config = BatchConfig(
+        *[str(tmp_path / n) for n in ("raw", "snapshot", "silver", "gold")], fact_rows="single"
+    )
+    people = [
+        {"player_id": "x/0", "birthday": "1/2/1990", "name": "A,B", "years_played": str(i), "college": c}
+        for i, c in enumerate(("Home A", "Home B"))
+    ]
+    for category in RAW_COLUMNS:
+        rows = [tuple(p.get(n) for n in RAW_COLUMNS[category]) for p in people]
+        data = {"rushing": rushing(spark, [2000]).collect(), "players": rows}.get(category, [])
+        spark.createDataFrame(data, raw_schema(category)).write.parquet(config.of("raw", category))
+    colleges = spark.createDataFrame([("Yale",)], "school string")
+    teams = spark.createDataFrame([("T1", *[None] * 10)], TEAMS_DIM)
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    for first in (True, False):
+        run_batch(spark, config, colleges, teams, first=first)
+        found = spark.read.orc(config.of("gold", "fact_player_stats")).collect()
+        assert [(r.player_key, r.college_key) for r in found] == [(0, "Home B")]
+    assert set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == before
+
+
 @pytest.mark.parametrize("fact_rows", ["repeated", "counted", "single"])
 def test_run_batch(spark, tmp_path, fact_rows):
     config = BatchConfig(
@@ -82,7 +114,7 @@ def test_run_batch(spark, tmp_path, fact_rows):
         spark.createDataFrame(data, raw_schema(category)).write.parquet(config.of("raw", category))
     colleges = spark.createDataFrame(
         [("Yale", "CT", "NH", "1", "2")],
-        "school string, state string, city string, football_attendence string, stadium_size string",
+        "school string, state string, city string, seats string, size string",
     )
     teams = spark.createDataFrame([("T1", *[None] * 10)], TEAMS_DIM)
 

@@ -18,17 +18,20 @@ from tierflow.sources import (
     rename_table,
     replace_folder,
     save_table,
+    scratch,
     settled,
     shared_folder,
     use_database,
 )
-from tierflow.sources.csvfile import spans_lines
+from tierflow.sources.csvfile import multiline_files, spans_lines
 
-TEAMS = """"Team Name","home stadium",Location,"Lat.",Live Mascots
-Hill Cats,High Field,"Orchard, North","42.7",
-Bay Dogs,Low Field,"Miami, South",25.9,""
-Said "hi","a ""quoted"" one",x,1,  y
-"""
+# A quoted comma, a doubled quote, a quoted number, an empty and a quoted empty value, blanks
+# that belong to the value.
+QUOTED = '''"Club Name",Ground %,"Since.",Pets
+Otters,"Wharf 3, East","1901",
+"Owls ""B""",Barn,1950,""
+Larks,,"2,000",  two
+'''
 
 
 def write(path, content):
@@ -37,16 +40,42 @@ def write(path, content):
 
 
 def test_read_csv(spark, tmp_path):
-    path = write(tmp_path / "t.csv", TEAMS.replace('Said "hi"', "Said hi"))
-    df = read_csv(spark, path)
-    assert df.columns == ["team_name", "home_stadium", "location", "lat", "live_mascots"]
+    df = read_csv(spark, write(tmp_path / "t.csv", QUOTED))
+    assert df.columns == ["club_name", "ground_", "since", "pets"]
     assert {t for _, t in df.dtypes} == {"string"}
-    found = {r.team_name: r for r in df.collect()}
-    assert found["Hill Cats"].location == "Orchard, North"
-    assert found["Hill Cats"].live_mascots is None
-    assert found["Bay Dogs"].live_mascots == ""
-    assert found["Said hi"].home_stadium == 'a "quoted" one'
-    assert found["Said hi"].live_mascots == "  y"
+    assert bag(df.select("club_name", "ground_", "since", "pets")) == bag(
+        spark.createDataFrame(
+            [("Otters", "Wharf 3, East", "1901", None), ('Owls "B"', "Barn", "1950", ""),
+             ("Larks", None, "2,000", "  two")],
+            df.schema,
+        )
+    )
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    write(folder / "1.csv", "a,b\n1,2\n")
+    write(folder / "2.csv", "b,a\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(folder)).collect()
+    write(folder / "2.csv", "A,b\n3,4\n")
+    assert bag(read_csv(spark, str(folder))) == [("1", "2"), ("3", "4")]
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    write(folder / "1.csv", 'a,b\n1,"x\ny"\n')
+    write(folder / "2.csv", "a,b\n2,z\n")
+    assert [f.rsplit("/")[-1] for f in multiline_files(spark, str(folder))] == ["1.csv"]
+    assert bag(read_csv(spark, str(folder))) == [("1", "x\ny"), ("2", "z")]
+
+
+def test_the_stand_in_for_empty_values_is_no_value(spark, tmp_path):
+    path = write(tmp_path / "t.csv", "a,b\n\ue000\ue000\ue000,2\n")
+    with pytest.raises(ValueError, match="stand for empty"):
+        read_csv(spark, path)
 
 
 def test_read_csv_with_line_breaks(spark, tmp_path):
@@ -150,8 +179,25 @@ def test_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(base)
     assert shared_folder(spark) != shared_folder(spark)
-    df = settled(spark.range(3))
-    assert bag(df) == [(0,), (1,), (2,)] and "Range" not in str(df._jdf.queryExecution())
+
+
+def test_scratch_is_deleted(spark):
+    with scratch(spark) as folder:
+        df = settled(spark.range(3), f"{folder}/t")
+        assert bag(df) == [(0,), (1,), (2,)] and "Range" not in str(df._jdf.queryExecution())
+    assert not exists(spark, folder)
+    with pytest.raises(ZeroDivisionError), scratch(spark) as folder:
+        settled(spark.range(3), f"{folder}/t")
+        raise ZeroDivisionError
+    assert not exists(spark, folder)
+
+
+def test_remainder_predicates_take_each_row_once(spark):
+    hashes = [None, 0, 1, 2, 3, -1, -2, -3, -4, 9, -9, 2**62, -(2**62)]
+    df = spark.createDataFrame([(h,) for h in hashes], "h long")
+    parts = [[r.h for r in df.filter(p).collect()] for p in remainder_predicates("h", 4)]
+    assert sorted(map(str, sum(parts, []))) == sorted(map(str, hashes))
+    assert None in parts[0] and all(parts)
 
 
 class Recorder:
@@ -197,11 +243,7 @@ def test_read_jdbc_arguments():
     empty = Recorder(limits=(None, None))
     read_jdbc(empty, "jdbc:x", "t", props, partition_column="id")
     assert empty.calls[1] == ("t", {"properties": props})
-    parts = remainder_predicates("abs(hashtext(player_id))", 2)
-    assert parts == [
-        "mod(abs(hashtext(player_id)), 2) = 0 OR (abs(hashtext(player_id))) IS NULL",
-        "mod(abs(hashtext(player_id)), 2) = 1",
-    ]
+    parts = remainder_predicates("hashtext(player_id)", 2)
     many = Recorder()
     read_jdbc(many, "jdbc:x", "t", props, predicates=parts)
     assert many.calls[0][1]["predicates"] == parts

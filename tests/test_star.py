@@ -4,19 +4,22 @@ import pytest
 
 from conftest import bag
 from test_derive import stat_tables
-from tierflow.operators import repeat_rows, rollup, union_columns
+from tierflow.operators import career_totals, careers_with_team, repeat_rows, union_columns
 from tierflow.plans import (
     backfill_max,
     backfill_null_only,
     build_fact,
     college_dim,
     college_ranking,
+    college_scores,
+    describe,
     gate_report,
     match_audit,
     match_summary,
     player_teams,
     players_dim,
     positions_dim,
+    preview,
     should_refresh,
     teams_dim,
     view_counts,
@@ -39,46 +42,32 @@ def people(spark, data):
     return spark.createDataFrame(values, schema)
 
 
-def plain_fact(spark, silver, colleges, teams):
-    """The fact as chained joins, window and pairs."""
-    views = []
-    for c, spec in ROLLUPS.items():
-        rollup(silver[c], spec).createOrReplaceTempView(f"v_{c}")
-        silver[c].createOrReplaceTempView(f"s_{c}")
-        views.append(f"v_{c}")
-    silver["players"].createOrReplaceTempView("people")
-    colleges.createOrReplaceTempView("cd")
-    teams.createOrReplaceTempView("td")
-    joins, seen = views[0], [f"{views[0]}.player_id"]
-    for v in views[1:]:
-        joins += f" full join {v} on coalesce({', '.join([*seen, 'null'])}) = {v}.player_id"
-        seen.append(f"{v}.player_id")
-    measures = ", ".join(
-        f"coalesce(v_{c}.{m}, 0) as {m}" for c, spec in ROLLUPS.items() for m in spec.sums
-    )
-    best = ", ".join(f"coalesce({v}.years, 0)" for v in views)
-    rows = {
-        column: " union all ".join(f"select player_id, {column} from s_{c}" for c in ROLLUPS)
-        for column in ("year", "team")
-    }
-    out = ", ".join(f"cast(s.{m} as int) as {m}" for m in FACT_MEASURES)
-    return spark.sql(f"""
-        with s as (select coalesce({', '.join(seen)}) as player_id, {measures},
-                          greatest({best}) as good from {joins}),
-        ys as (select player_id, min(year) lo, max(year) hi from ({rows['year']}) group by 1),
-        bt as (select player_id, first_value(team) over
-                      (partition by player_id order by cnt desc, team) as team
-               from (select player_id, team, count(*) cnt from ({rows['team']}) group by 1, 2)),
-        pt as (select p.player_id, coalesce(p.current_team, bt.team) as final_team
-               from people p left join bt on p.player_id = bt.player_id)
-        select s.player_id as player_key, cd.school as college_key, td.team_name as team_key,
-               {main_position()} as position_key, {out},
-               concat(coalesce(lo, ''), '-', coalesce(hi, '')) as years_played,
-               cast(good as int) as good_years
-        from s join pt on s.player_id = pt.player_id
-        join people pl on s.player_id = pl.player_id
-        left join cd on pl.college = cd.school left join td on pt.final_team = td.team_name
-        left join ys on s.player_id = ys.player_id""")
+def seasons(spark, category, data):
+    """Silver rows of a category from dicts."""
+    schema = clean_spec(category).silver_schema()
+    return spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in data], schema)
+
+
+def small_star(spark):
+    """Two players whose facts are worked out by hand below, and one without a players row."""
+    silver = {c: seasons(spark, c, []) for c in ROLLUPS}
+    silver["rushing"] = seasons(spark, "rushing", [
+        {"player_id": 1, "team": "T1", "year": "2001", "rushing_yards": 10, "rushing_tds": 1},
+        {"player_id": 1, "team": "T1", "year": "2002", "rushing_yards": 20, "rushing_tds": None},
+        {"player_id": 1, "team": "T2", "year": "2002", "rushing_yards": 5, "rushing_tds": 2},
+        {"player_id": 3, "team": "T1", "year": "2002", "rushing_yards": 5},
+        {"player_id": None, "team": "T1", "year": "2002", "rushing_yards": 7},
+    ])
+    silver["kicking"] = seasons(spark, "kicking", [
+        {"player_id": 1, "team": None, "year": "1999", "fgs_made": 3},
+        {"player_id": 2, "team": None, "year": None, "fgs_made": 30},
+    ])
+    silver["players"] = people(spark, [
+        (1, "A", None), (1, "B", "T2"), (2, None, None), (9, "A", "T1"), (None, "A", "T1"),
+    ])
+    colleges = spark.createDataFrame([("A",), ("B",), ("B",), (None,)], "school string")
+    teams = spark.createDataFrame([("T1",), ("T2",)], "team_name string")
+    return silver, colleges, teams
 
 
 @pytest.fixture
@@ -93,17 +82,73 @@ def star(spark):
     return silver, colleges, teams
 
 
-def test_fact_equals_the_plain_joins(spark, star):
-    plain = bag(plain_fact(spark, *star))
-    assert bag(build_fact(*star)) == plain
+def test_fact_by_hand(spark):
+    """Player 1: 2 players rows, teams NULL, T1 (most often) and T2, so n * n * t = 12 rows.
+
+    By college and team: A and T1 (usual), A and T2, and the same for B, which the dimension
+    holds twice. Each pair counts 1 * 1 * 3 rows, doubled for B.
+    """
+    totals = {"rushing_yards": 35, "rushing_tds": 3, "fgs_made": 3}
+    first = {"player_key": 1, "position_key": 2, "years_played": "1999-2002", "good_years": 2, **totals}
+    second = {"player_key": 2, "position_key": 6, "years_played": "-", "good_years": 0, "fgs_made": 30}
+    expected = [
+        {**first, "college_key": college, "team_key": team, "copies": copies}
+        for college, copies in (("A", 3), ("B", 6))
+        for team in ("T1", "T2")
+    ] + [{**second, "college_key": None, "team_key": None, "copies": 1}]
+    found = [r.asDict() for r in build_fact(*small_star(spark)).collect()]
+    blank = {m: 0 for m in FACT_MEASURES}
+    order = lambda r: (r["player_key"], str(r["college_key"]), str(r["team_key"]))
+    assert sorted(found, key=order) == [{**blank, **r} for r in sorted(expected, key=order)]
+
+
+def test_single_row_takes_the_known_college(spark):
+    silver, colleges, teams = small_star(spark)
+    silver["players"] = people(spark, [(1, None, "T9"), (1, "B", None), (2, None, "T2"), (2, None, None)])
+    found = {r.player_key: (r.college_key, r.team_key) for r in build_fact(
+        silver, colleges, teams, rows="single").collect()}
+    assert found == {1: ("B", "T1"), 2: (None, "T2")}
+
+
+def test_forms_agree(spark, star):
     counted = build_fact(*star, rows="counted")
-    assert bag(repeat_rows(counted, "copies")) == plain
+    assert bag(repeat_rows(counted, "copies")) == bag(build_fact(*star, rows="repeated"))
     assert counted.count() == counted.drop("copies").distinct().count()
-    assert len(plain) > counted.count()
+    assert bag(build_fact(*star, salts=1)) == bag(counted)
+
+
+def test_careers_and_team_in_one_pass(spark, star):
+    stats = {c: star[0][c] for c in ROLLUPS}
+    both = careers_with_team(stats)
+    rows = union_columns(stats.values(), ["player_id", "team"]).filter("player_id is not null")
+    usual = modal_value(rows, "player_id", "team")
+    plain = career_totals(stats).join(usual, "player_id")
+    assert bag(both) == bag(plain.select(*both.columns))
+
+
+def test_fact_reads_each_table_once(spark, tmp_path, star):
+    silver, colleges, teams = star
+    stored = {}
+    for name, df in {**silver, "colleges": colleges, "teams": teams}.items():
+        df.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fact = build_fact({c: stored[c] for c in silver}, stored["colleges"], stored["teams"])
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # six silver tables, players, and both dimensions; the second count of the players reuses
+    # the first one's shuffle
+    assert plan.count("FileScan parquet") <= 10
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") <= 15
 
 
 def test_fact_schema_and_single_rows(star):
-    assert build_fact(*star).schema.simpleString() == FACT.simpleString()
+    plain = build_fact(*star, rows="repeated")
+    assert plain.schema.simpleString() == FACT.simpleString()
     single = build_fact(*star, rows="single")
     keys = [r.player_key for r in single.collect()]
     assert sorted(keys) == [0, 1, 2, 3, 4, 5]
@@ -128,7 +173,7 @@ def test_multiplicity(spark):
         silver["rushing"] = spark.createDataFrame(seasons, schema)
         silver["players"] = people(spark, [(1, "A", None)] * n)
         dims = [spark.createDataFrame([], s) for s in ("school string", "team_name string")]
-        assert build_fact(silver, *dims).count() == n * n * t
+        assert build_fact(silver, *dims, rows="repeated").count() == n * n * t
         assert build_fact(silver, *dims, rows="single").count() == 1
 
 
@@ -184,6 +229,15 @@ def test_backfill_null_only(spark):
     assert bag(repeat_rows(counted, "copies")) == bag(plain)
 
 
+def test_backfill_of_single_rows(spark):
+    fact = fact_rows(spark, [(1, None, "x"), (2, "B", "y"), (3, None, "z")])
+    players = people(spark, [(1, "P", None), (1, "Q", None), (1, None, None), (2, "R", None)])
+    found = backfill_null_only(fact, players, unique=True)
+    assert found.columns == FACT.names
+    keys = {r.player_key: r.college_key for r in found.collect()}
+    assert found.count() == 3 and keys == {1: "Q", 2: "B", 3: None}
+
+
 def test_backfill_max(spark):
     fact = fact_rows(spark, REPAIR)
     players = people(spark, [(1, "P", None), (1, "Q", None), (2, None, None), (None, "Z", None)])
@@ -205,10 +259,11 @@ def test_dimensions(spark, star):
     ]
     dim = players_dim(star[0]["players"])
     assert dim.columns == "player_key first_name last_name city state current_status".split()
-    raw = spark.createDataFrame([("A", "B", "C", "12", "x")],
-                                "school string, state string, city string, "
-                                "football_attendence string, stadium_size string")
-    assert tuple(college_dim(raw).first()) == ("A", "B", "C", 12, None)
+    raw = spark.createDataFrame([("12", "A", "x", "y 1")],
+                                "seats string, school string, size string, `odd name` string")
+    dim = college_dim(raw, int_columns=["seats", "size"])
+    assert dim.columns == ["school", "seats", "size", "odd name"]
+    assert tuple(dim.first()) == ("A", 12, None, "y 1")
     teams = spark.createDataFrame([tuple("abcdefghijk")], TEAMS_DIM)
     assert teams_dim(teams).columns == TEAMS_DIM.names
 
@@ -230,7 +285,7 @@ def test_ranking(spark):
     fact = spark.createDataFrame(
         data, "player_key int, college_key string, position_key int, good_years int"
     )
-    found = {r.college_key: tuple(r)[1:] for r in college_ranking(fact, positions_dim(spark)).collect()}
+    found = {r.college_key: tuple(r)[1:] for r in college_ranking(college_scores(fact, positions_dim(spark))).collect()}
     assert found == {"A": (2, 5, 40, 1), "B": (1, 4, 36, 2), "C": (1, 5, 40, 1)}
 
 
@@ -246,6 +301,16 @@ def test_audits(spark, star):
     assert {r.vw: r.c for r in counts.collect()} == {"a": 10, "b": 4}
 
 
+def test_preview_and_describe(spark, capsys):
+    preview({"few": spark.range(2).toDF("k")})
+    shown = capsys.readouterr().out
+    assert shown.startswith("few\n") and "k: long" in shown and "|1  |" in shown
+    spark.range(1).toDF("k").write.saveAsTable("described")
+    found = {r.col_name: r.data_type for r in describe(spark, "described").collect()}
+    assert found["k"] == "bigint" and "parquet" in found["Provider"]
+    spark.sql("DROP TABLE described")
+
+
 def test_gate(spark):
     small, large = spark.range(2), spark.range(3)
     report = gate_report(
