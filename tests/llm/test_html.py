@@ -1,0 +1,57 @@
+import numpy as np
+
+from tierflow.llm.html import extract_text, main_text, smoothed, threshold
+
+LONG = "Sentences of an article that go on for a while, as they do. " * 6
+LONG = LONG.strip()
+
+
+def page(body):
+    return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>{body}</body></html>"
+
+
+BOILER = (
+    "<header><a href=/>Home</a> Site name</header><nav><ul><li><a>One</a><li><a>Two</a></ul></nav>"
+    '<div class="cookie-notice">We use cookies, ' + LONG + "</div>"
+    '<div class="ad">Buy ' + LONG + "</div><aside>Side " + LONG + "</aside>"
+    "<form><input value=x>Mail me " + LONG + "</form><script>var x = '<p>no</p>';</script>"
+)
+
+
+def test_article_without_boilerplate():
+    article = f"<h1>Head &amp; title</h1><p>{LONG}</p><p>Short.</p><p><b>Bold {LONG}<br>more</b></p>"
+    comments = f'<section id="comments"><p>First! {LONG}</p></section><footer>&copy; {LONG}</footer>'
+    expected = f"Head & title\n{LONG}\nShort.\nBold {LONG} more"
+    assert main_text(page(BOILER + f"<article>{article}</article>" + comments)) == expected
+    assert main_text(page(BOILER + f'<div class="content">{article}</div>' + comments)) == expected
+    inner = f"<article>{article}<div class='comments'><p>{LONG}</p></div></article>"
+    assert main_text(page(inner)) == expected
+
+
+def test_article_straight_in_the_body():
+    body = f"<a>x</a><h1>Head</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p><div><a>a</a><a>b</a></div>"
+    assert main_text(page(body)).startswith(f"Head\n{LONG}\nShort.\n{LONG}")
+
+
+def test_malformed_pages():
+    assert main_text(f"<article><p>{LONG}<p>{LONG}<p>Cut <b>sho") == f"{LONG}\n{LONG}\nCut sho"
+    assert main_text(f"<p>{LONG}</div></span></p>") == LONG
+    assert [main_text(x) for x in (None, "", "<p>", "<script>x", "<div><nav>x</nav></div>")] == [""] * 5
+    assert main_text("a &lt;b&gt; &#233;\n\t c") == "a <b> é c"
+    assert main_text("<p>" * 5000 + "deep") == "deep"
+
+
+def test_smoothing_and_threshold():
+    values = np.array([0, 0, 0, 100, 100, 100, 0, 0], float)
+    smooth = smoothed(values)
+    assert smooth[4] == smooth.max() and 0 < smooth[2] < smooth[3]
+    assert 20 < threshold(smooth) < 80 and threshold(np.array([5.0, 5.0])) == 5
+    assert smoothed(np.ones(7)).round(9).tolist() == [1] * 7
+
+
+def test_rows(spark):
+    rows = [(1, "u", page(f"<article><p>{LONG}</p></article>")), (2, None, None), (None, "v", ""), (1, "u", "<p>x</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'z' AS text")
+    found = extract_text(pages).collect()
+    assert sorted((r.page_id or 0, r.n_chars) for r in found) == [(0, 0), (1, 1), (1, len(LONG)), (2, 0)]
+    assert extract_text(pages.where("false")).count() == 0
