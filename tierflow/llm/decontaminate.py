@@ -4,9 +4,10 @@ Words are lower case without punctuation, shingles are runs of five words. Items
 by the power of two below their number of shingles; within a partition an item's MinHash sketch is
 its ``SKETCH`` smallest shingle hashes, all of them if it has fewer. As a document that contains an
 item contains the item's sketch, whatever the document's length, the shingles of the documents are
-probed against the sketches: only those with a hash below the largest of some sketch are looked up
-(a small part if all items are long). Pairs with enough hits are candidates, and for those the
-containment of the item's shingles in the document is computed exactly, from the words themselves.
+probed against the sketches. A document looks only at the partitions whose items are not too large
+for it, and looks up only hashes up to the largest of their sketches (a small part of its own if
+those items are long). Pairs with enough hits are candidates, and for those the containment of the
+item's shingles in the document is computed exactly, from the words themselves.
 
 Defined results: a null or empty text, of a document or an item, has no shingles and no match; a
 text of fewer than five words is one shingle, so it matches only a document of the same few words;
@@ -64,6 +65,11 @@ def sketches(items: DataFrame, sketch: int = SKETCH) -> DataFrame:
     )
 
 
+def _large_enough(size_class: Column, similarity: float) -> Column:
+    """Whether a document of ``size`` shingles can contain an item of the partition."""
+    return F.col("size") >= similarity * F.pow(F.lit(2.0), size_class)
+
+
 def find_contamination(
     docs: DataFrame, items: DataFrame, sketch: int = SKETCH, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -74,13 +80,19 @@ def find_contamination(
     in a million; items with a whole sketch need all the hits that the containment asks for.
     """
     index = stored(sketches(items, sketch).distinct())
-    # no hash beyond the largest of any sketch needs to be looked up
-    reach = index.agg(F.max("h")).first()[0]
+    # by partition (at most one for each power of two): the largest hash of its sketches
+    reach = index.groupBy("size_class").agg(F.max("h").alias("h")).orderBy("size_class").collect()
+    limit = F.lit(None).cast("long")
+    for i, row in enumerate(reach):
+        most = max(r.h for r in reach[: i + 1])
+        limit = F.when(_large_enough(F.lit(row.size_class), similarity), F.lit(most)).otherwise(limit)
     shingles = F.array_distinct(shingles_of(_words(F.col("text")), SHINGLE))
-    near = F.filter(shingles, lambda x: x <= F.lit(reach).cast("long"))
-    probes = docs.select("doc_id", F.explode(near).alias("h"))
+    sized = docs.select("doc_id", shingles.alias("hashes")).withColumn("size", F.size("hashes"))
+    near = F.filter("hashes", lambda x: x <= F.col("limit"))
+    probes = sized.withColumn("limit", limit).select("doc_id", "size", F.explode(near).alias("h"))
     candidates = stored(
         probes.join(index, "h")
+        .where(_large_enough(F.col("size_class"), similarity))
         .groupBy("doc_id", "item_id", "least")
         .agg(F.size(F.collect_set("h")).alias("hits"))  # at most the sketch's hashes
         .where("hits >= least")
