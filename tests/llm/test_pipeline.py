@@ -68,6 +68,18 @@ def test_queries_are_registered():
     assert {n.split("_")[0] for n in CORPUS} == {*[f"op{i}" for i in range(1, 11)], "pipeline"}
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+@pytest.mark.parametrize("name", [n for n in CORPUS if n in driver.oracle_sql()])
+def test_query_equals_its_statement(spark, name):
+    duck = pytest.importorskip("duckdb").connect()
+    for table in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
+    result = duck.execute(driver.oracle_sql()[name])
+    names = [d[0] for d in result.description]
+    rows = sorted(map(tuple, driver.queries()[name](spark, SF_DIR).select(*names).collect()))
+    assert rows and rows == sorted(result.fetchall())
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 @pytest.mark.parametrize("name", CORPUS)
 def test_query(spark, name):

@@ -79,6 +79,29 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {}
+
+
+def _shingles_sql(table: str, key: str) -> str:
+    words = (
+        "list_filter(regexp_split_to_array(translate(lower(text), '.,;:!?\"''()[]{}', ''), "
+        "'[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+    )
+    return (
+        f"SELECT {key}, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), "
+        "lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] "
+        f"ELSE [] END AS s FROM (SELECT {key}, {words} AS w FROM {table}) t"
+    )
+
+
+# Other methods than exact containment use estimates, hashes or parsers that SQL has no words for.
+ORACLE: dict[str, str] = {
+    "op8_decontamination": (
+        f"WITH d AS (SELECT doc_id, unnest(s) AS g FROM ({_shingles_sql('documents', 'doc_id')}) a), "
+        f"i AS (SELECT item_id, len(s) AS n, unnest(s) AS g "
+        f"FROM ({_shingles_sql('benchmark', 'item_id')}) b) "
+        "SELECT doc_id, item_id, n AS item_shingles, count(*) AS found, count(*) / n AS containment "
+        "FROM d JOIN i USING (g) GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 * n"
+    ),
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
