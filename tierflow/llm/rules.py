@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, stored, words_of
+from .common import SPACES, let, small, stored, words_of
 
 SYMBOLS = "#*$%&|<>"
 MARKS = "!?"
@@ -170,8 +170,10 @@ def _moments(rows: DataFrame, names: list[str]) -> DataFrame:
 def robust_estimates(rows: DataFrame, names: list[str]) -> DataFrame:
     """Estimate for each ``cell`` of rows with statistics ``s_<name>``: ``m_<name>``, ``w_i_j``."""
     p = len(names)
-    middle = rows.groupBy("cell").agg(
-        *[F.percentile_approx(f"s_{n}", 0.5, 1000).alias(f"m_{n}") for n in names]
+    middle = small(
+        rows.groupBy("cell").agg(
+            *[F.percentile_approx(f"s_{n}", 0.5, 1000).alias(f"m_{n}") for n in names]
+        )
     )
     spread = (
         rows.join(middle, "cell")
@@ -193,18 +195,18 @@ def robust_estimates(rows: DataFrame, names: list[str]) -> DataFrame:
             for j in range(i + 1)
         ],
     )
-    estimates = stored(_factors(start, names, 1.0))
+    estimates = small(_factors(start, names, 1.0))
     inner = KEPT_SHARE / _chi_square(_chi_quantile(KEPT_SHARE, p), p + 2)
     for step in range(STEPS + 1):
         near = rows.join(estimates, "cell").withColumn("d", _distance(names))
         if step < STEPS:  # concentration: the nearest share of the rows
             limits = near.groupBy("cell").agg(F.percentile_approx("d", KEPT_SHARE, 1000).alias("q"))
-            near, scale = near.join(limits, "cell").where(F.col("d") <= F.col("q")), inner
+            near, scale = near.join(small(limits), "cell").where("d <= q"), inner
         else:  # reweighting: all rows that are no outliers by the estimate
             most = _chi_quantile(0.975, p)
             near = near.where(F.col("d") <= most)
             scale = 0.975 / _chi_square(most, p + 2)
-        estimates = stored(_factors(_moments(near, names), names, scale))
+        estimates = small(_factors(_moments(near, names), names, scale))
     return estimates
 
 
@@ -232,7 +234,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         .withColumn("k_group", F.concat_ws("\n", "k_lang", "k_source"))
     )
     sizes = rows.where("not base_failed").groupBy("k_group", "k_lang").agg(F.count("*").alias("n"))
-    cells = stored(
+    cells = small(
         sizes.join(sizes.groupBy("k_lang").agg(F.sum("n").alias("n_lang")), "k_lang").select(
             "k_group",
             F.when(F.col("n") >= LEAST_ROWS, F.col("k_group"))
