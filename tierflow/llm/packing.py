@@ -7,8 +7,8 @@ at the end of a partition is cut into sequences whose lengths are powers of two,
 padding. One partition is read as a stream: a task holds one Arrow batch, not its partition.
 
 Defined results: a null or empty text is the end token alone; rows with one key are ordered by
-document id, text and the rest of nothing else, so repeated rows are packed each, in any order
-among themselves; an empty table gives no rows.
+document id and place in the text, and repeated rows are packed each, in any order among
+themselves; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,12 +22,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import batches, run_hashes, runs, stored, text_bytes
 
 LENGTH = 2048
 END = 1
+#: Tokens of a row that is sorted: long documents are several rows, so that partitions of equally
+#: many rows are about equally large.
+PART = 4096
 #: Width of the hashed vectors, dimensions they are projected to, bits for each of them.
 WIDTH, DIMENSIONS, BITS = 256, 3, 16
 #: Entries of a task's table of pieces that are encoded already; a full table starts anew.
@@ -207,7 +209,10 @@ def curve_key(vectors: np.ndarray, directions: np.ndarray) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, vocabulary: str, ranks: str, pattern: str) -> DataFrame:
-    """``doc_id``, ``key``, ``ids`` (little-endian unsigned 16-bit) of each text."""
+    """Parts of each text: ``doc_id``, ``key``, ``start``, ``ids`` (little-endian unsigned 16-bit)
+
+    and the text's ``total``.
+    """
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, directions = Encoder(vocabulary, ranks, pattern), projection()
@@ -218,16 +223,28 @@ def tokenised(docs: DataFrame, vocabulary: str, ranks: str, pattern: str) -> Dat
             bucket = ids.astype(np.int64) * 40503 % 65536 % WIDTH
             counts = np.bincount(owner * WIDTH + bucket, minlength=batch.num_rows * WIDTH)
             keys = curve_key(counts.reshape(-1, WIDTH).astype(float), directions)
-            offsets = pa.py_buffer((bounds * 2).astype(np.int32))
+            totals = np.diff(bounds)
+            parts = -(-totals // PART)
+            text = np.repeat(np.arange(batch.num_rows), parts)
+            starts = (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * PART
+            ends = np.append(bounds[text] + starts, bounds[-1])
+            offsets = pa.py_buffer((ends * 2).astype(np.int32))
             data = pa.py_buffer(ids.astype("<u2"))
-            column = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, data])
+            column = pa.Array.from_buffers(pa.binary(), len(text), [None, offsets, data])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys), column], names=["doc_id", "key", "ids"]
+                [
+                    batch.column("doc_id").take(pa.array(text)),
+                    pa.array(keys[text]),
+                    pa.array(starts),
+                    column,
+                    pa.array(totals[text]),
+                ],
+                names=["doc_id", "key", "start", "ids", "total"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        encode, f"doc_id {kind}, key long, ids binary"
+        encode, f"doc_id {kind}, key long, start long, ids binary, total long"
     )
 
 
@@ -244,11 +261,11 @@ class _Stream:
         self.sequence = partition << 32
         self.open: list[tuple] = []  # pieces of the last, unfinished sequence
 
-    def add(self, doc_id, ids: np.ndarray) -> Iterator[tuple]:
+    def add(self, doc_id, start: int, ids: np.ndarray, total: int) -> Iterator[tuple]:
         at = 0
         while at < len(ids):
             n = min(len(ids) - at, self.length - self.offset)
-            self.open.append((doc_id, at, ids[at : at + n], len(ids), self.offset))
+            self.open.append((doc_id, start + at, ids[at : at + n], total, self.offset))
             at, self.offset = at + n, self.offset + n
             if self.offset == self.length:
                 yield from self._close()
@@ -304,10 +321,9 @@ def pack(
         for batch in rows:
             kind = batch.column("doc_id").type
             found: list[tuple] = []
-            for doc_id, ids in zip(
-                batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True
-            ):
-                found += stream.add(doc_id, np.frombuffer(ids, "<u2"))
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "start", "ids", "total")]
+            for doc_id, start, ids, total in zip(*columns, strict=True):
+                found += stream.add(doc_id, start, np.frombuffer(ids, "<u2"), total)
             if found:
                 yield made(found, kind)
         if kind is not None:
@@ -316,8 +332,8 @@ def pack(
     kind = docs.schema["doc_id"].dataType.simpleString()
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (
-        tokens.repartitionByRange(parts, "key", "doc_id", F.crc32("ids"))
-        .sortWithinPartitions("key", "doc_id", F.crc32("ids"))
-        .select("doc_id", "ids")
+        tokens.repartitionByRange(parts, "key", "doc_id", "start")
+        .sortWithinPartitions("key", "doc_id", "start")
+        .select("doc_id", "start", "ids", "total")
         .mapInArrow(cut, f"doc_id {kind}, {PIECES}")
     )
