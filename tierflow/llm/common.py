@@ -28,6 +28,7 @@ def shared_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _roots:
         base = spark.conf.get("spark.checkpoint.dir", None)
+        base = base or spark.sparkContext.getCheckpointDir()
         if not base:
             if not spark.sparkContext.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
