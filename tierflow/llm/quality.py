@@ -5,9 +5,8 @@ shares of the pairs that repeat. Each indicator is scaled by its class log-count
 model with squared hinge loss is fitted to the scaled indicators by dual coordinate descent. The
 margins of held-back rows are turned into probabilities by a logistic fit.
 
-Only the fit uses a sample: at most ``SAMPLE`` labelled rows, those with the least hashes of their
-ids, which one task gathers. The log-count ratios come from all labelled training rows, counted by
-Spark, and every row is scored over its whole text.
+The model is fitted to a bounded sample: at most ``SAMPLE`` labelled rows, those with the least
+hashes of their ids. Every row is scored over its whole text.
 
 Defined results: a null or empty text has no features and gets the score of the bias alone;
 without labels of both classes every score is the share of label 1, or 0.5 without labels; rows
@@ -16,6 +15,7 @@ with one id are scored each; an empty table gives no rows; a null id counts as h
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,55 +28,52 @@ from .common import IS_SPACE, batches, mixed, run_hashes, runs, stored, text_byt
 
 #: Hash buckets of the features, rows of the fit, smoothing of the counts, cost of an error, and
 #: passes over the sample.
-WIDTH, SAMPLE, ALPHA, COST, PASSES = 1 << 18, 6000, 1.0, 1.0, 12
+WIDTH, SAMPLE, ALPHA, COST, PASSES = 1 << 18, 8000, 1.0, 1.0, 12
 THRESHOLD = 0.3
 
 
+def _buckets(hashes: np.ndarray, kind: int) -> np.ndarray:
+    salt = np.uint64(kind * 0x9E3779B97F4A7C15 % (1 << 64))
+    return (mixed(hashes + salt) & np.uint64(WIDTH - 1)).astype(np.int32)
+
+
+#: Buckets of the shares of repeated pairs and of one word twice, by twentieths reached.
+_AGAIN = [_buckets(np.arange(1, 21, dtype=np.uint64), kind) for kind in (4, 5)]
+
+
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the different n-grams of each text, and their bounds by text."""
     raw, bounds = text_bytes(texts)
-    n = len(bounds) - 1
-    codes, owners = [], []
-
-    def add(hashes: np.ndarray, owner: np.ndarray, kind: int) -> None:
-        salt = np.uint64(kind * 0x9E3779B97F4A7C15 % (1 << 64))
-        codes.append((mixed(hashes + salt) & np.uint64(WIDTH - 1)).astype(np.int64))
-        owners.append(owner)
-
-    if len(raw):
-        owner = np.repeat(np.arange(n), np.diff(bounds))
-        tri = raw[:-2].astype(np.uint64) << 16 | raw[1:-1].astype(np.uint64) << 8 | raw[2:]
-        within = owner[:-2] == owner[2:] if len(raw) > 2 else np.zeros(0, bool)
-        add(tri[within], owner[:-2][within], 1)
-        starts, ends = runs(~IS_SPACE[raw], bounds)
-        words = run_hashes(raw, starts, ends)
-        of = owner[starts]
-        add(words, of, 2)
-        pair = words[:-1] * np.uint64(31) + words[1:]
-        same = of[:-1] == of[1:]
-        add(pair[same], of[:-1][same], 3)
-        # pairs that are found again, or are one word twice, whatever the words: one indicator
-        # for each twentieth that their share reaches
-        pair, of_pair, twin = pair[same], of[:-1][same], (words[:-1] == words[1:])[same]
-        number = np.maximum(np.bincount(of_pair, minlength=n), 1)
-        again = _repeated(mixed(pair), of_pair, n) / number
-        twins = np.bincount(of_pair[twin], minlength=n) / number
-        for kind, share in ((4, again), (5, twins)):
-            for step in range(1, 21):
-                text = np.flatnonzero(share * 20 >= step)
-                add(np.full(len(text), step, np.uint64), text, kind)
-    if not codes:
-        return np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
-    both = np.unique(np.concatenate(owners) * WIDTH + np.concatenate(codes))
-    return both & (WIDTH - 1), np.searchsorted(both, np.arange(n + 1) * WIDTH)
-
-
-def _repeated(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Number of each text's hashes that stand earlier in it."""
-    order = np.lexsort((hashes, owner))
-    h, o = hashes[order], owner[order]
-    twice = (h[1:] == h[:-1]) & (o[1:] == o[:-1]) if len(h) else np.zeros(0, bool)
-    return np.bincount(o[1:][twice], minlength=n)
+    starts, ends = runs(~IS_SPACE[raw], bounds)
+    words = run_hashes(raw, starts, ends) if len(raw) else np.zeros(0, np.uint64)
+    pairs = words[:-1] * np.uint64(31) + words[1:]
+    twins = words[:-1] == words[1:]
+    word_codes, pair_codes = _buckets(words, 2), _buckets(pairs, 3)
+    # a trigram's 24 bits, multiplied; the top bits are the bucket
+    wide = raw.astype(np.uint32)
+    three = wide[:-2] << np.uint32(16) | wide[1:-1] << np.uint32(8) | wide[2:]
+    shift = np.uint32(32 - (WIDTH - 1).bit_length())
+    tri_codes = (three * np.uint32(2654435761) >> shift).astype(np.int32)
+    word_bounds = np.searchsorted(starts, bounds).tolist()
+
+    last = np.zeros(WIDTH, np.int32)  # the last place of each bucket in the text at hand
+    out, sizes = [], [0]
+    for i, (low, high) in enumerate(itertools.pairwise(bounds.tolist())):
+        first, end = word_bounds[i], word_bounds[i + 1]
+        parts = [tri_codes[low : max(high - 2, low)], word_codes[first:end]]
+        if (n := end - first - 1) > 0:
+            # pairs that are found again, or are one word twice, whatever the words: one
+            # indicator for each twentieth that their share reaches
+            again = n - len(np.unique(pairs[first : end - 1]))
+            twice = int(np.count_nonzero(twins[first : end - 1]))
+            parts += [pair_codes[first : end - 1], _AGAIN[0][: again * 20 // n], _AGAIN[1][: twice * 20 // n]]
+        codes = np.concatenate(parts)
+        places = np.arange(len(codes), dtype=np.int32)
+        last[codes] = places
+        codes = codes[last[codes] == places]  # each bucket once
+        out.append(codes)
+        sizes.append(len(codes))
+    return np.concatenate(out) if out else np.zeros(0, np.int32), np.cumsum(sizes)
 
 
 @dataclass
@@ -145,9 +142,8 @@ def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return slope, float(-beta[1] / slope)
 
 
-def fit(texts: list[str], labels: list[int], counts: np.ndarray) -> Model:
+def fit(texts: list[str], labels: list[int]) -> Model:
     """Model of a sample; every fifth row is held back for the logistic fit."""
-    ratios = log_ratios(counts)
     rows: list[np.ndarray] = []
     for at in range(0, len(texts), 100):
         buckets, bounds = features(pa.array(texts[at : at + 100], pa.large_string()))
@@ -157,6 +153,11 @@ def fit(texts: list[str], labels: list[int], counts: np.ndarray) -> Model:
     if len(set(y[~back].tolist())) < 2 or not back.any():
         back[:] = False
     signs = np.where(y[~back] > 0, 1.0, -1.0)
+    counts = np.zeros((2, WIDTH))
+    for x, label, held in zip(rows, labels, back.tolist(), strict=True):
+        if not held:
+            counts[label, x] += 1
+    ratios = log_ratios(counts)
     weights, bias = dual_coordinate_descent(
         [r for r, b in zip(rows, back, strict=True) if not b], signs, ratios
     )
@@ -167,43 +168,25 @@ def fit(texts: list[str], labels: list[int], counts: np.ndarray) -> Model:
     return model
 
 
-def class_counts(training: DataFrame) -> np.ndarray:
-    """Documents by class and bucket, over all rows of ``training`` (``text``, ``label``)."""
-
-    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, WIDTH), np.int64)
-        for batch in batches(rows, 1 << 21):
-            buckets, bounds = features(batch.column("text"))
-            labels = batch.column("label").to_numpy(zero_copy_only=False).astype(np.int64)
-            of = np.repeat(labels, np.diff(bounds))
-            total += np.bincount(of * WIDTH + buckets, minlength=2 * WIDTH).reshape(2, WIDTH)
-        place = np.flatnonzero(total.ravel())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(place), pa.array(total.ravel()[place])], names=["place", "n"]
-        )
-
-    sums = training.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    found = stored(sums).toArrow()  # at most two times WIDTH rows
-    out = np.zeros(2 * WIDTH)
-    out[found["place"].to_numpy()] = found["n"].to_numpy()
-    return out.reshape(2, WIDTH)
-
-
-def train(training: DataFrame, sample: int = SAMPLE) -> Model:
-    """Model from ``doc_id``, ``text`` and ``label`` (0 or 1)."""
-    training = stored(training)
-    sizes = {r.label: r.n for r in training.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
-        share = (sizes.get(1, 0) + 0.5) / (sum(sizes.values()) + 1)
+def train(training: pa.Table) -> Model:
+    """Model from a table with ``text`` and ``label`` (0 or 1)."""
+    texts, labels = training["text"].to_pylist(), training["label"].to_pylist()
+    if len(set(labels)) < 2:
+        share = (sum(labels) + 0.5) / (len(labels) + 1)
         return Model(np.zeros(WIDTH), 0.0, 1.0, -float(np.log(share / (1 - share))))
-    chosen = (
-        training.withColumn("h", F.xxhash64("doc_id", "text"))
-        .orderBy("h")
-        .limit(sample)  # the documented bound of the fit
-        .select("text", "label")
-    )
-    rows = chosen.toArrow().to_pydict()
-    return fit(rows["text"], rows["label"], class_counts(training))
+    return fit(texts, labels)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> pa.Table:
+    """At most ``rows`` labelled rows, those with the least hashes of their ids.
+
+    The sample is drawn from the labels, which are small rows; the ids that are drawn (a bounded
+    number) are broadcast to the documents, so no text is shuffled.
+    """
+    hashed = F.xxhash64("doc_id")
+    chosen = labels.select("doc_id", "label").distinct().orderBy(hashed, "label").limit(rows)
+    found = docs.join(F.broadcast(stored(chosen)), "doc_id").select("doc_id", "text", "label")
+    return found.orderBy(hashed, "label", F.xxhash64("text")).limit(rows).toArrow()
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -213,7 +196,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     )
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows, 1 << 21):
+        for batch in batches(rows, 1 << 20):
             found = weights.value.scores(*features(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"]
@@ -231,7 +214,7 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(True))
     known = labels.where(~out & F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("int"))
-    model = train(docs.join(known, "doc_id").select("doc_id", "text", "label"))
+    model = train(labelled_sample(docs.select("doc_id", "text"), known))
     return score(docs, model).select(
         "doc_id",
         out.alias("held_out"),
