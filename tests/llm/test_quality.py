@@ -67,3 +67,26 @@ def test_without_both_classes(spark, docs, value, score):
     found = Q.classify(docs(rows), labels).collect()
     assert all(r.score == pytest.approx(score, abs=0.02) for r in found)
     assert Q.classify(docs(rows).where("false"), labels).count() == 0
+
+
+def test_ratios_count_all_labelled_rows(spark, docs):
+    """Every labelled row is counted, whatever the sample of the linear model."""
+    rows = [(i, good(i) if i % 2 else bad(i)) for i in range(300)]
+    labels = [(i, i % 2) for i in range(300)] + [(i, 1) for i in range(1000, 1400)]
+    df, known = docs(rows), spark.createDataFrame(labels, "doc_id long, label int")
+    expected = np.zeros((2, Q.WIDTH))
+    for i, text in rows:
+        expected[i % 2, Q.features(pa.array([text]))[0]] += 1
+    counts, sizes = Q.class_counts(df.join(known, "doc_id"))
+    assert (counts == expected).all() and sizes.tolist() == [150, 150]
+
+    # the sample is drawn from labels that have a document, and doesn't bound the counts
+    sample = Q.labelled_sample(df, known, 200)
+    assert sample.num_rows == 200
+    model = Q.train(df, known, 20)
+    seen = np.flatnonzero(expected.sum(axis=0))
+    few = Q.labelled_sample(df, known, 20)["buckets"].to_pylist()
+    assert set(np.flatnonzero(model.weights)) <= set(sum(few, [])) < set(seen.tolist())
+    ratios = Q.log_ratios(expected)
+    whole = Q.fit([np.array(x, np.int32) for x in few], Q.labelled_sample(df, known, 20)["label"].to_pylist(), ratios)
+    assert model.weights == pytest.approx(whole.weights)

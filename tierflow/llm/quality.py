@@ -5,8 +5,9 @@ shares of the pairs that repeat. Each indicator is scaled by its class log-count
 model with squared hinge loss is fitted to the scaled indicators by dual coordinate descent. The
 margins of held-back rows are turned into probabilities by a logistic fit.
 
-The model is fitted to a bounded sample: at most ``SAMPLE`` labelled rows, those with the least
-hashes of their ids. Every row is scored over its whole text.
+The ratios are counted over all labelled training rows. Only the linear model is fitted to a bounded
+sample: at most ``SAMPLE`` labelled rows, those with the least hashes of their ids. Every row is
+scored over its whole text.
 
 Defined results: a null or empty text has no features and gets the score of the bias alone;
 without labels of both classes every score is the share of label 1, or 0.5 without labels; rows
@@ -142,22 +143,13 @@ def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return slope, float(-beta[1] / slope)
 
 
-def fit(texts: list[str], labels: list[int]) -> Model:
-    """Model of a sample; every fifth row is held back for the logistic fit."""
-    rows: list[np.ndarray] = []
-    for at in range(0, len(texts), 100):
-        buckets, bounds = features(pa.array(texts[at : at + 100], pa.large_string()))
-        rows += np.split(buckets, bounds[1:-1])
+def fit(rows: list[np.ndarray], labels: list[int], ratios: np.ndarray) -> Model:
+    """Model of a sample's buckets by row; every fifth row is held back for the logistic fit."""
     y = np.array(labels)
     back = np.arange(len(y)) % 5 == 4
     if len(set(y[~back].tolist())) < 2 or not back.any():
         back[:] = False
     signs = np.where(y[~back] > 0, 1.0, -1.0)
-    counts = np.zeros((2, WIDTH))
-    for x, label, held in zip(rows, labels, back.tolist(), strict=True):
-        if not held:
-            counts[label, x] += 1
-    ratios = log_ratios(counts)
     weights, bias = dual_coordinate_descent(
         [r for r, b in zip(rows, back, strict=True) if not b], signs, ratios
     )
@@ -168,25 +160,72 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     return model
 
 
-def train(training: pa.Table) -> Model:
-    """Model from a table with ``text`` and ``label`` (0 or 1)."""
-    texts, labels = training["text"].to_pylist(), training["label"].to_pylist()
-    if len(set(labels)) < 2:
-        share = (sum(labels) + 0.5) / (len(labels) + 1)
-        return Model(np.zeros(WIDTH), 0.0, 1.0, -float(np.log(share / (1 - share))))
-    return fit(texts, labels)
+def class_counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by class and bucket, and rows by class, of all of ``training`` (``text``, ``label``)."""
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # behind the buckets of both classes stand the numbers of their rows
+        total = np.zeros(2 * WIDTH + 2, np.int64)
+        for batch in batches(rows, 1 << 20):
+            buckets, bounds = features(batch.column("text"))
+            labels = batch.column("label").to_numpy(zero_copy_only=False).astype(np.int64)
+            of = np.repeat(labels, np.diff(bounds))
+            total[:-2] += np.bincount(of * WIDTH + buckets, minlength=2 * WIDTH)
+            total[-2:] += np.bincount(labels, minlength=2)
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(place.astype(np.int32)), pa.array(total[place])], names=["place", "n"]
+        )
+
+    sums = training.select("text", "label").mapInArrow(count, "place int, n long")
+    # at most two times WIDTH rows
+    found = stored(sums.groupBy("place").agg(F.sum("n").alias("n"))).toArrow()
+    out = np.zeros(2 * WIDTH + 2)
+    out[found["place"].to_numpy()] = found["n"].to_numpy()
+    return out[:-2].reshape(2, WIDTH), out[-2:]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> pa.Table:
-    """At most ``rows`` labelled rows, those with the least hashes of their ids.
+    """``label`` and ``buckets`` of at most ``rows`` labelled rows, those with the least hashes of
 
-    The sample is drawn from the labels, which are small rows; the ids that are drawn (a bounded
-    number) are broadcast to the documents, so no text is shuffled.
+    their ids. The sample is drawn from the keys alone, of labels that have a document; the ids
+    that are drawn (a bounded number) are broadcast to the documents.
     """
     hashed = F.xxhash64("doc_id")
-    chosen = labels.select("doc_id", "label").distinct().orderBy(hashed, "label").limit(rows)
-    found = docs.join(F.broadcast(stored(chosen)), "doc_id").select("doc_id", "text", "label")
-    return found.orderBy(hashed, "label", F.xxhash64("text")).limit(rows).toArrow()
+    keys = docs.select("doc_id").join(labels, "doc_id").select("doc_id", "label").distinct()
+    chosen = keys.orderBy(hashed, "label").limit(rows)
+    found = docs.join(F.broadcast(stored(chosen)), "doc_id").select(
+        hashed.alias("hash"), F.xxhash64("text").alias("text_hash"), "text", "label"
+    )
+
+    def extract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, 1 << 20):
+            buckets, bounds = features(batch.column("text"))
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(buckets))
+            names = ["hash", "text_hash", "label"]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in names], lists], names=[*names, "buckets"]
+            )
+
+    found = found.mapInArrow(extract, "hash long, text_hash long, label int, buckets array<int>")
+    return found.orderBy("hash", "label", "text_hash").limit(rows).select("label", "buckets").toArrow()
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
+    """Model from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``label``, 0 or 1).
+
+    ``rows`` bounds the sample of the linear model, not the counts.
+    """
+    labels = labels.distinct()
+    counts, sizes = class_counts(docs.join(labels, "doc_id"))
+    if not sizes.all():
+        share = (sizes[1] + 0.5) / (sizes.sum() + 1)
+        return Model(np.zeros(WIDTH), 0.0, 1.0, -float(np.log(share / (1 - share))))
+    sample = labelled_sample(docs, labels, rows).combine_chunks()
+    lists = sample["buckets"].combine_chunks()
+    bounds = lists.offsets.to_numpy()
+    buckets = np.split(lists.values.to_numpy(), bounds[1:-1])
+    return fit(buckets, sample["label"].to_pylist(), log_ratios(counts))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -214,7 +253,7 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(True))
     known = labels.where(~out & F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("int"))
-    model = train(labelled_sample(docs.select("doc_id", "text"), known))
+    model = train(docs.select("doc_id", "text"), known)
     return score(docs, model).select(
         "doc_id",
         out.alias("held_out"),
