@@ -55,3 +55,26 @@ def test_rows(spark):
     found = extract_text(pages).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in found) == [(0, 0), (1, 1), (1, len(LONG)), (2, 0)]
     assert extract_text(pages.where("false")).count() == 0
+
+
+def test_text_outside_the_longest_container():
+    """Headings, leads and short ends beside a nested container, list or table are kept."""
+    ends = "".join(f"<p>End {i}.</p>" for i in range(8))
+    after = "\n".join(f"End {i}." for i in range(8))
+    lead = "<h1>Title</h1><p>Lead.</p>"
+    longs = [
+        (f"<div class=entry-content><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+        (f"<div><section><p>{LONG}</p></section></div>", LONG),
+        (f"<ul><li>{LONG}<li>{LONG}</ul>", f"{LONG}\n{LONG}"),
+        (f"<table><tbody><tr><td>{LONG}</td></tr></tbody></table>", LONG),
+    ]
+    wraps = ["<article>{}</article>", "<main><div>{}</div></main>", "<div id=post>{}</div>", "{}"]
+    for inner, text in longs:
+        for wrap in wraps:
+            for around in ("", BOILER):
+                body = around + wrap.format(lead + inner + ends) + "<footer>F " + LONG + "</footer>"
+                assert main_text(page(body)) == f"Title\nLead.\n{text}\n{after}", (inner, wrap)
+    flat = f"<h1>Title</h1><p>Lead.</p><p>{LONG}</p><p>{LONG}</p>" + ends
+    assert main_text(page(flat)) == f"Title\nLead.\n{LONG}\n{LONG}\n{after}"
+    inner = f"<div>Plain lead<div class=entry-content><p>{LONG}</p></div><ul><li>One<li>Two</ul></div>"
+    assert main_text(page(inner)) == f"Plain lead\n{LONG}\nOne\nTwo"

@@ -3,10 +3,11 @@
 The events of the standard library's parser are read as a stream into lines, one for each block of
 text. A line's ratio is its text's length by its number of tags; lines inside menus, forms and the
 like have ratio 0. The ratios are smoothed by a Gaussian, and two-means clustering of the smoothed
-values gives the threshold that content lines exceed. The region kept is the smallest element that
-holds nearly all of their text, whole but for its boilerplate: short paragraphs among long ones
-belong to the article. If that is the page's body, it goes from the first content line to the last,
-with the heading before it.
+values gives the threshold that content lines exceed. The region kept is the outermost article or
+main element that holds nearly all of their text, or else the smallest section that holds all of
+it and has no text of an outer section beside it. It is whole but for its boilerplate: short paragraphs
+belong to the article, wherever they stand. If the region is the page's body, it begins at the
+first content line, with the headings and paragraphs before it.
 
 Defined results: a null or empty page, or one without text, gives the empty string; elements that
 are never closed end where an outer one does, or with the page; repeated rows are read each; an
@@ -55,8 +56,12 @@ BOILERPLATE = re.compile(
     re.IGNORECASE,
 )
 SIGMA = 1.5
-#: Share of the content lines' text that the region must hold.
+#: Share of the content lines' text that an article or main element must hold to be the region.
 SHARE = 0.9
+#: A lone paragraph, heading, list or table is no region: what stands beside it may belong to it.
+PROSE = frozenset({"p", "pre", "blockquote"}) | HEADINGS
+NO_REGION = PROSE | frozenset("ul ol dl li dt dd table caption tbody thead tfoot tr td th".split())
+BODY = ("", "html", "body")
 
 
 class _Lines(HTMLParser):
@@ -178,6 +183,35 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _region(page: _Lines, mass: np.ndarray, skipped: np.ndarray) -> int:
+    """Number of the element whose text is kept; ``mass`` is each element's content text."""
+    for number in range(1, len(mass)):  # a child has a higher number than its parent
+        if page.names[number] in ("article", "main") and mass[number] >= SHARE * mass[0]:
+            return number
+    region = 0
+    for number in range(1, len(mass)):
+        section = page.names[number] not in NO_REGION
+        if section and page.parent[number] == region and mass[number] >= mass[0]:
+            region = number
+    # sections with text of their own, the body only by paragraphs and headings: it has menus too
+    section_of = list(range(len(mass)))
+    for number in range(1, len(mass)):
+        if page.names[number] in NO_REGION:
+            section_of[number] = section_of[page.parent[number]]
+    own = {
+        section_of[holder]
+        for holder, skip in zip(page.holder, skipped, strict=True)
+        if not skip
+        and (page.names[section_of[holder]] not in BODY or page.names[holder] in PROSE)
+    }
+    wider = region
+    while page.parent[wider] >= 0:
+        wider = page.parent[wider]
+        if wider in own:
+            region = wider
+    return region
+
+
 def main_text(html: str | None) -> str:
     page = _Lines()
     page.feed(html or "")
@@ -197,25 +231,20 @@ def main_text(html: str | None) -> str:
     np.add.at(mass, np.array(page.holder)[content], lengths[content])
     for number in range(len(mass) - 1, 0, -1):
         mass[page.parent[number]] += mass[number]
-    region = 0
-    for number in range(1, len(mass)):  # a child has a higher number than its parent
-        # a lone paragraph or heading is no region: what stands beside it may belong to it
-        section = page.names[number] not in ("p", "pre", "li", "blockquote") and (
-            page.names[number] not in HEADINGS
-        )
-        if section and page.parent[number] == region and mass[number] >= SHARE * mass[0]:
-            region = number
+    region = _region(page, mass, skipped)
     inside = np.zeros(len(mass), bool)
     inside[region] = True
     for number in range(region + 1, len(mass)):
         inside[number] = inside[page.parent[number]]
     kept = ~skipped & inside[np.array(page.holder)]
-    if page.names[region] in ("", "html", "body"):
-        first, last = np.flatnonzero(content)[[0, -1]]
-        while first and kept[first - 1] and page.heading[first - 1]:
-            first -= 1
+    if page.names[region] in BODY:
+        first = at = int(np.flatnonzero(content)[0])
+        while at and (
+            skipped[at - 1] or page.heading[at - 1] or page.names[page.holder[at - 1]] in PROSE
+        ):
+            at -= 1
+            first = first if skipped[at] else at
         kept[:first] = False
-        kept[last + 1 :] = False
     return "\n".join(t for t, k in zip(page.texts, kept, strict=True) if k)
 
 
