@@ -86,6 +86,13 @@ def tokenizer_files() -> dict[str, str]:
     }
 
 
+def second_tokenizer() -> str:
+    """The public tokenizer that alignments compare with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def packed(docs: DataFrame, *columns: str) -> DataFrame:
     """``columns`` and a struct ``row`` with the whole input row.
 

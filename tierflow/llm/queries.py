@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
+from .alignment import align
 from .brown import class_scores
 from .chat import link_quotations
-from .common import table, tokenizer_files
+from .common import second_tokenizer, table, tokenizer_files
 from .decontaminate import find_contamination
 from .html import extract_text
+from .licenses import license_labels, scan_licenses
 from .neardup import near_duplicates
 from .packing import pack
 from .pii import find_personal_data
 from .quality import classify
 from .rules import quality_rules
 from .secrets import scan_secrets
+from .spelling import spelling_variants
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +69,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    first = tokenizer_files()
+    return align(docs, first["ranks"], first["pattern"], second_tokenizer())
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_packing": op2_packing,
@@ -77,6 +94,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_html_text": op9_html_text,
     "op10_secret_scan": op10_secret_scan,
+    "op11_license_scan": op11_license_scan,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
