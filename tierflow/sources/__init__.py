@@ -2,6 +2,7 @@
 
 from tierflow.sources.csvfile import load_csv, read_csv
 from tierflow.sources.jdbc import import_tables, read_jdbc, remainder_predicates
+from tierflow.sources.partitioned import read_partitions, refresh_partitions, write_partitions
 from tierflow.sources.paths import (
     delete,
     exists,
@@ -23,21 +24,40 @@ from tierflow.sources.tables import (
     use_database,
     write_silver,
 )
+from tierflow.sources.versions import (
+    Commit,
+    CommitConflict,
+    commit,
+    commit_tables,
+    load_commit,
+    read_version,
+    vacuum,
+    versions,
+    write_data,
+)
 
 __all__ = [
-    "drop_table",
+    "Commit",
+    "CommitConflict",
+    "commit",
+    "commit_tables",
     "delete",
+    "drop_table",
     "exists",
     "external_table",
     "import_tables",
+    "load_commit",
     "load_csv",
     "publish",
     "read_csv",
     "read_jdbc",
+    "read_partitions",
     "read_raw",
     "read_silver",
     "read_table",
+    "read_version",
     "recover",
+    "refresh_partitions",
     "remainder_predicates",
     "rename_table",
     "replace_folder",
@@ -46,5 +66,9 @@ __all__ = [
     "settled",
     "shared_folder",
     "use_database",
+    "vacuum",
+    "versions",
+    "write_data",
+    "write_partitions",
     "write_silver",
 ]

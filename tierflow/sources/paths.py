@@ -45,6 +45,12 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop.Path, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, as Hadoop's objects."""
+    make, fs = _file_system(spark, path)
+    return make(path), fs
+
+
 def delete(spark: SparkSession, path: str) -> None:
     make, fs = _file_system(spark, path)
     fs.delete(make(path), True)
