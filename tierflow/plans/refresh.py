@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.operators.changes import fingerprints
 from tierflow.operators.refine import refine
 from tierflow.sources.paths import exists, recover, replace_folder
 from tierflow.sources.tables import read_raw, write_silver
@@ -42,6 +43,35 @@ def gate_report(pairs: Mapping[str, tuple[DataFrame, DataFrame | None]]) -> Data
     )
 
 
+def content_gate_report(pairs: Mapping[str, tuple[DataFrame, DataFrame | None]]) -> DataFrame:
+    """As ``gate_report``, by content: ``by_content`` says that the snapshot's bag of rows is another.
+
+    So a snapshot with as many rows, or fewer, is seen too; one that only has another order of rows or
+    columns isn't new. Both tables of a pair have the same column names. Each is read once, and one
+    row per table is shuffled. A missing snapshot is not new.
+    """
+    tables = {
+        f"{side}:{name}": df
+        for name, both in pairs.items()
+        for side, df in zip(("raw", "snapshot"), both)
+        if df is not None
+    }
+    marks = fingerprints(tables).selectExpr(
+        "substring_index(name, ':', 1) AS side", "substring(name, instr(name, ':') + 1) AS name",
+        "rows", "total", "mixed",
+    )
+    differ = " OR ".join(f"min({c}) <> max({c})" for c in ("rows", "total", "mixed"))
+
+    def rows(side: str):
+        return F.expr(f"coalesce(sum(CASE WHEN side = '{side}' THEN rows END), 0) AS {side}_rows")
+
+    return (
+        marks.groupBy("name")
+        .agg(rows("raw"), rows("snapshot"), F.expr(f"count(*) = 2 AND ({differ}) AS by_content"))
+        .selectExpr("name", "raw_rows", "snapshot_rows", "snapshot_rows > raw_rows AS by_rows", "by_content")
+    )
+
+
 def refresh_category(
     spark: SparkSession, category: str, raw_path: str, snapshot_path: str, silver_path: str
 ) -> bool:
