@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tierflow.functions import text
 from tierflow.specs import ALL, ROW, CleanSpec
@@ -59,18 +60,22 @@ def _parse(df: DataFrame, columns: list[str], spec: CleanSpec) -> DataFrame:
     return df.selectExpr(*[parse(c) for c in columns], *parts)
 
 
-def _condition(columns: list[str], spec: CleanSpec, keep_null: bool) -> str | None:
-    """SQL text of all the spec's tests, the cheap and selective ones first."""
-    tests = [spec.keep.condition(columns, keep_null) if spec.keep is not None else None]
+def row_tests(columns: list[str], spec: CleanSpec, keep_null: bool = False) -> dict[str, str]:
+    """SQL texts of the spec's tests by name, over parsed rows, the cheap and selective ones first."""
+    tests = {"keep": spec.keep.condition(columns, keep_null) if spec.keep is not None else None}
     if spec.year_floor is not None and "year" in columns:
-        tests.append(f"{text.lenient_int('year')} >= {spec.year_floor}")
+        tests["year"] = f"{text.lenient_int('year')} >= {spec.year_floor}"
     seconds = {pair.second: pair for pair in spec.pairs if pair.source in columns}
     for name in spec.required:
         if name in seconds:
-            tests.append(text.has_pair(seconds[name].source, seconds[name].separator))
+            tests[name] = text.has_pair(seconds[name].source, seconds[name].separator)
         elif name in columns:
-            tests.append(f"{name} IS NOT NULL")
-    return " AND ".join(t for t in tests if t) or None
+            tests[name] = f"{name} IS NOT NULL"
+    return {name: test for name, test in tests.items() if test}
+
+
+def _condition(columns: list[str], spec: CleanSpec, keep_null: bool) -> str | None:
+    return " AND ".join(row_tests(columns, spec, keep_null).values()) or None
 
 
 def refine(
@@ -92,18 +97,22 @@ def refine(
     absent = [c for c in spec.raw_columns if c not in columns]
     if absent and missing == "error":
         raise ValueError(f"{spec.name}: columns are missing: {', '.join(absent)}")
+    rows = _parse(_deduplicated(_normalise(df, spec), spec), columns, spec)
+    condition = _condition(columns, spec, keep_null_measures)
+    return _finished(rows if condition is None else rows.filter(condition), spec, absent, missing)
 
-    rows = _normalise(df, spec)
+
+def _deduplicated(rows: DataFrame, spec: CleanSpec) -> DataFrame:
     if spec.dedup == ROW:
-        rows = rows.dropDuplicates()
-    elif spec.dedup and all(c in columns for c in spec.dedup):
-        rows = first_per_key(rows, spec.dedup)
-    rows = _parse(rows, columns, spec)
-    condition = _condition(columns, spec, keep_null_measures)
-    if condition is not None:
-        rows = rows.filter(condition)
-    rows = rows.drop(*spec.dropped)
+        return rows.dropDuplicates()
+    if spec.dedup and all(c in rows.columns for c in spec.dedup):
+        return first_per_key(rows, spec.dedup)
+    return rows
 
+
+def _finished(rows: DataFrame, spec: CleanSpec, absent: list[str], missing: str) -> DataFrame:
+    """Without the columns that are dropped, and with absent ones if asked for."""
+    rows = rows.drop(*spec.dropped)
     if absent and missing == "null":
         present = set(rows.columns)
         rows = rows.selectExpr(
@@ -113,3 +122,31 @@ def refine(
             ]
         )
     return rows
+
+
+def refine_observed(df: DataFrame, spec: CleanSpec, seen: Observation, parsed: Observation) -> DataFrame:
+    """``refine`` whose action also counts what it reads and drops, without another pass.
+
+    ``seen`` gets ``rows_in``. ``parsed`` gets ``rows_distinct`` (after deduplication), ``fails_<test>`` (rows
+    that don't pass a test, each counted at every test it fails), ``kept``, and ``unparsed_<column>``
+    (texts of kept columns that are there but can't be read). Counts of a stage that is run again after a lost
+    executor may include its rows twice.
+    """
+    columns = df.columns
+    absent = [c for c in spec.raw_columns if c not in columns]
+    if absent:
+        raise ValueError(f"{spec.name}: columns are missing: {', '.join(absent)}")
+    rows = _normalise(df.observe(seen, F.expr("count(*) AS rows_in")), spec)
+    sources = {f"_text_{c}": c for c in spec.parsers() if c not in spec.dropped}
+    rows = _deduplicated(rows, spec).selectExpr("*", *[f"{c} AS {t}" for t, c in sources.items()])
+    rows = _parse(rows, [*columns, *sources], spec)
+    tests = row_tests(columns, spec)
+    passed = " AND ".join(f"({t})" for t in tests.values()) or "TRUE"
+    counts = [
+        "count(*) AS rows_distinct",
+        *[f"count_if(NOT coalesce({t}, FALSE)) AS fails_{name}" for name, t in tests.items()],
+        f"count_if({passed}) AS kept",
+        *[f"count_if({c} IS NULL AND {t} IS NOT NULL) AS unparsed_{c}" for t, c in sources.items()],
+    ]
+    rows = rows.observe(parsed, *map(F.expr, counts)).drop(*sources)
+    return _finished(rows.filter(passed), spec, [], "error")

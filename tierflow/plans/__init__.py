@@ -1,8 +1,23 @@
 """Star schema, refresh and whole runs."""
 
-from tierflow.plans.audit import describe, match_audit, match_summary, preview, view_counts
+from tierflow.plans.audit import (
+    describe,
+    match_audit,
+    match_summary,
+    preview,
+    view_counts,
+    write_refined,
+)
 from tierflow.plans.batch import BatchConfig, first_load, gold_tables, refresh_all, run_batch
-from tierflow.plans.refresh import gate_report, refresh_category, should_refresh
+from tierflow.plans.bucketed import bucketed_fact, save_bucketed, save_fact_tables
+from tierflow.plans.incremental import touched_players, update_fact
+from tierflow.plans.ledger import LedgerConfig, read_gold, read_pair, run_ledger
+from tierflow.plans.refresh import (
+    content_gate_report,
+    gate_report,
+    refresh_category,
+    should_refresh,
+)
 from tierflow.plans.star import (
     backfill_max,
     backfill_null_only,
@@ -18,12 +33,15 @@ from tierflow.plans.star import (
 
 __all__ = [
     "BatchConfig",
+    "LedgerConfig",
     "backfill_max",
     "backfill_null_only",
+    "bucketed_fact",
     "build_fact",
     "college_dim",
     "college_ranking",
     "college_scores",
+    "content_gate_report",
     "describe",
     "first_load",
     "gate_report",
@@ -34,10 +52,18 @@ __all__ = [
     "players_dim",
     "positions_dim",
     "preview",
+    "read_gold",
+    "read_pair",
     "refresh_all",
     "refresh_category",
     "run_batch",
+    "run_ledger",
+    "save_bucketed",
+    "save_fact_tables",
     "should_refresh",
     "teams_dim",
+    "touched_players",
+    "update_fact",
     "view_counts",
+    "write_refined",
 ]

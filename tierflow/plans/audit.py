@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.operators.refine import refine_observed
 from tierflow.operators.rollup import row_counts
+from tierflow.sources.tables import write_silver
+from tierflow.specs import CleanSpec
 
 view_counts = row_counts
 
@@ -41,3 +44,13 @@ def preview(tables: Mapping[str, DataFrame], n: int = 20) -> None:
 def describe(spark: SparkSession, table: str) -> DataFrame:
     """Columns, format, location and properties of a catalog table."""
     return spark.sql(f"DESCRIBE FORMATTED {table}")
+
+
+def write_refined(df: DataFrame, spec: CleanSpec, path: str) -> dict[str, int]:
+    """Clean a raw table into ``path``; what was read, dropped by each test, not parsed, and kept.
+
+    The counts come from the job that writes, which reads the table once.
+    """
+    seen, parsed = Observation(), Observation()
+    write_silver(refine_observed(df, spec, seen, parsed), path)
+    return {**seen.get, **parsed.get}

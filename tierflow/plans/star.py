@@ -17,7 +17,7 @@ from tierflow.operators.derive import (
     with_fallback,
 )
 from tierflow.operators.fuse import careers_with_team
-from tierflow.operators.join import SALTS, salted_left_join
+from tierflow.operators.join import SALTS, hot_left_join, salted_left_join
 from tierflow.operators.refine import first_per_key
 from tierflow.operators.rollup import max_per_key
 from tierflow.schemas import (
@@ -98,17 +98,27 @@ def player_teams(players: DataFrame, usual_team: DataFrame) -> DataFrame:
 
 
 def _lookup(
-    df: DataFrame, dim: DataFrame, column: str, dim_key: str, result: str, salts: int
+    df: DataFrame,
+    dim: DataFrame,
+    column: str,
+    dim_key: str,
+    result: str,
+    salts: int,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a dimension's key; ``copies`` grows where the key occurs several times.
 
     The dimension is reduced to its distinct keys. No broadcast is forced: Spark
     broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``; otherwise the salted join
-    keeps a college or team that many players share, and missing ones, from one task.
+    keeps a college or team that many players share, and missing ones, from one task. With ``hot``, a
+    table that has the frequent keys, only these are salted.
     """
     keys = dim.groupBy(F.col(dim_key).alias(result)).agg(F.expr("count(*) AS _matches"))
     rest = [c for c in df.columns if c not in (column, "copies")]
-    joined = salted_left_join(df, keys, column, result, ["player_id"], salts)
+    if hot is None:
+        joined = salted_left_join(df, keys, column, result, ["player_id"], salts)
+    else:
+        joined = hot_left_join(df, keys, column, result, ["player_id"], salts, source=hot)
     return joined.selectExpr(*rest, result, "copies * coalesce(_matches, 1) AS copies")
 
 
@@ -119,6 +129,7 @@ def build_fact(
     rows: str = "counted",
     measure_type: str = "int",
     salts: int = SALTS,
+    lookups: str = "copies",
 ) -> DataFrame:
     """Fact table: one career per player with college, team and position keys.
 
@@ -131,14 +142,34 @@ def build_fact(
 
     The joins run on counted rows in every form, never on the pairs. Sums that pass the
     int range fail the cast; give ``measure_type="bigint"`` for those.
+
+    ``lookups`` says how hot colleges and teams are spread: ``"copies"`` repeats every dimension row
+    for each salt, ``"hot"`` only those of keys that a sketch of the players finds frequent.
     """
+    if lookups not in ("copies", "hot"):
+        raise ValueError(f"lookups={lookups!r}")
     if rows not in ("repeated", "counted", "single"):
         raise ValueError(f"rows={rows!r}")
     stats = {name: silver[name] for name in STAT_CATEGORIES}
     people = silver["players"].filter("player_id IS NOT NULL")
     people = people.selectExpr("CAST(player_id AS int) AS player_id", "college", "current_team")
+    return fact_from_careers(
+        careers_with_team(stats), people, colleges, teams, rows, measure_type, salts, lookups
+    )
 
-    joined = careers_with_team(stats)
+
+def fact_from_careers(
+    careers: DataFrame,
+    people: DataFrame,
+    colleges: DataFrame,
+    teams: DataFrame,
+    rows: str = "counted",
+    measure_type: str = "int",
+    salts: int = SALTS,
+    lookups: str = "copies",
+) -> DataFrame:
+    """The fact from careers with their usual team, and the players' ``college`` and ``current_team``."""
+    joined = careers
     if rows == "single":
         joined = joined.join(first_per_key(people, ["player_id"], nulls_last=True), "player_id")
         joined = joined.selectExpr("*", "1L AS copies")
@@ -154,8 +185,10 @@ def build_fact(
             .selectExpr("*", "_n_college * _n_team * n_values AS copies")
         )
     joined = joined.selectExpr("*", "coalesce(current_team, team) AS final_team")
-    joined = _lookup(joined, colleges, "college", "school", "college_key", salts)
-    joined = _lookup(joined, teams, "final_team", "team_name", "team_key", salts)
+    hot = {"college": people, "final_team": people.selectExpr("current_team AS final_team")}
+    hot = hot if lookups == "hot" else dict.fromkeys(hot)
+    joined = _lookup(joined, colleges, "college", "school", "college_key", salts, hot["college"])
+    joined = _lookup(joined, teams, "final_team", "team_name", "team_key", salts, hot["final_team"])
 
     computed = {
         "player_key": "player_id",
