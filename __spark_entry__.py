@@ -43,6 +43,7 @@ from tierflow.operators import (
     union_columns,
     year_span,
 )
+from tierflow.operators.join import hot_left_join
 from tierflow.plans import (
     BatchConfig,
     backfill_max,
@@ -51,6 +52,7 @@ from tierflow.plans import (
     college_dim,
     college_ranking,
     college_scores,
+    content_gate_report,
     gate_report,
     match_audit,
     match_summary,
@@ -60,24 +62,34 @@ from tierflow.plans import (
     refresh_category,
     run_batch,
     teams_dim,
+    update_fact,
+    write_refined,
 )
+from tierflow.plans.bucketed import bucketed_fact, save_fact_tables
+from tierflow.plans.ledger import LedgerConfig, read_gold, read_pair, run_ledger
 from tierflow.plans.star import main_position, years_played
 from tierflow.schemas import RAW_COLUMNS, fact_schema, raw_schema
 from tierflow.settings import tune
 from tierflow.sources import (
+    commit_tables,
     delete,
     drop_table,
     external_table,
+    load_commit,
     load_csv,
     publish,
     read_csv,
+    read_partitions,
     read_raw,
     read_silver,
     read_table,
+    read_version,
+    refresh_partitions,
     rename_table,
     replace_folder,
     save_table,
     shared_folder,
+    write_partitions,
     write_silver,
 )
 from tierflow.specs import ROLLUPS, STAT_CATEGORIES, clean_spec
@@ -672,6 +684,214 @@ def csv_guard(spark, sf_dir):
     return found[0].union(found[1]).union(found[2])
 
 
+# Versions, changes, and runs that can be interrupted.
+
+
+def versioned_swap(spark, sf_dir):
+    """Two tables before and after a commit; the plans that read the old version run after it."""
+    root = new_folder(spark)
+    tables = {c: silver(spark, sf_dir, c) for c in ("rushing", "receiving")}
+    commit_tables(spark, root, {c: t.where("player_id % 2 = 0") for c, t in tables.items()})
+
+    def look(when: str) -> list[DataFrame]:
+        version = load_commit(spark, root)
+        return [
+            read_version(spark, root, c, clean_spec(c).silver_schema(), version).selectExpr(
+                f"'{when}' AS version", f"'{c}' AS name", "count(*) AS c", f"sum({c}_yards) AS yards"
+            )
+            for c in tables
+        ]
+
+    before = look("before")
+    commit_tables(spark, root, tables)
+    first, *rest = [*before, *look("after")]
+    for part in rest:
+        first = first.union(part)
+    return first
+
+
+def older_silver(spark, sf_dir) -> dict[str, DataFrame]:
+    """Silver tables as they may have been: players that are new now, changed since, or gone."""
+    changes = {"players": ("college", "concat(college, ' old')"), **{
+        c: ("year", "CAST(CAST(year AS int) - 1 AS string)") for c in STAT_CATEGORIES
+    }}
+    out = {}
+    for category, table in all_silver(spark, sf_dir).items():
+        column, value = changes[category]
+        was = f"CASE WHEN player_id % 10 = 5 THEN {value} ELSE {column} END"
+        gone = table.where("player_id % 10 = 7").withColumn("player_id", F.expr("player_id + 10000000"))
+        kept = table.where("player_id IS NULL OR player_id % 10 <> 3")
+        out[category] = kept.withColumn(column, F.expr(was)).unionByName(gone)
+    return out
+
+
+def fact_incremental(spark, sf_dir):
+    """The fact of older silver tables and fewer colleges, brought up to date from the changes."""
+    folder = new_folder(spark)
+    schools = colleges(spark, sf_dir)
+    fewer = schools.where("length(school) % 3 <> 0")
+    old = {}
+    for category, table in older_silver(spark, sf_dir).items():
+        write_silver(table, f"{folder}/{category}")
+        old[category] = read_silver(spark, clean_spec(category), f"{folder}/{category}")
+    clubs = teams(spark, sf_dir)
+    before = build_fact(old, fewer, clubs, measure_type="bigint")
+    write_silver(before, f"{folder}/fact")
+    before = spark.read.schema(fact_schema("bigint").add("copies", "long")).parquet(f"{folder}/fact")
+    return update_fact(
+        before, old, all_silver(spark, sf_dir), schools, clubs, folder, measure_type="bigint",
+        dimensions={"college": (fewer.select("school"), schools.select("school"))},
+    )
+
+
+def refresh_gate_content(spark, sf_dir):
+    """Snapshots with the same, reordered, changed, swapped, fewer and more rows, and none."""
+    orders = data.table(spark, sf_dir, "orders")
+    swapped = "CASE o_orderkey % 4 WHEN 1 THEN o_custkey + 1 WHEN 2 THEN o_custkey - 1 ELSE o_custkey END"
+    return content_gate_report(
+        {
+            "equal": (orders, orders),
+            "permuted": (orders, orders.select(*reversed(orders.columns)).orderBy("o_totalprice")),
+            "changed": (orders, orders.withColumn("o_custkey", F.expr("o_custkey + CAST(o_orderkey = 7 AS int)"))),
+            "swapped": (orders, orders.withColumn("o_custkey", F.expr(swapped))),
+            "shrunk": (orders, orders.where("o_orderkey <> 7")),
+            "larger": (orders.where("o_orderkey <> 7"), orders),
+            "missing": (orders, None),
+        }
+    )
+
+
+def refine_audit(spark, sf_dir):
+    """What the cleaning of each raw table reads, drops and can't parse, counted by the writing job."""
+    folder = new_folder(spark)
+    found = [
+        (category, what, n)
+        for category in RAW_COLUMNS
+        for what, n in write_refined(
+            raw_table(spark, sf_dir, category), clean_spec(category), f"{folder}/{category}"
+        ).items()
+    ]
+    return spark.createDataFrame(found, "category string, what string, n long")
+
+
+def fact_bucketed(spark, sf_dir):
+    folder, prefix = new_folder(spark), f"fact_{uuid.uuid4().hex}"
+    tables = save_fact_tables(spark, all_silver(spark, sf_dir), prefix, 8, folder)
+    return bucketed_fact(tables, colleges(spark, sf_dir), teams(spark, sf_dir), "bigint")
+
+
+def lookup_skew(spark, sf_dir):
+    """Parts of order lines of which a third name one part and some none, counted by brand."""
+    hot = "CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS part"
+    lines = data.table(spark, sf_dir, "lineitem").selectExpr(hot, "l_orderkey", "l_linenumber")
+    parts = data.table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    found = hot_left_join(lines, parts, "part", "p_partkey", ["l_orderkey", "l_linenumber"])
+    return found.groupBy("p_brand").agg(F.expr("count(*) AS c"), F.expr("count(part) AS named"))
+
+
+def silver_by_year(spark, sf_dir):
+    """A silver table in folders by year, first from other rows, then brought up to date."""
+    folder = new_folder(spark)
+    schema = clean_spec("kicking").silver_schema()
+    rows = silver(spark, sf_dir, "kicking")
+    older = rows.where("year % 3 <> 0").withColumn("fgs_made", F.expr("fgs_made + CAST(year % 3 = 1 AS int)"))
+    gone = rows.withColumn("year", F.expr("concat(year, 'x')"))
+    write_partitions(older.unionByName(gone), folder)
+    refresh_partitions(rows, folder, schema)
+    return read_partitions(spark, schema, folder)
+
+
+class Interrupted(Exception):
+    """Stands for a driver that ends in the middle of a run."""
+
+
+def run_interrupted(spark, sf_dir, config: LedgerConfig, name: str, first: bool, steps=None) -> None:
+    """Run until it is over, ended at each step in turn (or at those that ``steps`` picks)."""
+    met: set[str] = set()
+
+    def watch(step: str) -> None:
+        if step not in met and (steps is None or step in steps):
+            met.add(step)
+            raise Interrupted(step)
+
+    while True:
+        try:
+            run_ledger(spark, config, colleges(spark, sf_dir), teams(spark, sf_dir), name, first, watch)
+            return
+        except Interrupted:
+            continue
+
+
+def ledger_config(spark, **options) -> LedgerConfig:
+    folder = new_folder(spark)
+    return LedgerConfig(
+        f"{folder}/root", f"{folder}/raw", f"{folder}/snapshot", measure_type="bigint",
+        college_ints=data.COLLEGE_INTS, **options,
+    )
+
+
+def batch_resume(spark, sf_dir):
+    """The fact of a first load that was ended after each write and each commit, and begun again."""
+    config = ledger_config(spark)
+    for category in RAW_COLUMNS:
+        raw_table(spark, sf_dir, category).write.parquet(config.of("raw", category))
+    run_interrupted(spark, sf_dir, config, "load", True)
+    return read_gold(spark, config, "fact_player_stats")
+
+
+def resumed_refresh(spark, sf_dir) -> LedgerConfig:
+    """Three runs: a first load, one without news, one with two grown snapshots and a fact from changes."""
+    config = ledger_config(spark, incremental=True)
+    grown = ("passing", "defensive")
+    for category in RAW_COLUMNS:
+        rows = raw_table(spark, sf_dir, category)
+        if category in grown:
+            rows = data.derived(spark, sf_dir, data.raw_selects(category)[0])
+        rows.write.parquet(config.of("raw", category))
+    fewer = raw_table(spark, sf_dir, "receiving").filter("receiving_yards <> '--'")
+    fewer.write.parquet(config.of("snapshot", "receiving"))
+    run_interrupted(spark, sf_dir, config, "load", True, ())
+    run_interrupted(spark, sf_dir, config, "monday", False, ("committed:passing", "written:gold"))
+    for category in grown:
+        raw_table(spark, sf_dir, category).write.parquet(config.of("snapshot", category))
+    steps = ("written:passing", "committed:defensive", "written:gold", "committed:gold")
+    run_interrupted(spark, sf_dir, config, "tuesday", False, steps)
+    return config
+
+
+def ledger_refresh(spark, sf_dir):
+    return read_gold(spark, resumed_refresh(spark, sf_dir), "fact_player_stats")
+
+
+def snapshot_pair(spark, sf_dir):
+    """Rows of the raw and silver tables that a reader sees before, during and after a refresh."""
+    config = ledger_config(spark, gate="content")
+    for category in RAW_COLUMNS:
+        rows = raw_table(spark, sf_dir, category)
+        if category == "defensive":
+            rows = data.derived(spark, sf_dir, data.raw_selects(category)[0])
+        rows.write.parquet(config.of("raw", category))
+    run_interrupted(spark, sf_dir, config, "load", True, ())
+    raw_table(spark, sf_dir, "defensive").write.parquet(config.of("snapshot", "defensive"))
+    seen: list[DataFrame] = []
+
+    def look(when: str) -> None:
+        raw, clean = read_pair(spark, config, "defensive")
+        counts = row_counts({"raw": raw, "silver": clean})
+        seen.append(counts.selectExpr(f"'{when}' AS seen", "vw AS name", "c"))
+
+    def watch(step: str) -> None:
+        if step.endswith(":defensive"):
+            look(step.split(":")[0])
+
+    look("before")
+    run_ledger(spark, config, colleges(spark, sf_dir), teams(spark, sf_dir), "news", watch=watch)
+    found = seen[0]
+    for part in seen[1:]:
+        found = found.union(part)
+    return found
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The fact table, distinct rows with their number, at the smallest scale."""
     tune(spark)
@@ -763,6 +983,16 @@ def library_queries() -> dict[str, Query]:
         "catalog_rename": catalog_rename,
         "catalog_drop": catalog_drop,
         "csv_guard": csv_guard,
+        "versioned_swap": versioned_swap,
+        "batch_resume": batch_resume,
+        "snapshot_pair": snapshot_pair,
+        "ledger_refresh": ledger_refresh,
+        "fact_incremental": fact_incremental,
+        "refresh_gate_content": refresh_gate_content,
+        "refine_audit": refine_audit,
+        "fact_bucketed": fact_bucketed,
+        "lookup_skew": lookup_skew,
+        "silver_by_year": silver_by_year,
     }
     return {name: tuned(query) for name, query in found.items()}
 
@@ -1011,6 +1241,37 @@ def library_oracle() -> dict[str, str]:
         "SELECT 'turns' AS source, COUNT(*) AS c, NULL::VARCHAR AS error FROM conversations "
         "UNION ALL VALUES ('empty', 0, 'no header'), ('missing', 0, 'no files')"
     )
+    found["versioned_swap"] = " UNION ALL ".join(
+        f"SELECT '{when}' AS version, '{c}' AS name, COUNT(*) AS c, CAST(SUM({c}_yards) AS BIGINT) AS yards "
+        f"FROM ({o.refine(c)}) t WHERE {test}"
+        for when, test in (("before", "player_id % 2 = 0"), ("after", "TRUE"))
+        for c in ("rushing", "receiving")
+    )
+    found["batch_resume"] = found["first_load_gold"]
+    found["ledger_refresh"] = found["full_batch_refresh"]
+    found["fact_incremental"] = found["fact_bucketed"] = found["fact_counted"]
+    found["silver_by_year"] = o.refine("kicking")
+    first_source = data.derived_sql(data.raw_selects("defensive")[0])
+    old_pair = [
+        f"SELECT COUNT(*) FROM ({first_source}) r",
+        f"SELECT COUNT(*) FROM ({o.refine('defensive').replace(data.raw_sql('defensive'), first_source)}) s",
+    ]
+    new_pair = [
+        f"SELECT COUNT(*) FROM ({data.raw_sql('defensive')}) r",
+        f"SELECT COUNT(*) FROM ({o.refine('defensive', incremental=True)}) s",
+    ]
+    found["snapshot_pair"] = " UNION ALL ".join(
+        f"SELECT '{when}' AS seen, '{name}' AS name, ({count}) AS c"
+        for when, pair in (("before", old_pair), ("written", old_pair), ("committed", new_pair))
+        for name, count in zip(("raw", "silver"), pair)
+    )
+    found["refresh_gate_content"] = o.content_gate()
+    found["refine_audit"] = o.audit()
+    found["lookup_skew"] = (
+        "SELECT p_brand, COUNT(*) AS c, COUNT(part) AS named FROM (SELECT CASE WHEN l_orderkey % 7 = 0 "
+        "THEN NULL WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS part FROM lineitem) l "
+        "LEFT JOIN part ON l.part = p_partkey GROUP BY p_brand"
+    )
     found["gold_append"] = f"{found['dim_players']} UNION ALL {found['dim_players']}"
     return found
 
