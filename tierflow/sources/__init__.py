@@ -29,10 +29,10 @@ from tierflow.sources.versions import (
     CommitConflict,
     commit,
     commit_tables,
+    committed_versions,
     load_commit,
     read_version,
     vacuum,
-    versions,
     write_data,
 )
 
@@ -41,6 +41,7 @@ __all__ = [
     "CommitConflict",
     "commit",
     "commit_tables",
+    "committed_versions",
     "delete",
     "drop_table",
     "exists",
@@ -67,7 +68,6 @@ __all__ = [
     "shared_folder",
     "use_database",
     "vacuum",
-    "versions",
     "write_data",
     "write_partitions",
     "write_silver",

@@ -46,7 +46,7 @@ def _record(root: str, version: int) -> str:
     return f"{_commits(root)}/{version:012d}.json"
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the records that are there, in order."""
     folder = _commits(root)
     if not exists(spark, folder):
@@ -59,7 +59,7 @@ def versions(spark: SparkSession, root: str) -> list[int]:
 def load_commit(spark: SparkSession, root: str, version: int | None = None) -> Commit:
     """The record of a version, by default the latest; an empty one before the first commit."""
     if version is None:
-        found = versions(spark, root)
+        found = committed_versions(spark, root)
         if not found:
             return Commit()
         version = found[-1]
@@ -69,6 +69,10 @@ def load_commit(spark: SparkSession, root: str, version: int | None = None) -> C
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+    return _parsed(text)
+
+
+def _parsed(text: str) -> Commit:
     content = json.loads(text)
     tables = {name: tuple(folders) for name, folders in content["tables"].items()}
     return Commit(content["version"], tables, content["notes"])
@@ -104,12 +108,13 @@ def commit(
     for name, folders in tables.items():
         new = (folders,) if isinstance(folders, str) else tuple(folders)
         merged[name] = (*base.tables.get(name, ()), *new) if name in appended else new
-    next_one = Commit(base.version + 1, merged, dict(base.notes if notes is None else notes))
-    content = json.dumps(
-        {"version": next_one.version, "tables": next_one.tables, "notes": next_one.notes}, indent=1
-    )
-    target = _record(root, next_one.version)
-    path, fs = hadoop_path(spark, target)
+    record = {
+        "version": base.version + 1,
+        "tables": merged,
+        "notes": base.notes if notes is None else notes,
+    }
+    content = json.dumps(record, indent=1)
+    path, fs = hadoop_path(spark, _record(root, record["version"]))
     fs.mkdirs(path.getParent())
     beside, _ = hadoop_path(spark, f"{_commits(root)}/_{uuid.uuid4().hex}")
     stream = fs.create(beside, False)
@@ -118,7 +123,7 @@ def commit(
     finally:
         stream.close()
     _take_number(spark, fs, beside, path)
-    return next_one
+    return _parsed(content)
 
 
 def _take_number(spark: SparkSession, fs, beside, path) -> None:
@@ -178,7 +183,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """
     if keep < 1:
         raise ValueError(f"keep={keep}")
-    found = versions(spark, root)
+    found = committed_versions(spark, root)
     for version in found[:-keep]:
         delete(spark, _record(root, version))
     named = {
