@@ -67,7 +67,7 @@ def plain():
                 while k < len(b_at) and b_at[k][1] < e:
                     links.append((i, b_at[k][0]))
                     k += 1
-            ends = sorted({e for *_, e in a_at} & {e for *_, e in b_at})
+            ends = np.array(sorted({e for *_, e in a_at} & {e for *_, e in b_at}))
             group_a, group_b = defaultdict(list), defaultdict(list)
             for side, out in ((a_at, group_a), (b_at, group_b)):
                 for i, _, e in side:
