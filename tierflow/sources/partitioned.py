@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,14 +52,14 @@ def refresh_partitions(
     changes = changed_keys(stored, df.select(*map(quoted, schema.names)), column).collect()
     written = [r[column] for r in changes if r.in_new]
     deleted = [r[column] for r in changes if not r.in_new]
-    by_value = spark.createDataFrame([(v,) for v in written], T.StructType([T.StructField("_value", schema[column].dataType)]))
-    gone = spark.createDataFrame([(v,) for v in deleted], by_value.schema)
+    one = T.StructType([T.StructField("_value", schema[column].dataType)])
+    by_value, gone = (spark.createDataFrame([(v,) for v in x], one) for x in (written, deleted))
     if deleted:
         files = stored.select(column, F.col("_metadata.file_path").alias("_file"))
         old = files.join(F.broadcast(gone), F.col(column).eqNullSafe(F.col("_value")), "left_semi")
         folders = old.select(F.regexp_replace("_file", "/[^/]*$", "")).distinct().collect()
         for row in folders:  # one for each value that is gone
-            delete(spark, row[0])
+            delete(spark, unquote(row[0]))  # file paths are given as URIs
     if written:
         # a value for each folder to write, so this side is small
         own = df.join(F.broadcast(by_value), F.col(column).eqNullSafe(F.col("_value")), "left_semi")
