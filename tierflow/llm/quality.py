@@ -214,10 +214,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> p
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     """Model from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``label``, 0 or 1).
 
-    ``rows`` bounds the sample of the linear model, not the counts.
+    ``rows`` bounds the sample of the linear model, not the counts. Texts and labels are joined by
+    the same plan at every size: both shuffled, the labels of a partition hashed.
     """
     labels = labels.distinct()
-    counts, sizes = class_counts(docs.join(labels, "doc_id"))
+    counts, sizes = class_counts(docs.join(labels.hint("shuffle_hash"), "doc_id"))
     if not sizes.all():
         share = (sizes[1] + 0.5) / (sizes.sum() + 1)
         return Model(np.zeros(WIDTH), 0.0, 1.0, -float(np.log(share / (1 - share))))
