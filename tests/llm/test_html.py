@@ -78,3 +78,57 @@ def test_text_outside_the_longest_container():
     assert main_text(page(flat)) == f"Title\nLead.\n{LONG}\n{LONG}\n{after}"
     inner = f"<div>Plain lead<div class=entry-content><p>{LONG}</p></div><ul><li>One<li>Two</ul></div>"
     assert main_text(page(inner)) == f"Plain lead\n{LONG}\nOne\nTwo"
+
+
+def test_names_that_only_look_like_boilerplate():
+    """Switches and modifiers, a form around the page, a named paragraph, a named layout."""
+    article = f"<h1>Head</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+    expected = f"Head\n{LONG}\nShort.\n{LONG}"
+    for around in (
+        '<div class="content has-sidebar">{}</div>', '<article class="post no-comments">{}</article>',
+        '<div class="entry share-enabled">{}</div>', '<div class="ad-free page">{}</div>',
+        '<form id="aspnetForm">{}</form>', '<form><article>{}</article></form>',
+        '<div class="sidebar-layout"><article>{}</article></div>', '<div class="search-results">{}</div>',
+        '<div id="comments-page">{}</div>', "<main class=nav>{}</main>",
+    ):
+        for before in ("", "<nav><a>Home</a><a>News</a></nav>"):
+            assert main_text(page(before + around.format(article))) == expected, around
+    named = f'<article><h1>Head</h1><p class="search">{LONG}</p><p class="ad">Buy {LONG}</p></article>'
+    assert main_text(page(named)) == f"Head\n{LONG}"
+
+
+def test_boilerplate_by_name_goes():
+    article = f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>"
+    expected = f"Head\n{LONG}\n{LONG}"
+    for name in ("sidebar", "ad", "ads top", "post-comments", "related-posts", "cookie-notice", "site-footer"):
+        extra = f'<div class="{name}"><p>Other {LONG}</p><p>More</p></div>'
+        assert main_text(page(f"<article>{article}</article>{extra}")) == expected, name
+        assert main_text(page(f"{extra}<article>{article}</article>")) == expected, name
+        assert main_text(page(f"<article>{article}{extra}</article>")) == expected, name
+        assert main_text(page(f"<div class=post>{article}</div>{extra}")) == expected, name
+    many = '<div id="comments">' + f"<p>First! {LONG}</p>" * 9 + "</div>"
+    assert main_text(page(f"<div class=post>{article}</div>{many}")) == expected
+    replies = f'<section id="comments"><article class="comment"><p>{LONG}</p></article></section>'
+    assert main_text(page(f"<article>{article}</article>{replies * 4}")) == expected
+
+
+def test_what_belongs_to_an_article_and_stands_beside_it():
+    article = f"<article><p>{LONG}</p><p>{LONG}</p></article>"
+    body = f"<nav><a>Home</a></nav><h1>Title</h1><p>Lead.</p>{article}<p>The end.</p><footer>F</footer>"
+    expected = f"Title\nLead.\n{LONG}\n{LONG}\nThe end."
+    assert main_text(page(body)) == expected
+    assert main_text(page(f"<div>{body}</div>")) == expected
+    boxed = f"<div class=top><h1>Title</h1></div><div>{article}</div>"
+    assert main_text(page(boxed)) == f"Title\n{LONG}\n{LONG}"
+    other = f"<article><h2>Second</h2><p>{LONG}</p></article>"
+    assert main_text(page(f"{article * 6}{other}")).endswith(f"Second\n{LONG}")
+
+
+def test_deep_nesting_takes_no_longer():
+    import time
+
+    start = time.process_time()
+    deep = "<div>" * 50_000 + f"<p>{LONG}</p>" + "</section>" * 20_000 + "</div>" * 50_000
+    assert main_text(page(deep)) == LONG
+    assert main_text(page("<div class=x>a" * 20_000)).count("a") == 20_000
+    assert time.process_time() - start < 20

@@ -1,13 +1,18 @@
 """Main text of web pages by text-to-tag ratios.
 
 The events of the standard library's parser are read as a stream into lines, one for each block of
-text. A line's ratio is its text's length by its number of tags; lines inside menus, forms and the
-like have ratio 0. The ratios are smoothed by a Gaussian, and two-means clustering of the smoothed
-values gives the threshold that content lines exceed. The region kept is the outermost article or
-main element that holds nearly all of their text, or else the smallest section that holds all of
-it and has no text of an outer section beside it. It is whole but for its boilerplate: short paragraphs
-belong to the article, wherever they stand. If the region is the page's body, it begins at the
-first content line, with the headings and paragraphs before it.
+text. A line's ratio is its text's length by its number of tags; lines inside menus and the like have
+ratio 0. The ratios are smoothed by a Gaussian, and two-means clustering of the smoothed values gives
+the threshold that content lines exceed. What is kept is all article and main elements that have
+content lines, with the headings and paragraphs of the sections around them; where most content stands
+elsewhere, the smallest section that holds all of it and has no text of an outer section beside it. It
+is whole but for its boilerplate: short paragraphs belong to the article, wherever they stand. If
+that section is the page's body, it begins at the first content line, with the headings and paragraphs
+before it.
+
+Words of class, id or role are hints: one that only says that a thing is absent or switched
+(``has-sidebar``, ``share-enabled``) is none, and one at an element that holds an article, or more than
+all unsuspected text, isn't believed. So is a form around the page.
 
 Defined results: a null or empty page, or one without text, gives the empty string; elements that
 are never closed end where an outer one does, or with the page; repeated rows are read each; an
@@ -17,6 +22,7 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -30,7 +36,7 @@ from .common import batches
 # words of class, id or role that name boilerplate.
 SKIPPED = frozenset(
     "head title script style noscript template svg math iframe object canvas audio video nav menu "
-    "footer aside form button select option textarea input label dialog".split()
+    "footer aside button select option textarea input label dialog".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
@@ -47,21 +53,44 @@ IMPLIED = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|"
-    r"alert|popup|modal|overlay|newsletter|subscribe|subscription|paywall|nav|navbar|navigation|"
-    r"menu|breadcrumbs?|sidebar|side-?bar|widgets?|related|recommend\w*|share|sharing|social|"
-    r"comments?|disqus|replies|respond|footer|masthead|site-?header|page-?header|toolbar|"
-    r"skip-?link|pagination|pager|login|signup|search)(?:$|[\s_-])",
-    re.IGNORECASE,
+# Foreign matter wherever it stands, and parts of a page's frame.
+FOREIGN = (
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|popup|modal|"
+    r"overlay|newsletter|subscribe|subscription|paywall|comments?|disqus|replies|respond"
+)
+FRAME = (
+    r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-?bar|widgets?|related|recommend\w*|share|"
+    r"sharing|social|footer|masthead|site-?header|page-?header|toolbar|skip-?link|pagination|pager|"
+    r"login|signup|search"
 )
+# What makes a name say that something is absent or switched, not that this is it.
+STATES = frozenset(
+    "has have no not non with without is hide show enable disable enabled disabled free ready visible "
+    "on off open closed js".split()
+)
+_FOREIGN, _FRAME = (re.compile(rf"(?:.*[_-])?(?:{x})(?:[_-].*)?") for x in (FOREIGN, FRAME))
 SIGMA = 1.5
-#: Share of the content lines' text that an article or main element must hold to be the region.
-SHARE = 0.9
 #: A lone paragraph, heading, list or table is no region: what stands beside it may belong to it.
 PROSE = frozenset({"p", "pre", "blockquote"}) | HEADINGS
 NO_REGION = PROSE | frozenset("ul ol dl li dt dd table caption tbody thead tfoot tr td th".split())
 BODY = ("", "html", "body")
+MAIN = frozenset({"article", "main"})
+
+
+def named(attributes) -> str:
+    """What class, id and role say of an element: ``foreign``, ``frame`` or nothing."""
+    found = ""
+    for key, value in attributes:
+        if key in ("class", "id", "role", "itemtype") and value:
+            for token in value.lower().split():
+                words = re.split("[_-]+", token)
+                if words[0] in STATES or words[-1] in STATES:
+                    continue
+                if _FOREIGN.fullmatch(token):
+                    return "foreign"
+                if _FRAME.fullmatch(token):
+                    found = "frame"
+    return found
 
 
 class _Lines(HTMLParser):
@@ -69,15 +98,18 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # open elements: tag, number, whether it is boilerplate
+        # open elements: tag, number, whether its text is none of an article's
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]
         self.parent = [-1]
         self.names = [""]
+        #: What an element's name says of it, see ``named``; forms are parts of the frame.
+        self.said = [""]
         self.texts: list[str] = []
         self.tags: list[int] = []
         self.holder: list[int] = []
         self.skipped: list[bool] = []
         self.heading: list[bool] = []
+        self._many: Counter = Counter()  # open elements by tag
         self._parts: list[str] = []
         self._count = 0
 
@@ -88,52 +120,55 @@ class _Lines(HTMLParser):
             self.tags.append(self._count)
             self.holder.append(self.open[-1][1])
             self.skipped.append(self.open[-1][2])
-            self.heading.append(any(tag in HEADINGS for tag, _, _ in self.open))
+            self.heading.append(any(self._many[tag] for tag in HEADINGS))
             self._count = 0
         self._parts = []
 
-    def _boilerplate(self, tag: str, attributes) -> bool:
+    def _skips(self, tag: str, attributes) -> bool:
+        """Whether the tag alone says that its text is none of an article's."""
         if tag in SKIPPED:
             return True
-        inside = any(name in ("article", "main") for name, _, _ in self.open)
         if tag == "header":
-            return not inside
-        if tag in ("html", "body", "article", "main") and not any(
-            k in ("class", "id") and re.search(r"comment|advert", v or "", re.I)
-            for k, v in attributes
-        ):
-            return False
-        for key, value in attributes:
-            if key in ("class", "id", "role", "itemtype") and value and BOILERPLATE.search(value):
-                return True
-            if key == "hidden" or (key == "aria-hidden" and value == "true"):
-                return True
-        return False
+            return not any(self._many[name] for name in MAIN)
+        return any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attributes)
+
+    def _says(self, tag: str, attributes) -> str:
+        if tag in ("html", "body"):
+            return ""
+        said = named(attributes)
+        if said == "frame" and (tag in PROSE or tag in MAIN):
+            return ""
+        return said or ("frame" if tag == "form" else "")
 
     def _pop_to(self, place: int) -> None:
         self.end_line()
+        self._many.subtract(tag for tag, _, _ in self.open[place:])
         del self.open[place:]
 
     def handle_starttag(self, tag, attributes):
         if tag in BLOCKS:
             self.end_line()
+            ends = IMPLIED.get(tag, ())
             if self.open[-1][0] == "p":
-                self.open.pop()
-            ends = IMPLIED.get(tag)
-            if ends and self.open[-1][0] in ends:
-                self.open.pop()
+                self._pop_to(len(self.open) - 1)
+            if self.open[-1][0] in ends:
+                self._pop_to(len(self.open) - 1)
         self._count += 1
         if tag in VOID:
             if tag == "br":
                 self._parts.append(" ")
             return
-        skip = self.open[-1][2] or self._boilerplate(tag, attributes)
-        if tag in BLOCKS or (skip and not self.open[-1][2]):
+        outer = self.open[-1][2]
+        skip = outer or self._skips(tag, attributes)
+        said = "" if skip else self._says(tag, attributes)
+        if tag in BLOCKS or said or (skip and not outer):
             if tag not in BLOCKS:
                 self.end_line()
             self.parent.append(self.open[-1][1])
             self.names.append(tag)
+            self.said.append(said)
             self.open.append((tag, len(self.parent) - 1, skip))
+            self._many[tag] += 1
 
     def handle_startendtag(self, tag, attributes):
         if tag in VOID:
@@ -144,7 +179,7 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self._count += 1
-        for place in range(len(self.open) - 1, 0, -1):
+        for place in range(len(self.open) - 1, 0, -1) if self._many[tag] else ():
             if self.open[place][0] == tag:
                 self._pop_to(place)
                 return
@@ -183,21 +218,63 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _sums(page: _Lines, lines: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sum of the values of some lines in each element."""
+    out = np.zeros(len(page.parent))
+    np.add.at(out, np.array(page.holder)[lines], values[lines])
+    for number in range(len(out) - 1, 0, -1):  # a child has a higher number than its parent
+        out[page.parent[number]] += out[number]
+    return out
+
+
+def _within(page: _Lines, marked: np.ndarray) -> np.ndarray:
+    """Marked elements and all that they hold."""
+    out = marked.copy()
+    for number in range(1, len(out)):
+        out[number] |= out[page.parent[number]]
+    return out
+
+
+def _boilerplate(page: _Lines, lengths: np.ndarray, hard: np.ndarray) -> np.ndarray:
+    """Lines that aren't an article's by the names of the elements around them.
+
+    A name is believed unless the element holds articles with more text than those that nothing is
+    said of, or has more text than the rest of the page (for foreign matter: is all there is).
+    """
+    said = np.array(page.said)
+    suspect = _within(page, said != "")
+    main = np.array([n in MAIN for n in page.names])
+    articles = _within(page, main & ~suspect)
+    text = _sums(page, ~hard, lengths)
+    holds = _sums(page, ~hard & _within(page, main & (said == ""))[page.holder], lengths)
+    plain = float(lengths[~hard & articles[page.holder]].sum())
+    outside = float(lengths[~hard & ~suspect[page.holder]].sum())
+    believed = np.zeros(len(said), bool)
+    for number in np.flatnonzero(said != ""):
+        foreign = said[number] == "foreign"
+        if holds[number]:
+            believed[number] = plain > 0 if foreign else plain >= text[number]
+        elif plain:
+            believed[number] = True
+        else:
+            believed[number] = outside > 0 if foreign else outside >= text[number]
+    return _within(page, believed)[page.holder]
+
+
 def _region(page: _Lines, mass: np.ndarray, skipped: np.ndarray) -> int:
-    """Number of the element whose text is kept; ``mass`` is each element's content text."""
-    for number in range(1, len(mass)):  # a child has a higher number than its parent
-        if page.names[number] in ("article", "main") and mass[number] >= SHARE * mass[0]:
-            return number
+    """Number of the element whose text is kept; ``mass`` is each element's content text.
+
+    The smallest section that holds all content lines, or an outer one with text of its own beside it.
+    """
     region = 0
     for number in range(1, len(mass)):
         section = page.names[number] not in NO_REGION
         if section and page.parent[number] == region and mass[number] >= mass[0]:
             region = number
+            if page.names[number] in MAIN:
+                break  # an article is whole
+    section_of = _sections(page)
     # sections with text of their own, the body only by paragraphs and headings: it has menus too
-    section_of = list(range(len(mass)))
-    for number in range(1, len(mass)):
-        if page.names[number] in NO_REGION:
-            section_of[number] = section_of[page.parent[number]]
     own = {
         section_of[holder]
         for holder, skip in zip(page.holder, skipped, strict=True)
@@ -212,39 +289,74 @@ def _region(page: _Lines, mass: np.ndarray, skipped: np.ndarray) -> int:
     return region
 
 
+def _sections(page: _Lines) -> list[int]:
+    """For each element the nearest one around it, or itself, that is a section."""
+    out = list(range(len(page.parent)))
+    for number in range(1, len(out)):
+        if page.names[number] in NO_REGION:
+            out[number] = out[page.parent[number]]
+    return out
+
+
+def _articles(page: _Lines, mass: np.ndarray, skipped: np.ndarray) -> np.ndarray | None:
+    """Lines of all outermost article and main elements with content, and of what belongs to them:
+
+    headings and paragraphs of the sections around them. None if most content is elsewhere.
+    """
+    marked = np.array([n in MAIN for n in page.names]) & (mass > 0)
+    inside = _within(page, marked)
+    tops = [n for n in np.flatnonzero(marked) if not inside[page.parent[n]]]
+    if not tops or mass[tops].sum() < 0.5 * mass[0]:
+        return None
+    around = set()
+    for number in tops:
+        up = page.parent[number]
+        while up >= 0 and up not in around:
+            around.add(up)
+            up = page.parent[up]
+    sections = _sections(page)
+    holder = np.array(page.holder)
+    beside = np.array(
+        [page.names[h] in PROSE and sections[h] in around for h in page.holder], bool
+    )
+    # a title in a box of its own
+    boxes = _sums(page, ~skipped, np.ones(len(holder)))
+    title = np.array([page.names[h] == "h1" and boxes[sections[h]] == 1 for h in page.holder], bool)
+    return ~skipped & (inside[holder] | beside | title)
+
+
 def main_text(html: str | None) -> str:
     page = _Lines()
     page.feed(html or "")
     page.close()
     page.end_line()
-    skipped = np.array(page.skipped, bool)
-    if not len(skipped) or skipped.all():
+    hard = np.array(page.skipped, bool)
+    if not len(hard) or hard.all():
         return ""
     lengths = np.array([len(t) for t in page.texts], float)
+    skipped = hard | _boilerplate(page, lengths, hard)
+    if skipped.all():
+        return ""
     ratios = np.where(skipped, 0.0, lengths / np.maximum(np.array(page.tags), 1))
     smooth = smoothed(ratios)
     content = ~skipped & (smooth >= threshold(smooth))
     if not content.any():
         content = ~skipped
-    # text of content lines in each element, children before their parents
-    mass = np.zeros(len(page.parent))
-    np.add.at(mass, np.array(page.holder)[content], lengths[content])
-    for number in range(len(mass) - 1, 0, -1):
-        mass[page.parent[number]] += mass[number]
-    region = _region(page, mass, skipped)
-    inside = np.zeros(len(mass), bool)
-    inside[region] = True
-    for number in range(region + 1, len(mass)):
-        inside[number] = inside[page.parent[number]]
-    kept = ~skipped & inside[np.array(page.holder)]
-    if page.names[region] in BODY:
-        first = at = int(np.flatnonzero(content)[0])
-        while at and (
-            skipped[at - 1] or page.heading[at - 1] or page.names[page.holder[at - 1]] in PROSE
-        ):
-            at -= 1
-            first = first if skipped[at] else at
-        kept[:first] = False
+    mass = _sums(page, content, lengths)
+    kept = _articles(page, mass, skipped)
+    if kept is None:
+        region = _region(page, mass, skipped)
+        marked = np.zeros(len(mass), bool)
+        marked[region] = True
+        kept = ~skipped & _within(page, marked)[page.holder]
+        if page.names[region] in BODY:
+            first = at = int(np.flatnonzero(content)[0])
+            while at and (
+                skipped[at - 1] or page.heading[at - 1] or page.names[page.holder[at - 1]] in PROSE
+            ):
+                at -= 1
+                first = first if skipped[at] else at
+            kept[:first] = False
     return "\n".join(t for t, k in zip(page.texts, kept, strict=True) if k)
 
 
