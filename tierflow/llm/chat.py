@@ -4,8 +4,9 @@ A message's lines are read with their quote levels (the number of ``>`` before t
 lines of one level are split at blank lines into passages; a passage's words, in lower case and
 without punctuation, are hashed. Passages of level 0 index the messages that say them; quoted
 passages are looked up there. The original of a quote is the first turn of its own conversation
-that says it, if that is earlier, else the first message of another conversation that does. A
-message replies to the turn that its outermost quote of its own conversation comes from (the first
+that says it, if that is earlier, else the first message of another conversation that does. A quote
+of several lines that isn't found whole is looked up by its lines, the first one first. Passages of
+fewer than ``LEAST_WORDS`` words are linked within their own conversation only. A message replies to the turn that its outermost quote of its own conversation comes from (the first
 such), or else to the turn before it.
 
 Reply order is depth first. Messages that reply to the turn before form one thread with it; any
@@ -35,7 +36,7 @@ from .common import batches, stored
 _QUOTE = re.compile(r"^\s{0,3}((?:>\s?)+)")
 _ATTRIBUTION = re.compile(r"(?:wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+")
-#: Passages with fewer words say too little to be linked.
+#: Passages with fewer words say too little to be linked to another conversation.
 LEAST_WORDS = 3
 
 
@@ -64,12 +65,30 @@ def passages(text: str | None) -> list[tuple[int, str]]:
 
 
 def passage_hash(text: str) -> int | None:
-    """Hash of the words as signed 64 bits; None if there are too few."""
+    """Hash of the words as signed 64 bits, odd if they are few; None if there are none."""
     words = _WORD.findall(text.lower())
-    if len(words) < LEAST_WORDS:
+    if not words:
         return None
     digest = hashlib.blake2b(" ".join(words).encode(), digest_size=8).digest()
-    return int.from_bytes(digest, "little", signed=True)
+    return int.from_bytes(digest, "little", signed=True) & ~1 | (len(words) < LEAST_WORDS)
+
+
+def own_hashes(found: list[tuple[int, str]]) -> list[int]:
+    """Of the passages that a message says itself, and of each line of them: quotes are often cut."""
+    own = [x for n, x in found if not n]
+    own += [line for x in own if "\n" in x for line in x.split("\n")]
+    return sorted({passage_hash(x) for x in own} - {None})
+
+
+def quote_parts(found: list[tuple[int, str]]) -> list[dict[str, int]]:
+    """What each quoted passage is looked up by: the whole (part 0), then its lines in order."""
+    out = []
+    for nth, (level, text) in enumerate(found):
+        if level and passage_hash(text) is not None:
+            parts = [text, *(text.split("\n") if "\n" in text else ())]
+            hashes = [(i, passage_hash(x)) for i, x in enumerate(parts)]
+            out += [{"level": level, "nth": nth, "part": i, "hash": h} for i, h in hashes if h is not None]
+    return out
 
 
 def clean_text(text: str | None) -> str:
@@ -90,29 +109,21 @@ KEY = ("conv_id", "turn", "role", "text_hash")
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """Messages with ``clean`` text, hashes ``said`` and ``quoted`` (level, hash) in order.
-
-    Each own line of a passage is said as well as the passage: quotes are often cut.
-    """
+    """Messages with ``clean`` text, hashes ``said``, and ``quoted``, see ``quote_parts``."""
 
     def parse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quote = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64())]))
+        quote = pa.list_(
+            pa.struct([*[(c, pa.int32()) for c in ("level", "nth", "part")], ("hash", pa.int64())])
+        )
         for batch in batches(rows, 1 << 23):
-            clean, said, quoted = [], [], []
-            for text in batch.column("text").to_pylist():
-                found = passages(text)
-                own = [x for n, x in found if not n]
-                own += [line for x in own if "\n" in x for line in x.split("\n")]
-                clean.append(clean_text(text))
-                said.append(sorted({passage_hash(x) for x in own} - {None}))
-                hashes = [(n, passage_hash(x)) for n, x in found if n]
-                quoted.append([{"level": n, "hash": h} for n, h in hashes if h is not None])
+            texts = batch.column("text").to_pylist()
+            found = [passages(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c) for c in KEY],
-                    pa.array(clean, pa.string()),
-                    pa.array(said, pa.list_(pa.int64())),
-                    pa.array(quoted, quote),
+                    pa.array([clean_text(t) for t in texts], pa.string()),
+                    pa.array([own_hashes(x) for x in found], pa.list_(pa.int64())),
+                    pa.array([quote_parts(x) for x in found], quote),
                 ],
                 names=[*KEY, "clean", "said", "quoted"],
             )
@@ -121,7 +132,7 @@ def parsed(messages: DataFrame) -> DataFrame:
     return messages.mapInArrow(
         parse,
         ", ".join(kinds)
-        + ", clean string, said array<long>, quoted array<struct<level:int,hash:long>>",
+        + ", clean string, said array<long>, quoted array<struct<level:int,nth:int,part:int,hash:long>>",
     )
 
 
@@ -139,26 +150,40 @@ def _renamed(frame: DataFrame, *columns: str) -> DataFrame:
 
 def _links(rows: DataFrame) -> DataFrame:
     """By message that quotes: ``linked``, the first link's source, and the turn replied to."""
-    quotes = rows.select(*KEY, F.posexplode("quoted").alias("nth", "quote")).select(
-        *KEY, "nth", F.col("quote.level").alias("level"), F.col("quote.hash").alias("hash")
-    )
+    quotes = rows.select(*KEY, F.explode("quoted").alias("quote")).select(*KEY, "quote.*")
     wanted = quotes.select("hash").distinct()
     said = rows.select("conv_id", "turn", F.explode("said").alias("hash"))
-    said = stored(said.join(wanted, "hash", "left_semi").distinct())
-    anywhere = said.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    here = _renamed(
-        said.groupBy("conv_id", "hash").agg(F.min("turn").alias("own_turn")), "conv_id", "hash"
-    )
+    said = said.join(wanted, "hash", "left_semi")
+    firsts = stored(said.groupBy("conv_id", "hash").agg(F.min("turn").alias("own_turn")))
+    place = F.struct("conv_id", F.col("own_turn").alias("turn"))
+    # few words are linked within a conversation only
+    many = firsts.where(F.col("hash") % 2 == 0)
+    first = many.groupBy("hash").agg(F.min(place).alias("first"))
+    # of conversations that aren't the first one's: for quotes in that one
+    others = many.join(first, "hash").where(~F.col("conv_id").eqNullSafe(F.col("first.conv_id")))
+    anywhere = first.join(others.groupBy("hash").agg(F.min(place).alias("second")), "hash", "left")
+    here = _renamed(firsts, "conv_id", "hash")
     found = quotes.join(here, _same(quotes, here, "conv_id", "hash"), "left").join(
         anywhere, "hash", "left"
     )
     own = F.when(F.col("own_turn") < F.col("turn"), F.struct("conv_id", F.col("own_turn").alias("turn")))
-    other = F.when(~F.col("first.conv_id").eqNullSafe(F.col("conv_id")), F.col("first"))
+    elsewhere = F.col("first.conv_id").eqNullSafe(F.col("conv_id"))
+    other = F.when(F.col("first").isNotNull(), F.when(elsewhere, F.col("second")).otherwise(F.col("first")))
     ranked = found.withColumn("own", own).withColumn("source", F.coalesce("own", other))
-    of = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct("level", "nth", c)))
+
+    def least(c: str, *order: str):
+        return F.min(F.when(F.col(c).isNotNull(), F.struct(*order, c)))
+
+    passages = ranked.groupBy(*KEY, "level", "nth").agg(
+        least("source", "part")["source"].alias("source"), least("own", "part")["own"].alias("own")
+    )
     return (
-        ranked.groupBy(*KEY)
-        .agg(F.count("source").alias("linked"), of("source").alias("best"), of("own").alias("reply"))
+        passages.groupBy(*KEY)
+        .agg(
+            F.count("source").alias("linked"),
+            least("source", "level", "nth").alias("best"),
+            least("own", "level", "nth").alias("reply"),
+        )
         .select(
             *KEY,
             "linked",
@@ -254,7 +279,7 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
         .join(before, _same(rows, before, "conv_id", "turn"))
         .select(
             "conv_id", "turn", "role", F.col("clean").alias("text"),
-            F.size("quoted").cast("long").alias("quotes"),
+            F.size(F.array_distinct(F.transform("quoted", lambda q: q["nth"]))).cast("long").alias("quotes"),
             F.coalesce("linked", F.lit(0)).cast("long").alias("linked"),
             "source_conv", "source_turn",
             F.coalesce("quoted_turn", "before").alias("reply_turn"),
