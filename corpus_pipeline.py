@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import packed, stored, table, tokenizer_files
 from tierflow.llm.decontaminate import find_contamination
-from tierflow.llm.neardup import one_of_each
+from tierflow.llm.neardup import one_of_each, text_key
 from tierflow.llm.packing import pack
 from tierflow.llm.rules import quality_rules
 from tierflow.llm.secrets import redact_secrets
@@ -35,12 +35,12 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item, found by their texts: ids may repeat or be null."""
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    found = find_contamination(docs.select("doc_id", "text"), items)
+    found = find_contamination(docs.select(text_key(F.col("text")).alias("doc_id"), "text"), items)
     marked = stored(found.select(F.col("doc_id").alias("marked")).distinct())
-    rows = packed(docs, "doc_id")
-    kept = rows.join(marked, F.col("doc_id").eqNullSafe(F.col("marked")), "left_anti")
+    rows = packed(docs, "text")
+    kept = rows.join(marked, text_key(F.col("text")) == F.col("marked"), "left_anti")
     return kept.select("row.*")
 
 
