@@ -22,7 +22,7 @@ def folder(spark, tmp_path):
     rows = [(i, prose(i)) for i in range(1, 81)]
     rows += [(100, None), (101, "too short"), (102, " ".join(f"{w}###" for w in prose(7).split()))]
     rows += [(110, prose(5)), (111, prose(5) + " more"), (5, prose(5))]
-    rows += [(120, prose(902, 90) + " " + item + " " + prose(903, 90))]
+    rows += [(120, prose(902, 90) + " " + item + " " + prose(903, 90)), (120, prose(950))]
     rows += [(130, prose(904) + " token = abcdefgh12345 " + prose(905))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
         "*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars", "'k' AS key", "1 AS kept",
@@ -46,7 +46,8 @@ def test_stages(spark, folder, tmp_path):
         kept.append({r.doc_id for r in docs.select("doc_id").collect()})
     clean = set(range(1, 81))
     assert kept[0] == clean | {110, 111, 120, 130}
-    assert kept[1] == clean | {120, 130} and kept[2] == kept[3] == clean | {130}
+    assert kept[1] == kept[2] == kept[3] == clean | {120, 130}
+    assert [r.text for r in docs.where("doc_id = 120").collect()] == [prose(950)]
     row = docs.where("doc_id = 130").first()
     assert "token" not in row.text and "[assign]" in row.text and row.n_chars == len(row.text)
     assert docs.where("doc_id = 5").count() == 1
