@@ -109,14 +109,15 @@ def align_texts(tools: Tokenizers, texts: list[str | None]) -> dict[str, np.ndar
     a = np.concatenate([a for a, _ in pairs] or [np.zeros(0, np.int64)])
     b = np.concatenate([b for _, b in pairs] or [np.zeros(0, np.int64)])
     del pairs
-    ends_a, ends_b = np.cumsum(tools.lengths_a[a]), np.cumsum(tools.lengths_b[b])
     # between two ends that follow each other lies one token of each side: one link
-    ends = np.union1d(ends_a, ends_b)
-    at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-    if len(ends):
-        both = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
-    else:
-        both = np.zeros(0, bool)
+    ends_a, ends_b = np.cumsum(tools.lengths_a[a]), np.cumsum(tools.lengths_b[b])
+    marks = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.uint8)
+    marks[ends_a] |= 1
+    marks[ends_b] |= 2
+    marks = marks[marks > 0]
+    end_a, end_b = (marks & 1).astype(bool), marks > 1
+    both = end_a & end_b
+    at_a, at_b, group = (np.cumsum(x) - x for x in (end_a, end_b, both))
     doc = np.repeat(np.arange(docs), n_a)[at_a]
     n_links, n_groups = np.bincount(doc, minlength=docs), np.bincount(doc[both], minlength=docs)
 
@@ -130,16 +131,14 @@ def align_texts(tools: Tokenizers, texts: list[str | None]) -> dict[str, np.ndar
     places, pair_n, pair_sizes = _counted(doc[~same] << shift | place, docs, shift)
 
     # the groups as text: all ids in order of group, then side, then place
-    group_ends = ends[both]
-    group_a, group_b = np.searchsorted(group_ends, ends_a), np.searchsorted(group_ends, ends_b)
-    last_a = np.append(group_a[1:] != group_a[:-1], True)[: len(a)]
-    last_b = np.append(group_b[1:] != group_b[:-1], True)[: len(b)]
+    group_a, group_b = group[end_a], group[end_b]
+    last_a, last_b = both[end_a], both[end_b]
     size_a, size_b = len(tools.bytes_a), len(tools.bytes_b)
     codes = np.empty(len(a) + len(b), np.int64)
-    before_b = np.searchsorted(group_b, group_a)  # B tokens of earlier groups
-    before_a = np.searchsorted(group_a, group_b, "right")  # A tokens up to the group's last
+    until_a, until_b = np.cumsum(np.bincount(group_a)), np.cumsum(np.bincount(group_b))
+    before_b = np.concatenate([[0], until_b])[group_a]  # B tokens of earlier groups
     codes[np.arange(len(a)) + before_b] = a + last_a * size_a
-    codes[np.arange(len(b)) + before_a] = b + 2 * size_a + last_b * size_b
+    codes[np.arange(len(b)) + until_a[group_b]] = b + 2 * size_a + last_b * size_b
     bounds = np.concatenate([[0], np.cumsum(n_a + n_b)])
     digits = tools.digits
     hashes = []
