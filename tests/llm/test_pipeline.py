@@ -11,7 +11,7 @@ from llm.test_rules import prose
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = {
     "op4_quotation_links": "conversations", "op9_html_text": "pages", "op8_decontamination": None,
-    "op2_packing": None, "pipeline": None,
+    "op2_packing": None, "op13_spelling_variants": None, "pipeline": None,
 }
 
 
@@ -66,7 +66,7 @@ CORPUS = [n for n in driver.queries() if n not in driver.library_queries()]
 
 
 def test_queries_are_registered():
-    assert {n.split("_")[0] for n in CORPUS} == {*[f"op{i}" for i in range(1, 11)], "pipeline"}
+    assert {n.split("_")[0] for n in CORPUS} == {*[f"op{i}" for i in range(1, 14)], "pipeline"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -86,7 +86,9 @@ def test_query_equals_its_statement(spark, name):
 def test_query(spark, name):
     df = driver.queries()[name](spark, SF_DIR)
     table = TABLES.get(name, "documents")
-    if table:
+    if "doc_id" not in df.columns and not table:
+        assert df.count() > 0
+    elif table:
         assert df.count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
     else:
         assert df.where(F.col("doc_id").isNotNull()).count() > 0
