@@ -85,3 +85,52 @@ def test_null_groups_are_groups(spark):
 def test_chi_square():
     assert rules._chi_square(12.592, 6) == pytest.approx(0.95, abs=1e-4)
     assert rules._chi_quantile(0.5, 6) == pytest.approx(5.348, abs=1e-3)
+
+
+def plain_estimate(x, floors, p):
+    """Medians, concentration steps and reweighting with numpy, on whole covariance matrices."""
+    import numpy as np
+
+    def middle(values, share=0.5):
+        return np.sort(values, axis=0)[int(np.ceil(share * len(values))) - 1]
+
+    floor = np.diag(np.square(floors))
+    mean = middle(x)
+    cov = np.diag((middle(np.abs(x - mean)) * 1.4826) ** 2) + floor
+    far = lambda: np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+    inner = rules.KEPT_SHARE / rules._chi_square(rules._chi_quantile(rules.KEPT_SHARE, p), p + 2)
+    for step in range(rules.STEPS + 1):
+        d = far()
+        if step < rules.STEPS:
+            near, scale = x[d <= middle(d, rules.KEPT_SHARE)], inner
+        else:
+            most = rules._chi_quantile(0.975, p)
+            near, scale = x[d <= most], 0.975 / rules._chi_square(most, p + 2)
+        mean, cov = near.mean(axis=0), np.cov(near.T, bias=True) * scale + floor
+    return mean, far()
+
+
+def test_estimates_equal_those_of_numpy(spark):
+    import numpy as np
+
+    names = list(rules.STATS)
+    floors = [rules.STATS[n] for n in names]
+    rng = np.random.default_rng(3)
+    cells = {}
+    for cell in ("a", "b"):
+        mixed = rng.normal(size=(6, 6)) * 0.3
+        x = rng.normal(size=(150, 6)) @ mixed + rng.normal(size=6)
+        x[:30] += rng.normal(size=(30, 6)) * 4 + 5  # a fifth of the rows lies elsewhere
+        cells[cell] = x
+    rows = [(c, *map(float, r)) for c, x in cells.items() for r in x]
+    columns = ", ".join(f"s_{n} double" for n in names)
+    df = spark.createDataFrame(rows, f"cell string, {columns}")
+    estimates = rules.robust_estimates(df, names)
+    found = df.join(estimates, "cell").withColumn("d", rules._distance(names)).collect()
+    for cell, x in cells.items():
+        mean, d = plain_estimate(x, floors, len(names))
+        own = [r for r in found if r.cell == cell]
+        assert [own[0][f"m_{n}"] for n in names] == pytest.approx(list(mean), rel=1e-6)
+        by_row = {tuple(round(r[f"s_{n}"], 9) for n in names): r.d for r in own}
+        assert [by_row[tuple(round(float(v), 9) for v in row)] for row in x] == pytest.approx(list(d), rel=1e-6)
+        assert np.median(d[:30]) > 20 * np.median(d[30:])
