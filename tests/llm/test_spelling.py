@@ -7,7 +7,14 @@ import pytest
 
 from tests.llm.conftest import EDGES
 from tierflow.llm import spelling
-from tierflow.llm.spelling import scan, shared_start, spelling_variants, vocabulary
+from tierflow.llm.spelling import (
+    SortedWords,
+    reach,
+    shared_start,
+    spelling_variants,
+    start_within_an_edit,
+    vocabulary,
+)
 
 LETTERS = "abé÷xyz"
 
@@ -101,15 +108,30 @@ def test_groups_by_the_definition(docs, texts, monkeypatch, block):
     assert rows_of(spelling_variants(docs(texts).repartition(2))) == expected
 
 
-def test_scan_by_the_whole_matrix():
+def test_near_words_by_the_whole_matrix():
     rng = random.Random(4)
     for _ in range(60):
-        words = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(1, 8))) for _ in range(80)})
+        words = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))) for _ in range(80)})
         shared = [0, *[shared_start(a, b) for a, b in zip(words, words[1:])]]
-        query = rng.choice(words) if rng.random() < 0.7 else "".join(rng.choice("abc") for _ in range(5))
-        low = rng.randrange(len(words))
-        expected = [i for i in range(low, len(words)) if one_edit(query, words[i])]
-        assert scan(query, words, shared, low, len(words)) == expected
+        n = rng.randrange(1, 9)
+        queries = ["".join(rng.choice("abc") for _ in range(n)) for _ in range(20)]
+        queries += [w for w in words if len(w) == n]
+        found = zip(*(x.tolist() for x in SortedWords(words, shared).near(queries)))
+        expected = [
+            (i, k) for i, q in enumerate(queries) for k, w in enumerate(words)
+            if w.startswith(reach(q)) and one_edit(q, w)
+        ]
+        assert sorted(found) == expected
+
+
+def test_beginnings_within_an_edit():
+    rng = random.Random(7)
+    for _ in range(2000):
+        query, prefix = ("".join(rng.choice("ab") for _ in range(rng.randrange(1, 7))) for _ in range(2))
+        # whether some word that begins with the prefix is one edit or none from the query
+        cuts = [query[:i] for i in range(len(query) + 1)]
+        expected = any(prefix == c or one_edit(prefix, c) for c in cuts)
+        assert start_within_an_edit(query, prefix) == expected
 
 
 def test_chains_of_forms_are_followed_to_their_end(docs):

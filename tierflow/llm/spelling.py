@@ -5,9 +5,9 @@ differ by one inserted, deleted or replaced code point. If ``L`` is the shorter
 words share either their first ``L // 2`` code points or their last ``L - L // 2``, so two sorted
 lists find all of them: the words, and the words reversed. Each list is sorted by range and cut into
 blocks of ``BLOCK`` words. A word visits the blocks whose range holds words with enough of its
-beginning (nearly always one), and there only the stretch of such words: it is scanned in order
-with the rows of the edit matrix, three cells wide, kept for the prefix that a word shares with the
-one before it; where a row passes one edit, all words with that prefix are skipped.
+beginning (nearly always one), and there only the stretch of such words. The rows of the edit matrix,
+three cells wide, are made once for a prefix that adjacent words share; where a row passes one edit,
+all words with that prefix are skipped. Some thousand visitors go through a block together.
 
 A block whose own common prefix is more than one edit away isn't visited, so words of one large
 family (a long beginning that a third of all words share) visit as many blocks as their edits
@@ -28,7 +28,9 @@ import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -136,9 +138,7 @@ def next_row(row: tuple[int, int, int], query: str, depth: int, char: str) -> tu
     low, mid, high = row  # at depth - 2, depth - 1 and depth of the query
     n = len(query)
     at = depth - 2  # the last query code point of the first cell
-    first = 2 if at < -1 else min(low + (query[at] != char), mid + 1) if 0 <= at < n else mid + 1
-    if at >= n:
-        first = 2
+    first = 2 if at >= n else mid + 1 if at < 0 else min(low + (query[at] != char), mid + 1)
     second = min(mid + (query[at + 1] != char), high + 1, first + 1) if at + 1 < n else 2
     third = min(high + (query[at + 2] != char), second + 1) if at + 2 < n else 2
     return min(first, 2), min(second, 2), min(third, 2)
@@ -157,35 +157,92 @@ def start_within_an_edit(query: str, prefix: str) -> bool:
     return True
 
 
-def scan(query: str, words: list[str], shared: list[int], at: int, stop: int) -> list[int]:
-    """Places in ``words[at:stop]``, sorted, of the words one edit from the query.
+class SortedWords:
+    """A sorted list as what its neighbours share: the rows of the edit matrix belong to prefixes.
 
-    ``shared[i]`` is how many first code points word ``i`` shares with the word before it.
+    For each depth the list falls into stretches of words with one prefix of that length; the parts of
+    a stretch at the next depth follow from the lengths that adjacent words share.
     """
-    found, n = [], len(query)
-    rows = [START]  # by depth, of the current word's prefix
-    while at < stop:
-        word = words[at]
-        dead = 0
-        for depth in range(len(rows), len(word) + 1):
-            row = next_row(rows[-1], query, depth, word[depth - 1])
-            if min(row) > 1:
-                dead = depth
-                break
-            rows.append(row)
-        if dead:
-            at += 1
-            if at < stop and shared[at] >= dead:
-                at = bisect_left(words, word[:dead] + _LAST, at, stop)
-        else:
-            cell = n - len(word) + 1
-            if 0 <= cell <= 2 and rows[len(word)][cell] == 1:
-                found.append(at)
-            at += 1
-        if at < stop:
-            # of the word before it, the last one with the skipped prefix, at most as much is shared
-            del rows[min(shared[at], len(rows) - 1) + 1 :]
-    return found
+
+    def __init__(self, words: list[str], shared: list[int]):
+        self.words = words
+        self._shared = np.array(shared, np.int64)
+        self._lengths = np.array([len(w) for w in words], np.int64)
+        self._codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        self._first = np.cumsum(self._lengths) - self._lengths
+        self._depths: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _starts(self, depth: int) -> np.ndarray:
+        if depth == 0:
+            return np.zeros(min(1, len(self.words)), np.int64)
+        return np.flatnonzero((self._shared < depth) & (self._lengths >= depth))
+
+    def stretches(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words of the stretches of a depth, and where their parts begin at the next one."""
+        if depth not in self._depths:
+            starts, parts = self._starts(depth), self._starts(depth + 1)
+            self._depths[depth] = starts, np.append(np.searchsorted(parts, starts), len(parts))
+        return self._depths[depth]
+
+    def near(self, queries: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of queries, all of one length, and of the words one edit from them, in pairs.
+
+        Only words that share a query's ``reach`` are looked at. All queries go down the list
+        together: each step appends one code point to every prefix that is still within an edit of
+        its query, from the row kept for it, and drops the prefixes that no longer are, with all
+        words that begin with them.
+        """
+        n = len(queries[0])
+        depth = len(reach(queries[0]))
+        codes = np.frombuffer("".join(queries).encode("utf-32-le"), np.uint32).reshape(-1, n)
+        starts, _ = self.stretches(depth)
+        first = np.array([bisect_left(self.words, reach(q)) for q in queries], np.int64)
+        at = np.searchsorted(starts, first)
+        here = [
+            p < len(starts) and self.words[starts[p]].startswith(reach(q)) for p, q in zip(at, queries)
+        ]
+        query = np.flatnonzero(here)
+        at = at[query]
+        # edits between the prefix and the query's first depth - 1, depth and depth + 1 code points
+        row = np.tile(np.array([1 if depth else 2, 0, 1 if n > depth else 2], np.int8), (len(query), 1))
+        found = []
+        while len(query):
+            _, parts = self.stretches(depth)
+            many = parts[at + 1] - parts[at]
+            inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            at = np.repeat(parts[at], many) + inner
+            query, row, depth = np.repeat(query, many), np.repeat(row, many, axis=0), depth + 1
+            starts = self._starts(depth) if depth not in self._depths else self._depths[depth][0]
+            word = starts[at]
+            row = next_rows(row, codes[query], depth, self._codes[self._first[word] + depth - 1])
+            cell = n - depth + 1
+            if 0 <= cell <= 2:
+                ends = (self._lengths[word] == depth) & (row[:, cell] == 1)
+                found.append((query[ends], word[ends]))
+            alive = row.min(axis=1) < 2 if cell >= 0 else np.zeros(len(row), bool)
+            query, at, row = query[alive], at[alive], row[alive]
+        none = np.zeros(0, np.int64)
+        return tuple(np.concatenate([none, *(f[i] for f in found)]) for i in (0, 1))
+
+
+def next_rows(rows: np.ndarray, queries: np.ndarray, depth: int, chars: np.ndarray) -> np.ndarray:
+    """``next_row`` of many prefixes, each with its query's code points."""
+    low, mid, high = rows.T
+    n = queries.shape[1]
+
+    def differs(place: int) -> np.ndarray:
+        return (queries[:, place] != chars).astype(np.int8)
+
+    out = np.full((len(rows), 3), 2, np.int8)
+    if 1 <= depth - 1 <= n:
+        out[:, 0] = np.minimum(low + differs(depth - 2), mid + 1)
+    elif depth == 1:
+        out[:, 0] = mid + 1
+    if depth <= n:
+        out[:, 1] = np.minimum(np.minimum(mid + differs(depth - 1), high + 1), out[:, 0] + 1)
+    if depth + 1 <= n:
+        out[:, 2] = np.minimum(high + differs(depth), out[:, 1] + 1)
+    return np.minimum(out, 2)
 
 
 def reach(query: str) -> str:
@@ -234,6 +291,43 @@ def _visits(blocks: DataFrame) -> DataFrame:
     )
 
 
+class Block:
+    """A block's words, and the visitors that wait to be looked for in it."""
+
+    def __init__(self, number: int | None = None, back: bool = False):
+        self.number, self.back = number, back
+        self.words: list[str] = []
+        self.numbers: list[int] = []
+        self.shared: list[int] = []
+        self.visitors: list[str] = []
+        self._sorted: SortedWords | None = None
+
+    def add(self, key: str, n: int) -> None:
+        self.shared.append(shared_start(self.words[-1], key) if self.words else 0)
+        self.words.append(key)
+        self.numbers.append(n)
+
+    def answers(self) -> list[tuple[str, int, int, str]]:
+        """For each waiting visitor with near words here: how many, the best one's number, and it."""
+        if not self.visitors:
+            return []
+        self._sorted = self._sorted or SortedWords(self.words, self.shared)
+        turn = -1 if self.back else 1
+        best: dict[str, tuple[int, int, str]] = {}
+        by_length = sorted(self.visitors, key=len)
+        self.visitors = []
+        for _, group in groupby(by_length, key=len):
+            queries = list(group)
+            for q, w in zip(*(x.tolist() for x in self._sorted.near(queries))):
+                word, other = queries[q][::turn], self.words[w][::turn]
+                # each pair counts on one list: on the first if its words share their first half
+                if _found_ahead(word, other) != self.back:
+                    many, less, form = best.get(word, (0, 0, ""))
+                    this = (-self.numbers[w], other)
+                    best[word] = (many + 1, *(min(this, (less, form)) if many else this))
+        return [(word, many, -less, form) for word, (many, less, form) in best.items()]
+
+
 def _near(blocks: DataFrame) -> DataFrame:
     """For each word and visited block: ``n_near``, and ``form_n`` and ``form`` of its best near word."""
     visitors = _visits(blocks).withColumn("visitor", F.lit(True))
@@ -241,36 +335,26 @@ def _near(blocks: DataFrame) -> DataFrame:
     dealt = both.repartition("block").sortWithinPartitions("block", "visitor", "key")
 
     def search(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, words, numbers, shared = None, [], [], []
+        block = Block()
         for batch in rows:
-            out = []
             columns = (batch.column(c).to_pylist() for c in ("block", "back", "key", "n", "visitor"))
-            for block, back, key, n, visitor in zip(*columns):
-                if block != current:
-                    current, words, numbers, shared = block, [], [], []
-                if not visitor:
-                    shared.append(shared_start(words[-1], key) if words else 0)
-                    words.append(key)
-                    numbers.append(n)
-                    continue
-                start = reach(key)
-                low = bisect_left(words, start)
-                high = bisect_left(words, start + _LAST, low)
-                turn = -1 if back else 1
-                word = key[::turn]
-                # each pair counts on one list: on the first one if its words share their first half
-                near = [
-                    (-numbers[i], other)
-                    for i in scan(key, words, shared, low, high)
-                    if _found_ahead(word, other := words[i][::turn]) != back
-                ]
-                if near:
-                    less, form = min(near)
-                    out.append((word, len(near), -less, form))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out) if out else ([],) * 4, kinds)],
-                names=["word", "n_near", "form_n", "form"],
-            )
+            for number, back, key, n, visitor in zip(*columns):
+                if number != block.number:
+                    yield of(block.answers())
+                    block = Block(number, back)
+                if visitor:
+                    block.visitors.append(key)
+                    if len(block.visitors) >= BLOCK:
+                        yield of(block.answers())
+                else:
+                    block.add(key, n)
+        yield of(block.answers())
+
+    def of(found: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*found) if found else ([],) * len(kinds)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["word", "n_near", "form_n", "form"]
+        )
 
     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
     return dealt.mapInArrow(search, "word string, n_near long, form_n long, form string")
