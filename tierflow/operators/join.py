@@ -53,6 +53,13 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> Column:
     return df.selectExpr(f"transform(filter({found}, {enough}), x -> x.item)").scalar()
 
 
+def copies_of_hot(side: DataFrame, hot: Column, side_key: str, salts: int = SALTS) -> DataFrame:
+    """``side`` with a row for each ``_copy`` from 0: ``salts`` of hot keys' rows, one of all others."""
+    copied = F.coalesce(F.array_contains(hot, F.col(side_key)), F.lit(False))
+    numbers = F.when(copied, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return side.withColumn("_copy", F.explode(numbers))
+
+
 def hot_left_join(
     df: DataFrame,
     side: DataFrame,
@@ -76,10 +83,6 @@ def hot_left_join(
         "_salt",
         F.when(F.col(key).isNull() | is_hot, F.expr(f"pmod(hash({columns}), {salts})")).otherwise(0),
     )
-    copied = F.coalesce(F.array_contains(hot, F.col(side_key)), F.lit(False))
-    right = side.withColumn(
-        "_copy",
-        F.explode(F.when(copied, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    )
+    right = copies_of_hot(side, hot, side_key, salts)
     matches = F.expr(f"{key} = {side_key} AND _salt = _copy")
     return left.join(right, matches, "left").drop("_salt", "_copy")
