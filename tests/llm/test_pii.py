@@ -97,3 +97,14 @@ def test_empty(docs):
     assert pii.find_personal_data(docs(EDGES).where("false")).count() == 0
     only = pii.find_personal_data(docs([(1, "no numbers"), (2, None)])).collect()
     assert [r.spans for r in only] == ["", ""]
+
+
+def test_numbers_side_by_side(docs):
+    """Cards that stand next to each other are one run of digits, which no base rule passes."""
+    one, two, three = "4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881"
+    rows = [(i, f"card {one} {two} end") for i in range(20)]
+    rows += [(50 + i, f"card {one}-{two} {three}") for i in range(20)] + [(99, f"pay {one} 12 now")]
+    found = {r.doc_id: r for r in pii.find_personal_data(docs(rows)).collect()}
+    assert all(r.n_card == 0 for r in found.values())
+    assert found[0].spans == "card:5:24,card:25:44"
+    assert found[50].spans == "card:5:24,card:25:44,card:45:64"

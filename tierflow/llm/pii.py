@@ -44,8 +44,10 @@ LOOSE = {
         r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,24}+){1,4}+",
         r"@|\(at\)|\[at\]",
     ),
+    # of numbers side by side, longer together than any card: the groups of four of the first
     "number": (
-        r"(?<![A-Za-z0-9])[+(]?[0-9](?:[ ().-]{0,2}+[0-9]){6,24}+(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9])(?:[0-9]{4}(?:[ -][0-9]{4}){3}(?=[ ().-]{1,2}[0-9](?:[ ().-]{0,2}[0-9]){4})"
+        r"|[+(]?[0-9](?:[ ().-]{0,2}+[0-9]){6,24}+(?![A-Za-z0-9]))",
         r"[0-9][ ().-]{0,2}[0-9]",
     ),
     "account": (
