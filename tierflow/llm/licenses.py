@@ -30,15 +30,13 @@ from pyspark.sql import functions as F
 from .common import batches
 
 # Kinds in order of priority, with how much a detection of each says.
-KINDS = {"tag": 0.95, "notice": 0.9, "address": 0.85, "grant": 0.9, "name": 0.7, "hint": 0.2}
+KINDS = {"tag": 0.95, "notice": 0.9, "address": 0.85, "grant": 0.9, "name": 0.7}
 
 #: Characters of the word stream that a detection may have, at most.
 REACH = 512
 
-_V1, _V2, _V3, _V4 = (rf"(?: (?:version|ver|v))? ?v?{n}(?: 0)?" for n in (1, 2, 3, 4))
-_V11, _V21, _V25, _V30, _V40 = (
-    rf"(?: (?:version|ver|v))? ?v?{a} {b}" for a, b in ((1, 1), (2, 1), (2, 5), (3, 0), (4, 0))
-)
+_V1, _V2, _V3 = (rf"(?: (?:version|ver|v))? ?v?{n}(?: 0)?" for n in (1, 2, 3))
+_V11, _V21 = (rf"(?: (?:version|ver|v))? ?v?{a} {b}" for a, b in ((1, 1), (2, 1)))
 _LATER = r"(?: or(?: at your option)? (?:any )?(?:later|newer)(?: version)?| ?\+)"
 _ANY_CC = r"(?: (?:\d \d|international|unported|generic|license|licence|public|deed)){0,6}"
 
