@@ -1,5 +1,6 @@
 import pytest
 
+import entry_data as data
 from conftest import bag
 from tierflow.schemas import raw_schema
 from tierflow.sources import (
@@ -22,7 +23,9 @@ from tierflow.sources import (
     settled,
     shared_folder,
     use_database,
+    write_silver,
 )
+from tierflow.settings import tune
 from tierflow.sources.csvfile import multiline_files, spans_lines
 
 # A quoted comma, a doubled quote, a quoted number, an empty and a quoted empty value, blanks
@@ -258,3 +261,42 @@ def test_import_tables_arguments():
     assert [t for t, _ in spark.calls] == ["a", "b"]
     assert spark.calls[1][1]["predicates"] == ["1 = 1"]
     assert spark.writes == ["overwrite", "/raw/a", "overwrite", "/raw/b"]
+
+
+def rows_by_task(df):
+    counts = df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    return [n for n in counts if n]
+
+
+def test_a_table_written_by_one_task_is_read_by_several(spark, tmp_path):
+    """A file of one row group is one task to its readers, however large it is."""
+    write_silver(spark.range(0, 600_000, 1, 1), str(tmp_path / "t"))
+    assert sorted(rows_by_task(spark.read.parquet(str(tmp_path / "t")))) == [100_000, 250_000, 250_000]
+
+
+def test_tune_makes_splits_small(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        tune(spark)
+        assert spark.conf.get(name) == f"{8 << 20}b"
+        spark.conf.set(name, "1000000")
+        tune(spark)
+        assert spark.conf.get(name) == "1000000"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_source_of_one_row_group_is_spread(spark, tmp_path, monkeypatch):
+    """The same rows, from tasks of about ``TASK_ROWS`` rows; small sources stay as they are."""
+    spark.range(0, 1000, 1, 1).selectExpr("id AS s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    select = ("supplier", ["s_suppkey * 2 AS twice"])
+    assert rows_by_task(data.derived(spark, str(tmp_path), select)) == [1000]
+    monkeypatch.setattr(data, "_tasks", {})
+    monkeypatch.setattr(data.tasks_needed, "__defaults__", (300,))
+    found = data.derived(spark, str(tmp_path), select)
+    assert len(rows_by_task(found)) == 4
+    assert bag(found) == [(2 * i,) for i in sorted(range(1000), key=lambda i: repr((2 * i,)))]
+    empty = spark.range(0)
+    assert data.tasks_needed(empty) is None
