@@ -2,7 +2,7 @@ import pytest
 
 import entry_data as data
 from conftest import bag
-from tierflow.schemas import raw_schema
+from tierflow.schemas import RAW_COLUMNS, raw_schema
 from tierflow.sources import (
     drop_table,
     exists,
@@ -300,3 +300,53 @@ def test_a_source_of_one_row_group_is_spread(spark, tmp_path, monkeypatch):
     assert bag(found) == [(2 * i,) for i in sorted(range(1000), key=lambda i: repr((2 * i,)))]
     empty = spark.range(0)
     assert data.tasks_needed(empty) is None
+
+
+@pytest.mark.parametrize("category", ["passing", "players", "kicking"])
+def test_a_raw_table_reads_its_source_once(spark, tmp_path, category):
+    """The rows are those of all its selects."""
+    spark.range(40).selectExpr(
+        "id AS c_custkey", "'n' AS c_name", "CAST(id % 5 AS int) AS c_nationkey", "1.5D AS c_acctbal", "'m' AS c_mktsegment",
+    ).union(spark.sql("SELECT 7L, NULL, 1, 2D, NULL")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(60).selectExpr(
+        "id AS l_orderkey", "id % 7 AS l_partkey", "CASE WHEN id <> 9 THEN id % 5 END AS l_suppkey", "1 AS l_linenumber",
+        "CAST(id AS double) AS l_quantity", "id * 100D AS l_extendedprice", "'A' AS l_returnflag",
+        "timestamp'1990-01-01 00:00:00' AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    selects = data.raw_selects(category)
+    found = data.raw(spark, str(tmp_path), category)
+    assert tuple(found.columns) == RAW_COLUMNS[category]
+    every = [data.derived(spark, str(tmp_path), s) for s in selects]
+    assert bag(found) == sorted((row for part in every for row in bag(part)), key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+
+
+def test_a_source_of_many_tasks_is_not_shuffled_to_be_written(spark, tmp_path, monkeypatch):
+    spark.range(0, 4000, 1, 10).selectExpr("id AS s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(data, "_tasks", {})
+    monkeypatch.setattr(data.tasks_needed, "__defaults__", (300,))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")  # each file a task
+        held, passed = (data.spread(spark, str(tmp_path), "supplier", row_by_row=r) for r in (False, True))
+        assert len(rows_by_task(held)) == 14 and sorted(rows_by_task(passed)) == [400] * 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_tune_lets_shuffles_grow(spark):
+    """However few partitions the session has, those of a large shuffle stay small."""
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        tune(spark)
+        assert spark.conf.get(name) == "1000"
+        spark.conf.set(name, "16")
+        tune(spark)
+        assert spark.conf.get(name) == "16"
+    finally:
+        spark.conf.unset(name)
+        if before is not None:
+            spark.conf.set(name, before)
