@@ -177,3 +177,28 @@ def test_pairs_in_a_group_of_a_half_and_a_third(docs, total, share):
     rest = [(i, " ".join(f"rest{i}x{j}" for j in range(20))) for i in range(size, total)]
     found = classes(N.near_duplicates(docs([*rows, *rest])))
     assert {x for x in found if x[0] < size} == expected
+
+
+def test_runs_far_below_a_quarter_weigh_less(spark):
+    """Runs of a 100th and a 20th of all documents; counts are exact but for the sketch's collisions."""
+    lines = {20: "a line that stands in some of the documents here", 100: "another line which only few other ones have"}
+    rows = [(i, " ".join([x for n, x in lines.items() if i % n == 0] + words(i, 20))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    idf = N.Weights(df, 4000)
+    assert not N.common_runs(df, 4000)
+    for n, line in lines.items():
+        grams, _ = shingle_hashes(*word_hashes(pa.array([line])))
+        expected = np.log(5000 / (4000 / n)) / np.log(4096)
+        assert idf.of(grams) == pytest.approx(expected, abs=0.02)
+    own, _ = shingle_hashes(*word_hashes(pa.array([" ".join(words(7, 20))])))
+    assert idf.of(own).min() > 0.85
+
+
+def test_pair_that_differs_in_frequent_runs_only_is_linked(docs):
+    """Its plain similarity is below 0.8, the weighted one above; the runs are in a 20th of the documents."""
+    own, line = words(70001, 40), [f"frequent{j}" for j in range(14)]
+    rows = [(1, " ".join(own)), (2, " ".join([*own, *line]))]
+    rows += [(i, " ".join([f"rest{i}x{j}" for j in range(20)] + (line if i % 20 == 0 else []))) for i in range(10, 6010)]
+    a, b = runs(rows[0][1]), runs(rows[1][1])
+    assert jaccard(a, b) < 0.8
+    assert (1, 2) in classes(N.near_duplicates(docs(rows)))

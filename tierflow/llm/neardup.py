@@ -1,17 +1,20 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A document is the weighted set of its runs of five words: weight is the number of times a run is
-found, times an idf. The idf saturates: a run found in fewer than ``COMMON`` of all documents
-weighs 1, one found in more weighs less the more there are. (An idf that rises without bound
-would put the few words in which large groups of copies differ above all that they share, and
-lose the group.) Runs that common are few, at most the mean length divided by ``COMMON``, and are
-found exactly: a run with a share of all documents has it in some batch of them. Two documents are
-near duplicates if their similarity passes with these weights or with all idfs at 1, so no group
-is lost that plain numbers of times would find, however large its share of the rows.
+found, times an idf. The idf counts every run of every document, in one pass, in a sketch of ``SLOTS``
+counters, each the number of documents that have a run of its hash: a run's count is too large by
+the runs it shares a counter with, on average by the mean length of a document divided by ``SLOTS``,
+as a share of the documents. Counts below the share ``RARE`` aren't told from that, so such runs weigh
+alike, 1, and others less the more documents have them, down to ``LEAST_WEIGHT``. Runs of one counter
+have one weight in all documents, so similarities are those of one weighting whatever the collisions.
+(Weights alone would put the few words in which large groups of copies differ above all that they
+share, and lose the group.) Two documents are near duplicates if their similarity passes with these
+weights or with all idfs at 1, so no group is lost that plain numbers of times would find, however
+large its share of the rows.
 
 Each of ``SAMPLES`` consistent weighted samples agrees between two documents with the probability
-of their weighted Jaccard similarity. Samples are banded, those of the plain set and, in documents
-with common runs, those of the weighted one; documents that share a band are candidates. Exact
+of their weighted Jaccard similarity. Samples are banded, those of the plain set and those of the
+weighted one, where these differ; documents that share a band are candidates. Exact
 copies count as one text from the start. Candidates are verified by both Jaccard similarities
 themselves, in blocks of at most ``BLOCK`` texts of one band value: a task compares
 all texts of its block and returns links that span its classes, never all pairs. Classes of links
@@ -41,9 +44,11 @@ SHINGLE = 5
 #: band with a probability of 0.9998.
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-#: Share of the documents from which a run counts as common, documents added to the number of all
-#: so that a small table has no common runs, and the least weight.
+#: Share of the documents from which ``common_runs`` calls a run common, documents added to the number of
+#: all so that runs of a small table weigh nearly alike, and the least weight.
 COMMON, PRIOR, LEAST_WEIGHT = 0.25, 1000, 0.05
+#: Counters of the sketch, those of one row that is shuffled, and the share up to which counts weigh 1.
+SLOTS, SLOT_ROW, RARE = 1 << 22, 1 << 11, 1 / 4096
 BLOCK = 256
 #: Documents over which shares of runs are taken first, at least.
 LEAST_ROWS = 64
@@ -79,7 +84,14 @@ def weighted_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def samples(
     hashes: np.ndarray, weights: np.ndarray, bounds: np.ndarray, number: int = SAMPLES
 ) -> np.ndarray:
-    """Consistent weighted samples, one row for each non-empty set.
+    """Consistent weighted samples, one row for each non-empty set."""
+    return samples_of_each(hashes, [weights], bounds, number)[0]
+
+
+def samples_of_each(
+    hashes: np.ndarray, weightings: list[np.ndarray], bounds: np.ndarray, number: int = SAMPLES
+) -> list[np.ndarray]:
+    """Consistent weighted samples of the same sets with each of several weightings.
 
     With r and c from Gamma(2, 1) and b uniform, all three drawn from the element's hash and the
     sample's number: t = floor(ln w / r + b), ln y = r (t - b), ln a = ln c - ln y - r. The
@@ -88,41 +100,96 @@ def samples(
     full = np.flatnonzero(np.diff(bounds))
     starts = bounds[:-1][full]
     owner = np.repeat(np.arange(len(full)), np.diff(bounds)[full])
-    log_weight = np.log(weights).astype(np.float32)
-    other = np.flatnonzero(log_weight)
+    logs = [np.log(w).astype(np.float32) for w in weightings]
+    others = [np.flatnonzero(x) for x in logs]
+    logs = [x[i] for x, i in zip(logs, others, strict=True)]
     seeds = mixed(np.arange(1, number + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
-    out = np.empty((len(full), number), np.uint64)
+    out = [np.empty((len(full), number), np.uint64) for _ in weightings]
     for k in range(number):
         z = (hashes ^ seeds[k]) * np.uint64(0xFF51AFD7ED558CCD)
         z ^= z >> np.uint64(32)
         z *= np.uint64(0xC4CEB9FE1A85EC53)
         r = _GAMMA[z & _LOW]
         b = _UNIFORM[(z >> np.uint64(16)) & _LOW]
-        t = np.zeros(len(z), np.float32)
-        t[other] = np.floor(log_weight[other] / r[other] + b[other])
-        a = _LOG_GAMMA[(z >> np.uint64(40)) & _LOW] - r * (t - b + 1)
-        least = np.minimum.reduceat(a, starts) if len(starts) else a
-        hit = np.flatnonzero(a == least[owner])
-        _, first = np.unique(owner[hit], return_index=True)
-        chosen = hit[first]
-        out[:, k] = mixed(hashes[chosen] + t[chosen].astype(np.int64).astype(np.uint64) * seeds[0])
+        one = _LOG_GAMMA[(z >> np.uint64(40)) & _LOW] - r * (1 - b)  # a where t is 0
+        for log_weight, other, found in zip(logs, others, out, strict=True):
+            t = np.floor(log_weight / r[other] + b[other])
+            a = one.copy()
+            a[other] -= r[other] * t
+            least = np.minimum.reduceat(a, starts) if len(starts) else a
+            hit = np.flatnonzero(a == least[owner])
+            first = np.ones(len(hit), bool)
+            first[1:] = owner[hit[1:]] != owner[hit[:-1]]
+            chosen = hit[first]
+            shift = np.zeros(len(hashes), np.int64)
+            shift[other] = t
+            found[:, k] = mixed(hashes[chosen] + shift[chosen].astype(np.uint64) * seeds[0])
     return out
 
 
-def idf_of(common: dict[int, float], hashes: np.ndarray) -> np.ndarray:
-    out = np.ones(len(hashes))
-    if common:
-        keys = np.array(sorted(common), np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        values = np.array([common[k] for k in sorted(common)])[order]
-        place = np.minimum(np.searchsorted(keys[order], hashes), len(keys) - 1)
-        found = keys[order][place] == hashes
-        out[found] = values[place[found]]
-    return out
+def slots_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - (SLOTS - 1).bit_length())).astype(np.int64)
+
+
+def run_levels(docs: DataFrame) -> np.ndarray:
+    """By counter of the sketch: eight times the binary logarithm of the number of documents, rounded.
+
+    Each task counts all its runs; counters travel in rows of ``SLOT_ROW`` and are summed by row, so a
+    task holds a sketch at most. One byte of each counter reaches the driver.
+    """
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(SLOTS, np.uint32)
+        for batch in batches(rows, 1 << 21):
+            at, n = np.unique(slots_of(weighted_sets(batch.column("text"))[0]), return_counts=True)
+            sums[at] += n.astype(np.uint32)
+        sums = sums.reshape(-1, SLOT_ROW)
+        for part in np.array_split(np.flatnonzero(sums.any(axis=1)), 16):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), pa.array([sums[i].tobytes() for i in part], pa.binary())],
+                names=["row", "counts"],
+            )
+
+    def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in rows:
+            for i, counts in zip(batch.column("row").to_pylist(), batch.column("counts"), strict=True):
+                own = sums.setdefault(i, np.zeros(SLOT_ROW, np.uint64))
+                own += np.frombuffer(counts.as_buffer(), np.uint32)
+        levels = [np.rint(8 * np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], names=["row", "levels"]
+        )
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = docs.select("text").mapInArrow(count, "row int, counts binary").repartition(parts, "row")
+    out = np.zeros((SLOTS // SLOT_ROW, SLOT_ROW), np.uint8)
+    for row in counted.mapInArrow(add, "row int, levels binary").collect():
+        out[row.row] = np.frombuffer(row.levels, np.uint8)
+    return out.ravel()
+
+
+def level_weights(total: int) -> np.ndarray:
+    """The weight of each level, for ``total`` documents."""
+    counts = 2.0 ** (np.arange(256) / 8)
+    return np.clip(np.log((total + PRIOR) / counts) / np.log(1 / RARE), LEAST_WEIGHT, 1)
+
+
+class Weights:
+    """The idf of every run: the sketch's levels, broadcast, and the weight of each."""
+
+    def __init__(self, docs: DataFrame, total: int):
+        self.levels = docs.sparkSession.sparkContext.broadcast(run_levels(docs))
+        self.values = level_weights(total)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return self.values[self.levels.value[slots_of(hashes)]]
 
 
 def common_runs(docs: DataFrame, total: int) -> dict[int, float]:
-    """Weights of the runs that are found in at least the share ``COMMON`` of ``total`` documents.
+    """Weights, by exact counts, of the runs found in at least the share ``COMMON`` of ``total`` documents.
+
+    Kept as the plain definition that the sketch of all runs is checked with.
 
     Shares are first taken over groups of at least ``LEAST_ROWS`` documents, which pass on at most
     1 / ``COMMON`` times a document's runs; the second pass counts only the runs that are left.
@@ -196,27 +263,19 @@ def _bands(found: np.ndarray) -> np.ndarray:
     return mixed(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
 
 
-def signatures(docs: DataFrame, common: dict[int, float]) -> DataFrame:
+def signatures(docs: DataFrame, idf: Weights) -> DataFrame:
     """``doc_id``, ``key`` (of the exact text) and ``bands`` (hashes, none without words)."""
 
     def sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, 1 << 21):
             hashes, counts, bounds = weighted_sets(batch.column("text"))
             full = np.flatnonzero(np.diff(bounds))
-            bands = _bands(samples(hashes, counts, bounds))
-            values, of = bands.ravel(), np.repeat(full, BANDS)
-            idf = idf_of(common, hashes)
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            # documents with common runs: their weighted sets have bands of their own
-            other = np.unique(owner[idf < 1])
-            if len(other):
-                part = np.isin(owner, other)
-                sizes = np.concatenate([[0], np.cumsum(np.diff(bounds)[other])])
-                weighted = _bands(samples(hashes[part], (counts * idf)[part], sizes))
-                new = weighted != bands[np.searchsorted(full, other)]
-                values = np.concatenate([values, weighted[new]])
-                of = np.concatenate([of, np.repeat(other, new.sum(axis=1))])
-                values = values[np.argsort(of, kind="stable")]
+            plain, weighted = map(
+                _bands, samples_of_each(hashes, [counts, counts * idf.of(hashes)], bounds)
+            )
+            both = np.concatenate([plain, weighted], axis=1)
+            new = np.concatenate([np.ones(plain.shape, bool), weighted != plain], axis=1)
+            values, of = both[new], np.repeat(full, new.sum(axis=1))
             ends = np.cumsum(np.bincount(of, minlength=batch.num_rows))
             offsets = np.concatenate([[0], ends]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
@@ -271,7 +330,7 @@ def _spanning(similar: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def verified(tasks: DataFrame, common: dict[int, float], similarity: float) -> DataFrame:
+def verified(tasks: DataFrame, idf: Weights, similarity: float) -> DataFrame:
     """Links ``a``, ``b`` between the keys of each ``task`` (``key``, ``text``, ``class``).
 
     Rows of a class are linked already and aren't compared for links of their own.
@@ -279,7 +338,7 @@ def verified(tasks: DataFrame, common: dict[int, float], similarity: float) -> D
 
     def link(keys: list, texts: list, classes: list) -> list[tuple]:
         sets = weighted_sets(pa.array(texts, pa.large_string()))
-        weights = idf_of(common, sets[0])
+        weights = idf.of(sets[0])
         plain = np.ones(len(weights))
         alike = similarities(sets[0], sets[1], plain, sets[2]) >= similarity - 1e-6
         if (weights < 1).any():
@@ -369,8 +428,8 @@ def classified(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ``class_id`` (least id of the class) and ``class_rows``. ``docs`` has ``doc_id`` and ``text``.
     """
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
-    common = common_runs(docs, docs.count())
-    signed = stored(signatures(keyed, common))
+    idf = Weights(docs, docs.count())
+    signed = stored(signatures(keyed, idf))
     copies = signed.groupBy("key").agg(F.min("doc_id").alias("one"), F.first("bands").alias("bands"))
     entries = copies.select("key", "one", F.explode("bands").alias("bucket"))
     many = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("leader"))
@@ -400,7 +459,7 @@ def classified(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         .agg(F.first("keys").alias("keys"))
     )
     tasks = blocks.select("task", F.explode("keys").alias("key")).join(texts, "key")
-    links = stored(verified(tasks.withColumn("class", F.col("key")), common, similarity))
+    links = stored(verified(tasks.withColumn("class", F.col("key")), idf, similarity))
     classes = stored(components(links))
 
     # members outside the largest class of a band value with several blocks, against all of it
@@ -426,7 +485,7 @@ def classified(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         )
         task = F.unhex(F.md5(F.concat_ws(":", "bucket", "i", "j")))
         tasks = first.unionByName(second).distinct().select(task.alias("task"), "key", "class")
-        more = stored(verified(tasks.join(texts, "key"), common, similarity))
+        more = stored(verified(tasks.join(texts, "key"), idf, similarity))
         if not more.isEmpty():
             classes = stored(components(links.union(more)))
 
