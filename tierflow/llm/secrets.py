@@ -23,7 +23,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import batches
+from .common import batches, small_batches
 
 #: Kinds in the order in which spans at one place are listed; the first three are the base rules.
 BASE_KINDS = ("assign", "access", "hex")
@@ -172,11 +172,15 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with the secrets of ``text`` replaced; null texts and other columns stay."""
+    """``docs`` with the secrets of ``text`` replaced; null texts and other columns stay.
+
+    Texts are taken from a batch some megabytes at a time, whole rows go on.
+    """
+    small_batches(docs.sparkSession)
 
     def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _automaton()
-        for batch in batches(rows, 1 << 24):
+        for batch in batches(rows, 1 << 21):
             place = batch.schema.get_field_index("text")
             texts = [
                 t and redacted(t, find_secrets(t, machine)) for t in batch.column(place).to_pylist()
