@@ -4,6 +4,7 @@ import json
 import re
 import zlib
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -74,3 +75,25 @@ def test_scan_and_redact(spark, docs):
     texts = {r.doc_id: r.text for r in clean.collect()}
     assert texts[10] == "é the [assign]' and [access]." and texts[1] is None and texts[2] == ""
     assert secrets.scan_secrets(given_rows.where("false")).count() == 0
+
+
+def test_whole_documents_go_to_python_in_small_batches(spark):
+    docs = spark.range(2500).coalesce(1).selectExpr("id AS doc_id", "'some text' AS text")
+    name, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", "n long"
+
+    def rows_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    def largest():
+        secrets.redact_secrets(docs)  # sets the session's size where it isn't set
+        return max(r.n for r in docs.mapInArrow(rows_of, sizes).collect())
+
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        assert largest() == 1000
+        spark.conf.set(name, "2000")
+        assert largest() == 2000  # a value of the user's own stays
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
