@@ -56,6 +56,22 @@ def test_hashes_of_words_depend_on_the_word_alone():
     assert ends.tolist() == [0, 2, 2, 2, 3, 4]
 
 
+def test_samples_are_the_same_in_pieces_of_any_size(monkeypatch):
+    rng = np.random.default_rng(4)
+    sizes = [3, 0, 1, 700, 0, 40, 2, 0]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    hashes = rng.integers(1, 2**63, bounds[-1]).astype(np.uint64)
+    counts = rng.integers(1, 3, bounds[-1])
+    few = np.where(rng.random(bounds[-1]) < 0.1, 0.5, 1.0)
+    whole = N.samples_of_each(hashes, [few, counts], bounds)
+    for size in (1, 50, 741):
+        monkeypatch.setattr(N, "PIECE", size)
+        for x, y in zip(whole, N.samples_of_each(hashes, [few, counts], bounds), strict=True):
+            assert x.shape == (5, N.SAMPLES) and (x == y).all()
+    own = [N.samples(hashes[i:j], few[i:j], np.array([0, j - i])) for i, j in zip(bounds, bounds[1:]) if i < j]
+    assert (np.concatenate(own) == whole[0]).all()
+
+
 def test_samples_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(1)
     universe = rng.integers(1, 2**63, 400).astype(np.uint64)

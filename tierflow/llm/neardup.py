@@ -50,6 +50,8 @@ COMMON, PRIOR, LEAST_WEIGHT = 0.25, 1000, 0.05
 #: Counters of the sketch, those of one row that is shuffled, and the share up to which counts weigh 1.
 SLOTS, SLOT_ROW, RARE = 1 << 22, 1 << 11, 1 / 4096
 BLOCK = 256
+#: Runs that samples are drawn of together, so that their arrays stay in a core's cache; a longer text goes alone.
+PIECE = 1 << 14
 #: Documents over which shares of runs are taken first, at least.
 LEAST_ROWS = 64
 
@@ -72,13 +74,16 @@ def weighted_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different runs of each text: hashes, numbers of times, and bounds by text."""
     hashes, ends = shingle_hashes(*word_hashes(texts), SHINGLE)
     owner = np.repeat(np.arange(len(texts)), np.diff(ends))
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
+    # by hash, then by text: numbers of texts that fit 16 bits are sorted by radix
+    order = np.argsort(hashes)
+    small = owner[order].astype(np.uint16 if len(texts) <= 1 << 16 else np.int64)
+    order = order[np.argsort(small, kind="stable")]
+    hashes = hashes[order]
     first = np.ones(len(hashes), bool)
     first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
     at = np.flatnonzero(first)
     counts = np.diff(np.concatenate([at, [len(hashes)]]))
-    return hashes[at], counts, np.searchsorted(owner[at], np.arange(len(texts) + 1))
+    return hashes[at], counts, np.searchsorted(at, ends)
 
 
 def samples(
@@ -98,33 +103,64 @@ def samples_of_each(
     element of the least a, with its t, is the sample.
     """
     full = np.flatnonzero(np.diff(bounds))
-    starts = bounds[:-1][full]
-    owner = np.repeat(np.arange(len(full)), np.diff(bounds)[full])
-    logs = [np.log(w).astype(np.float32) for w in weightings]
-    others = [np.flatnonzero(x) for x in logs]
-    logs = [x[i] for x, i in zip(logs, others, strict=True)]
+    ends = np.concatenate([bounds[:-1][full], bounds[-1:]])
     seeds = mixed(np.arange(1, number + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+    logs = [np.log(w).astype(np.float32) for w in weightings]
     out = [np.empty((len(full), number), np.uint64) for _ in weightings]
-    for k in range(number):
-        z = (hashes ^ seeds[k]) * np.uint64(0xFF51AFD7ED558CCD)
-        z ^= z >> np.uint64(32)
+    low = 0
+    while low < len(full):
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] + PIECE, "right")) - 1)
+        part = slice(ends[low], ends[high])
+        _sample(
+            hashes[part], [x[part] for x in logs], ends[low : high + 1] - ends[low], seeds,
+            [x[low:high] for x in out],
+        )
+        low = high
+    return [mixed(found) for found in out]
+
+
+def _sample(
+    hashes: np.ndarray, logs: list[np.ndarray], ends: np.ndarray, seeds: np.ndarray, out: list[np.ndarray]
+) -> None:
+    """Samples of non-empty sets, not yet mixed, into ``out``; arrays are made once for all samples."""
+    starts, owner = ends[:-1], np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    others = [np.flatnonzero(x) for x in logs]
+    z, bits = np.empty_like(hashes), np.empty_like(hashes)
+    at = bits.view(np.int64)
+    r, b, one, t, a = (np.empty(len(hashes), np.float32) for _ in range(5))
+    is_least = np.empty(len(hashes), bool)
+    for k, seed in enumerate(seeds):
+        np.bitwise_xor(hashes, seed, out=z)
+        z *= np.uint64(0xFF51AFD7ED558CCD)
+        np.right_shift(z, np.uint64(32), out=bits)
+        z ^= bits
         z *= np.uint64(0xC4CEB9FE1A85EC53)
-        r = _GAMMA[z & _LOW]
-        b = _UNIFORM[(z >> np.uint64(16)) & _LOW]
-        one = _LOG_GAMMA[(z >> np.uint64(40)) & _LOW] - r * (1 - b)  # a where t is 0
+        for shift, table, drawn in ((0, _GAMMA, r), (16, _UNIFORM, b), (40, _LOG_GAMMA, one)):
+            np.right_shift(z, np.uint64(shift), out=bits)
+            bits &= _LOW
+            np.take(table, at, out=drawn, mode="clip")
+        np.subtract(1, b, out=a)
+        a *= r
+        one -= a  # a where t is 0
         for log_weight, other, found in zip(logs, others, out, strict=True):
-            t = np.floor(log_weight / r[other] + b[other])
-            a = one.copy()
-            a[other] -= r[other] * t
-            least = np.minimum.reduceat(a, starts) if len(starts) else a
-            hit = np.flatnonzero(a == least[owner])
+            if len(other) * 4 < len(hashes):
+                np.copyto(a, one)
+                some = r[other]
+                a[other] -= some * np.floor(log_weight[other] / some + b[other])
+            else:
+                np.divide(log_weight, r, out=t)
+                t += b
+                np.floor(t, out=t)
+                t *= r
+                np.subtract(one, t, out=a)
+            least = np.minimum.reduceat(a, starts)
+            np.equal(a, least[owner], out=is_least)
+            hit = np.flatnonzero(is_least)
             first = np.ones(len(hit), bool)
             first[1:] = owner[hit[1:]] != owner[hit[:-1]]
             chosen = hit[first]
-            shift = np.zeros(len(hashes), np.int64)
-            shift[other] = t
-            found[:, k] = mixed(hashes[chosen] + shift[chosen].astype(np.uint64) * seeds[0])
-    return out
+            steps = np.floor(log_weight[chosen] / r[chosen] + b[chosen]).astype(np.int64)
+            found[:, k] = hashes[chosen] + steps.astype(np.uint64) * seeds[0]
 
 
 def slots_of(hashes: np.ndarray) -> np.ndarray:
