@@ -13,6 +13,7 @@ from tierflow.operators import (
     safe_int,
     trim_all,
 )
+from tierflow.operators.refine import distinct_texts
 from tierflow.schemas import RAW_COLUMNS, raw_schema
 from tierflow.specs import FULL, clean_spec
 
@@ -191,3 +192,29 @@ def test_normalise_header(rows):
         normalise_header(rows([(1, 2)], "`a b` int, `a_b` int"))
     with pytest.raises(ValueError, match="empty"):
         normalise_header(rows([(1,)], "`%` int"))
+
+
+def test_distinct_texts_keep_marks_blanks_and_nulls(spark):
+    """What joins the texts of a row, and what stands for NULL, may be in the texts themselves."""
+    values = [None, "", "a", "\x01", "\x02", "\x03", "\x03a", "\x03b", "\x03c", "\x01\x03", "\x02\x03c", "é\x01"]
+    rows = [(a, b, c) for a in values for b in values for c in (None, "x")]
+    df = spark.createDataFrame(rows + rows[::-1], "a string, `b c` string, d string").repartition(3)
+    found = distinct_texts(df)
+    assert found.columns == ["a", "b c", "d"]
+    assert bag(found) == bag(spark.createDataFrame(rows, df.schema))
+
+
+@pytest.mark.parametrize("category", ["passing", "rushing", "defensive", "returns"])
+def test_deduplication_shuffles_one_text_a_row(spark, category):
+    schema = raw_schema(category)
+    numbers = {c: "2000" for c in RAW_COLUMNS[category]}
+    full = tuple({**numbers, "name": "Quill, Ada", "team": " a\x01b "}.values())
+    nulls = tuple({**dict.fromkeys(RAW_COLUMNS[category]), **{
+        c: "2000" for c in ("year", "passing_yards", "rushing_yards", "total_tackles", "kick_returns_for_tds",
+                            "punt_returns_for_tds") if c in numbers}, "name": "Quill, Ada"}.values())
+    df = spark.createDataFrame([full, full, nulls, nulls, tuple(f" {v} " for v in full)], schema)
+    found = refine(df, clean_spec(category))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert shuffles and all("hashpartitioning(_texts" in line for line in shuffles)
+    assert sorted((r.team or "", r.player_id or 0) for r in found.collect()) == [("", 0), ("a\x01b", 2000)]
