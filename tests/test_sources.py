@@ -350,3 +350,19 @@ def test_tune_lets_shuffles_grow(spark):
         spark.conf.unset(name)
         if before is not None:
             spark.conf.set(name, before)
+
+
+def test_tune_merges_shuffles_to_small_tasks(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.getAll.get(name)
+    try:
+        spark.conf.unset(name)
+        tune(spark)
+        assert spark.conf.get(name) == f"{16 << 20}b"
+        spark.conf.set(name, "1000000")
+        tune(spark)
+        assert spark.conf.get(name) == "1000000"
+    finally:
+        spark.conf.unset(name)
+        if before is not None:
+            spark.conf.set(name, before)
