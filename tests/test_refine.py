@@ -204,6 +204,15 @@ def test_distinct_texts_keep_marks_blanks_and_nulls(spark):
     assert bag(found) == bag(spark.createDataFrame(rows, df.schema))
 
 
+def test_distinct_texts_keep_bytes_that_are_not_utf8(spark):
+    df = spark.sql(
+        "SELECT CAST(unhex(a) AS STRING) AS a, b FROM VALUES ('FF41', 'q'), ('FF41', 'q'), ('FE41', 'q'), "
+        "('C3', NULL), ('C3', ''), ('0378', 'q') AS t(a, b)"
+    )
+    found = distinct_texts(df.repartition(3)).selectExpr("hex(a) AS a", "b")
+    assert bag(found) == bag(df.selectExpr("hex(a) AS a", "b").distinct())
+
+
 @pytest.mark.parametrize("category", ["passing", "rushing", "defensive", "returns"])
 def test_deduplication_shuffles_one_text_a_row(spark, category):
     schema = raw_schema(category)
