@@ -128,3 +128,40 @@ def test_scores_by_formula(docs, monkeypatch):
             total += math.log10(move * inside)
             before = c
         assert found[i] == pytest.approx(total, rel=1e-9), t
+
+
+def test_the_same_words_are_exchanged_whatever_the_corpus(spark):
+    """Words seen 5 times are, also where they are less than a millionth of all tokens."""
+    words = [(1, 0, 500_000_000), (2, 3, 5), (3, 3, 4), (4, 3, 1), (int(brown.END.astype(np.int64)), 3, 9)]
+    known = brown.vocabulary(spark.createDataFrame(words, "h long, tail int, c long"))
+    assert known.rare[:, 3].tolist() == [5, 1] and known.rare.sum() == 6
+    assert (known.n, known.v) == (500_000_019, 5) and known.first.tolist() == [1, 2]
+
+
+def test_many_buckets_give_the_scores_of_one(docs, monkeypatch):
+    rows = docs([*EDGES, *two_languages(80), (9000, "Unseen words onlyhere")]).repartition(5)
+
+    def scores():
+        return sorted(map(str, (tuple(r) for r in brown.class_scores(rows).collect())))
+
+    expected = scores()
+    for name, value in (("CHUNK", 4000), ("BUCKET", 64), ("SPAN", 3), ("DENSE", 0)):
+        monkeypatch.setattr(brown, name, value)
+    assert [r.replace("nan", "") for r in scores()] == expected
+
+
+def test_large_rows_are_few_in_a_row_group(spark, docs, monkeypatch, tmp_path):
+    """Row groups end by size, not by 100 rows, as writers and readers hold them whole."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tierflow.llm import common
+
+    monkeypatch.setattr(common, "shared_root", lambda spark: str(tmp_path))
+    large = "array_join(transform(sequence(1, 30000), i -> uuid()), '') AS text"
+    texts = docs([(i, "x") for i in range(60)]).selectExpr("doc_id", large).repartition(1)
+    assert common.stored(texts, large=True).count() == 60
+    (file,) = glob.glob(f"{tmp_path}/*/*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert meta.num_row_groups >= 3
