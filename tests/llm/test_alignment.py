@@ -133,3 +133,39 @@ def test_identity_is_the_same_bytes():
     place = np.flatnonzero(tools.identity >= 0)
     assert len(place) > 10_000
     assert all(tools.bytes_a[i] == tools.bytes_b[tools.identity[i]] for i in place)
+
+
+def test_chunks_are_few_in_a_row_group(docs, monkeypatch, tmp_path):
+    """Readers and writers hold a row group whole; it ends by its size, not by 100 chunks."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tierflow.llm import common
+
+    monkeypatch.setattr(common, "shared_root", lambda spark: str(tmp_path))
+    monkeypatch.setitem(common._LARGE_ROWS, "parquet.block.size", "20000")
+    monkeypatch.setattr(alignment, "CHUNK", 2000)
+    rows = [(i, " ".join(f"w{i * k % 9973}" for k in range(200))) for i in range(60)]
+    chunks = alignment.aligned_chunks(docs(rows).repartition(1), **FILES)
+    assert chunks.where("chunk IS NOT NULL").count() > 20
+    (file,) = glob.glob(f"{tmp_path}/*/*.parquet")
+    assert pq.ParquetFile(file).metadata.num_row_groups > 3
+
+
+def test_answers_of_a_chunk_are_sorted():
+    import pyarrow as pa
+
+    pairs = pa.table({"chunk": [7, 7, 7], "pair": [30, 10, 20], "c": [3, 1, 2]})
+    assert alignment.told(pairs).to_pylist() == [{"chunk": 7, "known": [10, 20, 30], "totals": [1, 2, 3]}]
+
+
+def test_small_batches_make_one_chunk():
+    import pyarrow as pa
+
+    from tierflow.llm.common import merged
+
+    parts = [pa.record_batch({"text": ["x" * 100] * n}) for n in (1, 1, 30, 2, 1)]
+    found = list(merged(parts, 1000))
+    assert sum((b.column("text").to_pylist() for b in found), []) == ["x" * 100] * 35
+    assert len(found) < 8 and max(b.num_rows for b in found) < 11

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import batches, stored
+from .common import merged, small_batches, stored
 
 #: Bytes of text whose tokens are worked on together.
 CHUNK = 4 << 20
@@ -165,7 +165,7 @@ def aligned_chunks(docs: DataFrame, ranks: str, pattern: str, model: str) -> Dat
         tools = Tokenizers(ranks, pattern, model)
         vector = np.zeros(len(tools.bytes_a), np.int64)
         chunk = TaskContext.get().partitionId() << 32
-        for batch in batches(rows, CHUNK):
+        for batch in merged(rows, CHUNK):
             found = align_texts(tools, batch.column("text").to_pylist())
             vector += np.bincount(found["same_ids"], minlength=len(vector))
             chunk += 1
@@ -198,15 +198,25 @@ def aligned_chunks(docs: DataFrame, ranks: str, pattern: str, model: str) -> Dat
             "pairs array<long>, pair_docs array<int>, vector array<long>",
         ),
         codec="zstd",
+        large=True,
     )
 
 
+def told(pairs: pa.Table) -> pa.Table:
+    """One row of a chunk's ``pair`` and ``c``: ``known``, sorted, and ``totals``."""
+    pairs = pairs.sort_by("pair").combine_chunks()
+    bounds = pa.array([0, len(pairs)], pa.int32())
+    lists = [pa.ListArray.from_arrays(bounds, pairs[c].combine_chunks()) for c in ("pair", "c")]
+    return pa.table([pairs["chunk"].slice(0, 1), *lists], names=["chunk", "known", "totals"])
+
+
 def align(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
     """Alignment of every row of ``docs`` (``doc_id``, ``text``), links weighed by corpus-wide counts.
 
     ``ranks`` and ``pattern`` give tokenizer A, ``model`` tokenizer B; the files must be at these
     places on every machine.
     """
+    small_batches(docs.sparkSession)
     chunks = aligned_chunks(docs, ranks, pattern, model)
     texts = chunks.where("chunk IS NOT NULL")
     tools = Tokenizers(ranks, pattern, model)
@@ -239,9 +249,10 @@ def align(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
     answers = (
         own.join(counts, "pair")
         .where("c <> n")
+        .select("chunk", "pair", "c")
+        # sorted rows, which can spill: collect_list would have an object for each pair of 128 chunks
         .groupBy("chunk")
-        .agg(F.array_sort(F.collect_list(F.struct("pair", "c"))).alias("found"))
-        .select("chunk", F.col("found.pair").alias("known"), F.col("found.c").alias("totals"))
+        .applyInArrow(told, "chunk long, known array<long>, totals array<long>")
     )
     wanted = ["ids", "hashes", *_INTS, "pairs", "pair_docs", "known", "totals"]
 
@@ -276,7 +287,7 @@ def align(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (
-        texts.join(stored(answers), "chunk", "left")
+        texts.join(stored(answers, large=True), "chunk", "left")
         .select(*wanted)
         .mapInArrow(
             weigh,
