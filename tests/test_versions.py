@@ -284,3 +284,17 @@ def test_options_are_checked(tmp_path):
         LedgerConfig("a", "b", "c", gate="x")
     with pytest.raises(ValueError, match="fact_rows"):
         LedgerConfig("a", "b", "c", fact_rows="x")
+
+
+def test_raw_tables_have_no_ranges_of_their_text(spark, config):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    imports(spark, config)
+    done = run(spark, config, "load", first=True)
+    (folder,) = done.tables["raw_rushing"]
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{config.root}/{folder}/*.parquet")]
+    columns = [m.row_group(0).column(0) for m in files if m.num_rows]
+    assert columns and all(c.compression == "ZSTD" for c in columns)
+    assert not any(c.statistics and c.statistics.has_min_max for c in columns)

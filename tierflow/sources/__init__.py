@@ -22,6 +22,7 @@ from tierflow.sources.tables import (
     rename_table,
     save_table,
     use_database,
+    write_raw,
     write_silver,
 )
 from tierflow.sources.versions import (
@@ -70,5 +71,6 @@ __all__ = [
     "vacuum",
     "write_data",
     "write_partitions",
+    "write_raw",
     "write_silver",
 ]
